@@ -108,7 +108,7 @@ def blank_to_null(col: str | Column) -> Column:
 
 def to_int_truncating(col: str | Column) -> Column:
     """Numeric coercion: unparseable → NULL, fractions truncated toward zero."""
-    return F.try_cast(_c(col), T.DoubleType()).cast(T.IntegerType())
+    return _c(col).try_cast(T.DoubleType()).cast(T.IntegerType())
 
 
 def to_decimal_strict(col: str | Column, dtype: T.DecimalType) -> Column:
@@ -117,7 +117,7 @@ def to_decimal_strict(col: str | Column, dtype: T.DecimalType) -> Column:
     Going through double first keeps ``'7.85'`` → ``7.9`` (half away from
     zero) and lets an overflow surface as an error instead of a silent NULL.
     """
-    return F.try_cast(_c(col), T.DoubleType()).cast(dtype)
+    return _c(col).try_cast(T.DoubleType()).cast(dtype)
 
 
 def to_score(col: str | Column) -> Column:
@@ -130,7 +130,7 @@ def to_imdb_rating(col: str | Column) -> Column:
 
 def to_lake_date(col: str | Column) -> Column:
     """ISO date; malformed or impossible dates become NULL."""
-    return F.try_to_date(_c(col), F.lit(LAKE_DATE_FORMAT))
+    return F.try_to_date(_c(col), LAKE_DATE_FORMAT)
 
 
 def strict_int(col: str | Column, what: str) -> Column:
@@ -151,7 +151,7 @@ def or_placeholder(col: str | Column, zero_is_missing: bool = True) -> Column:
     text = c.cast(T.StringType())
     missing = c.isNull() | (text == F.lit(""))
     if zero_is_missing:
-        missing = missing | (F.try_cast(text, T.DoubleType()) == F.lit(0.0))
+        missing = missing | (text.try_cast(T.DoubleType()) == F.lit(0.0))
     return F.when(missing, F.lit(PLACEHOLDER)).otherwise(text)
 
 

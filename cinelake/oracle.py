@@ -234,3 +234,348 @@ SELECT country, total_ratings AS num_ratings, avg_score FROM (
   GROUP BY u.country)
 ORDER BY num_ratings DESC, country
 LIMIT 10""", "fact_rating", "dim_user")
+
+# -- fixtures for cleaning, integrity, loads and sampling -------------------------
+
+from cinelake.functions.scalar import NA_TOKENS, PLACEHOLDER  # noqa: E402
+from cinelake.operators.sampling import AGE_GROUPS, COUNTRIES, SEARCH_TERMS  # noqa: E402
+
+
+def _na(col: str) -> str:
+    tokens = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
+    return f"CASE WHEN {col} IN ({tokens}) THEN NULL ELSE {col} END"
+
+
+def _list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _hash(expr: str, offset: int = 0) -> str:
+    return f"CAST(('0x' || substr(md5({expr}), {1 + 8 * offset}, 8)) AS BIGINT)"
+
+
+_MK = "CAST(movie_id AS BIGINT)"
+
+CTE.update({
+    "raw_movies": f"""
+SELECT movie_id AS imdbID, concat('  ', title, ' ') AS title,
+  CASE WHEN {_MK} % 11 = 0 THEN 'N/A' ELSE coalesce(genre, '') END AS genre,
+  CASE {_MK} % 6 WHEN 0 THEN '2010–2015' WHEN 1 THEN 'N/A' WHEN 2 THEN '1999.5' WHEN 3 THEN ' 1999 '
+       ELSE coalesce(CAST(year AS VARCHAR), '') END AS year,
+  CASE WHEN {_MK} % 13 = 0 THEN 'null' ELSE coalesce(country, '') END AS country,
+  CASE {_MK} % 4 WHEN 0 THEN 'N/A' WHEN 1 THEN '7.85' WHEN 2 THEN '8.05'
+       ELSE coalesce(CAST(imdb_rating AS VARCHAR), '') END AS imdbRating
+FROM dim_movie""",
+    "raw_users": """
+SELECT CAST(user_id AS VARCHAR) AS id, concat(' ', name, '  ') AS name,
+  CASE WHEN user_id % 9 = 0 THEN 'NA' ELSE coalesce(age_group, '') END AS age_group,
+  coalesce(country, '') AS country
+FROM dim_user""",
+    "raw_ratings": """
+SELECT CAST(rating_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, movie_id,
+  CASE rating_id % 7 WHEN 0 THEN 'abc' WHEN 1 THEN '' WHEN 2 THEN 'nan'
+       ELSE coalesce(CAST(score AS VARCHAR), '') END AS score,
+  CASE rating_id % 5 WHEN 0 THEN '15/02/2024' WHEN 1 THEN '2024-02-30'
+       ELSE coalesce(CAST(rated_at AS VARCHAR), '') END AS rated_at
+FROM fact_rating""",
+    "lake_movies": "SELECT " + ", ".join(
+        f"{_na(c)} AS {c}" for c in ["imdbID", "title", "genre", "year", "country", "imdbRating"]
+    ) + " FROM raw_movies",
+    "lake_users": "SELECT " + ", ".join(
+        f"{_na(c)} AS {c}" for c in ["id", "name", "age_group", "country"]
+    ) + " FROM raw_users",
+    "lake_ratings": "SELECT " + ", ".join(
+        f"{_na(c)} AS {c}" for c in ["id", "user_id", "movie_id", "score", "rated_at"]
+    ) + " FROM raw_ratings",
+    "clean_ratings": """
+SELECT CAST(id AS BIGINT) AS lake_id, movie_id, CAST(user_id AS INT) AS user_id,
+  CAST(TRY_CAST(score AS DOUBLE) AS DECIMAL(4,2)) AS score,
+  CAST(try_strptime(rated_at, '%Y-%m-%d') AS DATE) AS rated_at
+FROM lake_ratings""",
+    "dim_movie_partial": f"SELECT * FROM dim_movie WHERE {_MK} % 19 <> 0",
+    "dim_user_partial": "SELECT * FROM dim_user WHERE user_id % 19 <> 0",
+    "candidates": f"""
+SELECT movie_id AS id, title, genre, {_MK} AS pos FROM dim_movie
+UNION ALL
+SELECT movie_id AS id, title, genre, {_MK} + 1000000 AS pos FROM dim_movie WHERE {_MK} % 7 = 0""",
+    "first_candidates": """
+SELECT id, title, genre, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS rn FROM candidates) WHERE rn = 1""",
+    "quota_sel": """
+WITH t1 AS (SELECT id, title, genre, pos, 'ECONOMY' AS target FROM first_candidates
+            WHERE contains(coalesce(genre, ''), 'ECONOMY') ORDER BY pos, id LIMIT 15),
+     t2 AS (SELECT id, title, genre, pos, 'Brand#1' AS target FROM first_candidates
+            WHERE contains(coalesce(genre, ''), 'Brand#1') AND id NOT IN (SELECT id FROM t1)
+            ORDER BY pos, id LIMIT 15),
+     t3 AS (SELECT id, title, genre, pos, 'SMALL' AS target FROM first_candidates
+            WHERE contains(coalesce(genre, ''), 'SMALL') AND id NOT IN (SELECT id FROM t1)
+              AND id NOT IN (SELECT id FROM t2)
+            ORDER BY pos, id LIMIT 15)
+SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3""",
+    "sample_pairs": f"""
+WITH items AS (SELECT movie_id, row_number() OVER (ORDER BY movie_id) - 1 AS idx FROM dim_movie),
+     n AS (SELECT count(*) AS n FROM items),
+     keyed AS (SELECT user_id, {_hash("'42|' || CAST(user_id AS VARCHAR)", 0)} AS h1,
+                      {_hash("'42|' || CAST(user_id AS VARCHAR)", 1)} AS h2 FROM dim_user),
+     draws AS (SELECT user_id, n, h1 % n AS st, 1 + h2 % (n // least(5, n)) AS step,
+                      unnest(range(0, least(5, n))) AS draw
+               FROM keyed, n WHERE n > 0)
+SELECT d.user_id, i.movie_id, CAST(d.draw AS INT) AS draw
+FROM draws d JOIN items i ON i.idx = (d.st + d.draw * d.step) % d.n""",
+})
+
+_DEPS.update({
+    "raw_movies": ["dim_movie"],
+    "raw_users": ["dim_user"],
+    "raw_ratings": ["fact_rating"],
+    "lake_movies": ["raw_movies"],
+    "lake_users": ["raw_users"],
+    "lake_ratings": ["raw_ratings"],
+    "clean_ratings": ["lake_ratings"],
+    "dim_movie_partial": ["dim_movie"],
+    "dim_user_partial": ["dim_user"],
+    "candidates": ["dim_movie"],
+    "first_candidates": ["candidates"],
+    "quota_sel": ["first_candidates"],
+    "sample_pairs": ["dim_movie", "dim_user"],
+})
+_ORDER[:] = list(CTE)
+
+
+def _strip(col: str) -> str:
+    return f"regexp_replace(regexp_replace({col}, '^\\s+', ''), '\\s+$', '')"
+
+
+# -- cleaning ---------------------------------------------------------------------------
+
+SQL["clean_movies"] = with_fixtures(f"""
+SELECT imdbID AS movie_id, {_strip('title')} AS title, genre,
+  CAST(trunc(TRY_CAST(year AS DOUBLE)) AS INT) AS year, country,
+  CAST(CAST(TRY_CAST(imdbRating AS DOUBLE) AS DECIMAL(3,1)) AS DOUBLE) AS imdb_rating
+FROM lake_movies""", "lake_movies")
+
+SQL["clean_users"] = with_fixtures(f"""
+SELECT CAST(id AS INT) AS user_id, {_strip('name')} AS name, age_group, country
+FROM lake_users""", "lake_users")
+
+SQL["clean_ratings"] = with_fixtures("""
+SELECT movie_id, user_id, CAST(score AS DOUBLE) AS score, rated_at FROM clean_ratings""", "clean_ratings")
+
+
+def _missing_counts(table: str, cte: str, cols: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count_if({c} IS NULL) AS missing FROM {cte}"
+        for c in cols
+    )
+
+
+SQL["na_tokens"] = with_fixtures(
+    _missing_counts("movies", "lake_movies", ["imdbID", "title", "genre", "year", "country", "imdbRating"])
+    + "\nUNION ALL\n"
+    + _missing_counts("users", "lake_users", ["id", "name", "age_group", "country"])
+    + "\nUNION ALL\n"
+    + _missing_counts("ratings", "lake_ratings", ["id", "user_id", "movie_id", "score", "rated_at"]),
+    "lake_movies", "lake_users", "lake_ratings",
+)
+
+_CHECKS = {
+    "dim_movie": [
+        ("movie_id_not_null", "movie_id IS NULL"),
+        ("movie_id_length", "length(movie_id) > 20"),
+        ("title_not_null", "title IS NULL"),
+        ("title_length", "length(title) > 255"),
+        ("genre_length", "length(genre) > 255"),
+        ("country_length", "length(country) > 255"),
+        ("imdb_rating_precision", "abs(imdb_rating) >= 100"),
+    ],
+    "dim_user": [
+        ("user_id_not_null", "user_id IS NULL"),
+        ("name_not_null", "name IS NULL"),
+        ("name_length", "length(name) > 255"),
+        ("age_group_length", "length(age_group) > 20"),
+        ("country_length", "length(country) > 255"),
+    ],
+    "fact_rating": [
+        ("rating_id_not_null", "rating_id IS NULL"),
+        ("movie_id_not_null", "movie_id IS NULL"),
+        ("movie_id_length", "length(movie_id) > 20"),
+        ("user_id_not_null", "user_id IS NULL"),
+        ("score_precision", "abs(score) >= 100"),
+    ],
+}
+SQL["violation_report"] = with_fixtures("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{name}' AS check_name, count_if({cond}) AS violations FROM {t}"
+    for t, checks in _CHECKS.items() for name, cond in checks
+), "dim_movie", "dim_user", "fact_rating")
+
+SQL["duplicate_keys"] = with_fixtures("""
+SELECT rating_id, COUNT(*) AS copies FROM fact_rating GROUP BY rating_id HAVING COUNT(*) > 1""",
+                                      "fact_rating")
+
+# -- referential integrity --------------------------------------------------------------
+
+_FACT_COLS = "f.rating_id, f.movie_id, f.user_id, CAST(f.score AS DOUBLE) AS score, f.rated_at"
+
+SQL["ratings_known_movies"] = with_fixtures(f"""
+SELECT {_FACT_COLS} FROM fact_rating f
+WHERE EXISTS (SELECT 1 FROM dim_movie_partial m WHERE m.movie_id = f.movie_id)""",
+                                            "fact_rating", "dim_movie_partial")
+
+SQL["orphan_movies"] = with_fixtures(f"""
+SELECT {_FACT_COLS} FROM fact_rating f
+WHERE NOT EXISTS (SELECT 1 FROM dim_movie_partial m WHERE m.movie_id = f.movie_id)""",
+                                     "fact_rating", "dim_movie_partial")
+
+SQL["orphan_users"] = with_fixtures(f"""
+SELECT {_FACT_COLS} FROM fact_rating f
+WHERE NOT EXISTS (SELECT 1 FROM dim_user_partial u WHERE u.user_id = f.user_id)""",
+                                    "fact_rating", "dim_user_partial")
+
+SQL["cascade_delete"] = with_fixtures(f"""
+SELECT {_FACT_COLS} FROM fact_rating f
+WHERE f.movie_id NOT IN (SELECT movie_id FROM dim_movie WHERE {_MK} % 19 = 0)
+  AND f.user_id NOT IN (SELECT user_id FROM dim_user WHERE user_id % 17 = 0)""",
+                                      "fact_rating", "dim_movie", "dim_user")
+
+# -- loads -------------------------------------------------------------------------------
+
+SQL["upsert_dim_movie"] = with_fixtures(f"""
+WITH base AS (SELECT * FROM dim_movie WHERE {_MK} % 3 <> 0),
+     batch AS (
+       SELECT movie_id, 'v1 ' || title AS title, genre, year, country, imdb_rating, {_MK} AS pos
+       FROM dim_movie WHERE {_MK} % 3 <> 1
+       UNION ALL
+       SELECT movie_id, 'v2 ' || title AS title, genre, year, country, imdb_rating, {_MK} + 1000000 AS pos
+       FROM dim_movie WHERE {_MK} % 5 = 0),
+     all_rows AS (
+       SELECT movie_id, title, genre, year, country, imdb_rating, 0 AS src, 0 AS pos FROM base
+       UNION ALL
+       SELECT movie_id, title, genre, year, country, imdb_rating, 1 AS src, pos FROM batch)
+SELECT movie_id, title, genre, year, country, CAST(imdb_rating AS DOUBLE) AS imdb_rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY src DESC, pos DESC) AS rn FROM all_rows)
+WHERE rn = 1""", "dim_movie")
+
+SQL["upsert_dim_user"] = with_fixtures("""
+WITH base AS (SELECT * FROM dim_user WHERE user_id % 3 <> 0),
+     batch AS (
+       SELECT user_id, 'v1 ' || name AS name, age_group, country, CAST(user_id AS BIGINT) AS pos
+       FROM dim_user WHERE user_id % 3 <> 1
+       UNION ALL
+       SELECT user_id, 'v2 ' || name AS name, age_group, country, CAST(user_id AS BIGINT) + 1000000 AS pos
+       FROM dim_user WHERE user_id % 5 = 0),
+     all_rows AS (
+       SELECT user_id, name, age_group, country, 0 AS src, 0 AS pos FROM base
+       UNION ALL
+       SELECT user_id, name, age_group, country, 1 AS src, pos FROM batch)
+SELECT user_id, name, age_group, country FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY src DESC, pos DESC) AS rn FROM all_rows)
+WHERE rn = 1""", "dim_user")
+
+SQL["refresh_fact"] = with_fixtures("""
+SELECT row_number() OVER (ORDER BY lake_id NULLS FIRST, movie_id NULLS FIRST, user_id NULLS FIRST,
+                                   score NULLS FIRST, rated_at NULLS FIRST) AS rating_id,
+       movie_id, user_id, CAST(score AS DOUBLE) AS score, rated_at
+FROM clean_ratings""", "clean_ratings")
+
+SQL["surrogate_keys"] = with_fixtures(f"""
+SELECT row_number() OVER (ORDER BY {_MK}) AS id, movie_id AS imdb_id, title FROM dim_movie""", "dim_movie")
+
+SQL["load_counts"] = with_fixtures("""
+SELECT 'dim_movie' AS table_name, COUNT(*) AS rows_loaded FROM dim_movie
+UNION ALL SELECT 'dim_user', COUNT(*) FROM dim_user
+UNION ALL SELECT 'fact_rating', COUNT(*) FROM fact_rating""", "dim_movie", "dim_user", "fact_rating")
+
+# -- JSON payloads (expected hits derived from ``part`` directly) ------------------------
+
+SQL["search_hits"] = f"""
+WITH pg AS (SELECT CAST(p_partkey % 4 AS INT) AS ti, p_partkey // 40 + 1 AS page, p_partkey AS k FROM part),
+     stops AS (SELECT ti, min(page) AS stop FROM pg WHERE (ti + page) % 9 = 0 GROUP BY ti)
+SELECT {_list(SEARCH_TERMS)}[pg.ti + 1] AS term, pg.page,
+       CAST(row_number() OVER (PARTITION BY pg.ti, pg.page ORDER BY pg.k) - 1 AS INT) AS hit,
+       CAST(pg.k AS VARCHAR) AS imdbID
+FROM pg LEFT JOIN stops USING (ti)
+WHERE (stops.stop IS NULL OR pg.page < stops.stop) AND (pg.ti + pg.page) % 11 <> 0"""
+
+SQL["detail_projection"] = with_fixtures("""
+SELECT movie_id AS imdbID, title, coalesce(genre, '') AS genre, CAST(year AS VARCHAR) AS year,
+       country, CAST(imdb_rating AS VARCHAR) AS imdbRating
+FROM dim_movie""", "dim_movie")
+
+# -- selection and sampling -----------------------------------------------------------------
+
+SQL["quota_selection"] = with_fixtures("SELECT id, title, genre, pos, target FROM quota_sel", "quota_sel")
+
+SQL["quota_counts"] = with_fixtures("""
+SELECT t.target, coalesce(c.n, 0) AS accepted, CAST(sum(coalesce(c.n, 0)) OVER () AS BIGINT) AS total_accepted
+FROM (VALUES ('ECONOMY'), ('Brand#1'), ('SMALL')) AS t(target)
+LEFT JOIN (SELECT target, COUNT(*) AS n FROM quota_sel GROUP BY target) c ON c.target = t.target""", "quota_sel")
+
+SQL["dedupe_first"] = with_fixtures("SELECT id, title, genre, pos FROM first_candidates", "first_candidates")
+
+SQL["sample_k_per_user"] = with_fixtures("SELECT user_id, movie_id, draw FROM sample_pairs", "sample_pairs")
+
+SQL["assign_categories"] = with_fixtures(f"""
+SELECT user_id,
+  {_list(AGE_GROUPS)}[1 + {_hash("'42|age|' || CAST(user_id AS VARCHAR)")} % {len(AGE_GROUPS)}] AS age_group,
+  {_list(COUNTRIES)}[1 + {_hash("'42|country|' || CAST(user_id AS VARCHAR)")} % {len(COUNTRIES)}] AS country
+FROM dim_user""", "dim_user")
+
+SQL["synthetic_scores"] = with_fixtures(f"""
+SELECT user_id, movie_id,
+  CAST((10 * 4294967296 + 90 * {_hash("'42|score|' || CAST(user_id AS VARCHAR) || '|' || movie_id")}
+        + 2147483648) // 4294967296 AS DOUBLE) / 10 AS score,
+  DATE '2024-02-15' AS rated_at
+FROM sample_pairs""", "sample_pairs")
+
+# -- display ------------------------------------------------------------------------------------
+
+_POPULAR_KEYED = f"""
+SELECT m.movie_id, m.title, m.genre, COUNT(f.rating_id) AS total_ratings, {avg2('f.score')} AS avg_score
+FROM fact_rating f JOIN dim_movie m ON m.movie_id = f.movie_id
+GROUP BY m.movie_id, m.title, m.genre
+ORDER BY total_ratings DESC, m.movie_id
+LIMIT 5"""
+
+SQL["display_rank"] = with_fixtures(f"""
+SELECT row_number() OVER (ORDER BY total_ratings DESC, movie_id) AS position,
+       title, genre, total_ratings, avg_score
+FROM ({_POPULAR_KEYED})""", "fact_rating", "dim_movie")
+
+SQL["primary_genre_badge"] = with_fixtures(f"""
+SELECT title, split_part(coalesce(nullif(genre, ''), '{PLACEHOLDER}'), ',', 1) AS genre_badge,
+       total_ratings, avg_score
+FROM ({_POPULAR_KEYED})""", "fact_rating", "dim_movie")
+
+SQL["genre_headers"] = with_fixtures(_TOP10 + """
+SELECT primary_genre, title, avg_score, total_ratings, rk, rk = 1 AS is_header
+FROM genre_scores WHERE rk <= 10""", "fact_rating", "dim_movie")
+
+
+def _ph(col: str, zero: bool = True) -> str:
+    text = f"CAST({col} AS VARCHAR)"
+    cond = f"{col} IS NULL OR {text} = ''"
+    if zero:
+        cond += f" OR TRY_CAST({text} AS DOUBLE) = 0"
+    return f"CASE WHEN {cond} THEN '{PLACEHOLDER}' ELSE {text} END"
+
+
+_AVG_DEC = f"CAST({avg2('r.score')} AS DECIMAL(18,2))"
+
+SQL["display_placeholders"] = with_fixtures(f"""
+SELECT m.imdb_id, m.title, {_ph('m.genre', False)} AS genre, {_ph('m.year')} AS year,
+       {_ph('m.country', False)} AS country, {_ph('m.imdb_rating')} AS imdb_rating,
+       coalesce(m.imdb_rating, 0) <> 0 AS rating_badge,
+       COUNT(r.id) AS num_ratings, {_ph(_AVG_DEC)} AS avg_score
+FROM movies m LEFT JOIN ratings r ON m.imdb_id = r.movie_id
+GROUP BY m.imdb_id, m.title, m.genre, m.year, m.country, m.imdb_rating""", "movies", "ratings")
+
+SQL["stats_if_rated"] = with_fixtures(f"""
+SELECT m.imdb_id, coalesce(s.total, 0) AS total, coalesce(s.total, 0) > 0 AS show_stats,
+       CASE WHEN coalesce(s.total, 0) > 0 THEN {_ph('s.avg')} END AS avg,
+       CASE WHEN coalesce(s.total, 0) > 0 THEN CAST(s.max_score AS DOUBLE) END AS max_score,
+       CASE WHEN coalesce(s.total, 0) > 0 THEN CAST(s.min_score AS DOUBLE) END AS min_score
+FROM movies m LEFT JOIN (
+  SELECT r.movie_id, COUNT(*) AS total, {_AVG_DEC} AS avg, MAX(r.score) AS max_score, MIN(r.score) AS min_score
+  FROM ratings r GROUP BY r.movie_id) s ON s.movie_id = m.imdb_id""", "movies", "ratings")
+
+SQL["catalog_size"] = with_fixtures("SELECT COUNT(*) AS num_titles FROM movies", "movies")

@@ -10,11 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinelake.operators import clean, integrity, keys, sampling, upsert
 from cinelake.oracle import DETAIL_MOVIE_ID
-from cinelake.plans import analytics, dashboards, marts
-from cinelake.sources.adapters import app_tables, star
+from cinelake.plans import analytics, dashboards, display, marts
+from cinelake.schemas import DIM_MOVIE, DIM_USER, FACT_RATING
+from cinelake.sources import fixtures, payloads
+from cinelake.sources.adapters import app_tables, read_table, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,3 +160,222 @@ def _mart_ratings_by_country(spark, sf):
 def _mart_country_top10(spark, sf):
     s = star(spark, sf)
     return marts.country_top(s.fact_rating, s.dim_user, k=10)
+
+
+# -- cleaning -------------------------------------------------------------------
+
+@register("clean_movies")
+def _clean_movies(spark, sf):
+    return clean.clean_movies(clean.lake_nulls(fixtures.raw_movies(star(spark, sf))))
+
+
+@register("clean_users")
+def _clean_users(spark, sf):
+    return clean.clean_users(clean.lake_nulls(fixtures.raw_users(star(spark, sf))))
+
+
+@register("clean_ratings")
+def _clean_ratings(spark, sf):
+    return clean.clean_ratings(clean.lake_nulls(fixtures.raw_ratings(star(spark, sf))))
+
+
+@register("na_tokens")
+def _na_tokens(spark, sf):
+    s = star(spark, sf)
+    out = None
+    for name, raw in (
+        ("movies", fixtures.raw_movies(s)),
+        ("users", fixtures.raw_users(s)),
+        ("ratings", fixtures.raw_ratings(s)),
+    ):
+        nulls = clean.lake_nulls(raw)
+        checks = [integrity.Check(c, F.col(c).isNull()) for c in nulls.columns]
+        part = integrity.violation_counts(nulls, name, checks).withColumnsRenamed(
+            {"check_name": "column_name", "violations": "missing"}
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("violation_report")
+def _violation_report(spark, sf):
+    s = star(spark, sf)
+    return integrity.violation_report({
+        "dim_movie": (s.dim_movie, DIM_MOVIE),
+        "dim_user": (s.dim_user, DIM_USER),
+        "fact_rating": (s.fact_rating, FACT_RATING),
+    })
+
+
+@register("duplicate_keys")
+def _duplicate_keys(spark, sf):
+    return integrity.duplicate_keys(star(spark, sf).fact_rating, "rating_id")
+
+
+# -- referential integrity ---------------------------------------------------------
+
+@register("ratings_known_movies")
+def _ratings_known_movies(spark, sf):
+    s = star(spark, sf)
+    return integrity.keep_known(s.fact_rating, fixtures.dim_movie_partial(s), "movie_id")
+
+
+@register("orphan_movies")
+def _orphan_movies(spark, sf):
+    s = star(spark, sf)
+    return integrity.orphans(s.fact_rating, fixtures.dim_movie_partial(s), "movie_id")
+
+
+@register("orphan_users")
+def _orphan_users(spark, sf):
+    s = star(spark, sf)
+    return integrity.orphans(s.fact_rating, fixtures.dim_user_partial(s), "user_id")
+
+
+@register("cascade_delete")
+def _cascade_delete(spark, sf):
+    s = star(spark, sf)
+    return integrity.cascade_delete(
+        s.fact_rating, {"movie_id": fixtures.deleted_movies(s), "user_id": fixtures.deleted_users(s)}
+    )
+
+
+# -- loads ------------------------------------------------------------------------------
+
+@register("upsert_dim_movie")
+def _upsert_dim_movie(spark, sf):
+    base, batch = fixtures.upsert_movie_inputs(star(spark, sf))
+    return upsert.upsert(base, batch, "movie_id", "pos")
+
+
+@register("upsert_dim_user")
+def _upsert_dim_user(spark, sf):
+    base, batch = fixtures.upsert_user_inputs(star(spark, sf))
+    return upsert.upsert(base, batch, "user_id", "pos")
+
+
+@register("refresh_fact")
+def _refresh_fact(spark, sf):
+    raw = clean.lake_nulls(fixtures.raw_ratings(star(spark, sf)))
+    cleaned = clean.clean_ratings(raw.withColumn("_pos_lake_id", F.col("id").cast("long")))
+    keyed = keys.dense_index(
+        cleaned,
+        [
+            F.col("_pos_lake_id").asc_nulls_first(),
+            F.col("movie_id").asc_nulls_first(),
+            F.col("user_id").asc_nulls_first(),
+            F.col("score").asc_nulls_first(),
+            F.col("rated_at").asc_nulls_first(),
+        ],
+        name="rating_id",
+    )
+    return keyed.select("rating_id", "movie_id", "user_id", "score", "rated_at")
+
+
+@register("surrogate_keys")
+def _surrogate_keys(spark, sf):
+    d = star(spark, sf).dim_movie.select("movie_id", "title", F.col("movie_id").cast("long").alias("_k"))
+    keyed = keys.dense_index(d, [F.col("_k").asc()], name="id")
+    return keyed.select("id", F.col("movie_id").alias("imdb_id"), "title")
+
+
+@register("load_counts")
+def _load_counts(spark, sf):
+    s = star(spark, sf)
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("rows_loaded")).select(F.lit(name).alias("table_name"), "rows_loaded")
+        for name, df in (("dim_movie", s.dim_movie), ("dim_user", s.dim_user), ("fact_rating", s.fact_rating))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# -- JSON payloads ------------------------------------------------------------------------
+
+@register("search_hits")
+def _search_hits(spark, sf):
+    return payloads.search_hits(fixtures.search_pages(read_table(spark, sf, "part")))
+
+
+@register("detail_projection")
+def _detail_projection(spark, sf):
+    return payloads.detail_projection(fixtures.detail_payloads(star(spark, sf)))
+
+
+# -- selection and sampling ------------------------------------------------------------------
+
+def _quota(spark, sf):
+    return sampling.quota_select(
+        fixtures.candidates(star(spark, sf)), fixtures.QUOTA_TARGETS, fixtures.QUOTA
+    )
+
+
+@register("quota_selection")
+def _quota_selection(spark, sf):
+    return _quota(spark, sf)
+
+
+@register("quota_counts")
+def _quota_counts(spark, sf):
+    return sampling.quota_counts(_quota(spark, sf), fixtures.QUOTA_TARGETS)
+
+
+@register("dedupe_first")
+def _dedupe_first(spark, sf):
+    return sampling.dedupe_first(fixtures.candidates(star(spark, sf)), "id", "pos")
+
+
+def _pairs(spark, sf):
+    s = star(spark, sf)
+    return sampling.sample_k(s.dim_user, s.dim_movie, "user_id", "movie_id", k=sampling.RATINGS_PER_USER)
+
+
+@register("sample_k_per_user")
+def _sample_k_per_user(spark, sf):
+    return _pairs(spark, sf)
+
+
+@register("assign_categories")
+def _assign_categories(spark, sf):
+    return sampling.assign_categories(star(spark, sf).dim_user, "user_id")
+
+
+@register("synthetic_scores")
+def _synthetic_scores(spark, sf):
+    return sampling.synthetic_scores(_pairs(spark, sf).select("user_id", "movie_id"), ["user_id", "movie_id"])
+
+
+# -- display --------------------------------------------------------------------------------
+
+@register("display_rank")
+def _display_rank(spark, sf):
+    s = star(spark, sf)
+    return display.ranked_popular(s.fact_rating, s.dim_movie, k=5)
+
+
+@register("genre_headers")
+def _genre_headers(spark, sf):
+    s = star(spark, sf)
+    return display.genre_headers(s.fact_rating, s.dim_movie, n=10)
+
+
+@register("display_placeholders")
+def _display_placeholders(spark, sf):
+    a = app_tables(spark, sf)
+    return display.catalog_display(a.movies, a.ratings)
+
+
+@register("primary_genre_badge")
+def _primary_genre_badge(spark, sf):
+    s = star(spark, sf)
+    return display.popular_badges(s.fact_rating, s.dim_movie, k=5)
+
+
+@register("stats_if_rated")
+def _stats_if_rated(spark, sf):
+    a = app_tables(spark, sf)
+    return display.stats_if_rated(a.movies, a.ratings)
+
+
+@register("catalog_size")
+def _catalog_size(spark, sf):
+    return display.catalog_size(app_tables(spark, sf).movies)
