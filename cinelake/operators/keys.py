@@ -67,6 +67,8 @@ def dense_index_in_scan_order(
     splits; ``row_col`` is ``monotonically_increasing_id`` taken at the
     scan, contiguous inside a split. Only the per-split table (one row per
     split) is ordered and summed; the data keeps its scan partitioning.
+    Rows must not have been filtered out since the scan (gaps inside a
+    split would leave gaps in the keys); use ``dense_index`` otherwise.
     """
     splits = df.groupBy(*split_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min(row_col).alias("_base")
