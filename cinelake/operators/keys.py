@@ -4,9 +4,11 @@
 Two passes over a materialised, range-partitioned copy:
 
 1. sort by the order (range exchange; partition i holds only rows that
-   precede those of partition i+1) and checkpoint it to the shared folder,
-   so both passes see the same partitioning and a lost executor recomputes
-   nothing upstream;
+   precede those of partition i+1), tag every row with
+   ``monotonically_increasing_id`` (partition index in the high bits, row
+   position in the low 33 bits) and write the tagged rows as parquet to the
+   shared checkpoint folder — both passes then read the same immutable
+   rows, and a lost executor recomputes nothing upstream;
 2. count rows per partition (one row per partition), turn the counts into
    start offsets, and add each row's position inside its partition, which
    ``monotonically_increasing_id`` already encodes in its low 33 bits.
@@ -22,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelake.session import checkpoint_dir
+from cinelake.session import staging_path
 
 _MID = "_dense_mid"
 _PID = "_dense_pid"
@@ -45,13 +47,14 @@ def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "id",
     ``order`` should be total (end with a unique key); rows that tie on all
     of it are interchangeable only if they are identical.
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     ordered = df.orderBy(*order)
     tagged = ordered.withColumn(_MID, F.monotonically_increasing_id()).withColumn(
         _PID, F.shiftright(F.col(_MID), 33)
     )
-    tagged = tagged.checkpoint(eager=True)
-    return _assign(tagged, name, start)
+    path = staging_path(spark, "dense-index")
+    tagged.write.mode("errorifexists").parquet(path)
+    return _assign(spark.read.parquet(path), name, start)
 
 
 def dense_index_in_scan_order(

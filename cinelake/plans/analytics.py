@@ -68,11 +68,11 @@ def best_genre_lists(fact: DataFrame, dim_movie: DataFrame, k: int = 10) -> Data
 def countries(fact: DataFrame, dim_user: DataFrame, k: int = 10, distinct: bool = True) -> DataFrame:
     """User countries by number of ratings, most first.
 
-    With ``distinct`` the distinct titles rated per country are counted too.
-    That needs (country, title) pairs, so the fact is joined to users before
-    aggregating; Catalyst plans the single distinct as a two-level
-    aggregation whose first level also computes the plain sums. Without it
-    the fact is aggregated per user first (eager aggregation).
+    The fact joins the users directly (AQE broadcasts the user side when its
+    measured size allows, else sort-merge with skew splitting). With
+    ``distinct`` the distinct titles rated per country are counted too;
+    Catalyst plans the single distinct as a two-level aggregation on
+    (country, title) whose first level also computes the plain sums.
     """
     users = dim_user.where(F.col("country").isNotNull()).select("user_id", "country")
     if distinct:
@@ -83,7 +83,8 @@ def countries(fact: DataFrame, dim_user: DataFrame, k: int = 10, distinct: bool
         )
         cols = ["country", "total_ratings", "distinct_movies_watched", "avg_score"]
     else:
-        g = stats.regroup(stats.by_user(fact).join(users, "user_id", "inner"), ["country"]).select(
+        joined = fact.select("user_id", "rating_id", "score").join(users, "user_id", "inner")
+        g = stats.rating_sums(joined, ["country"]).select(
             "country",
             F.col(stats.N_RATINGS).alias("total_ratings"),
             stats.avg_score().alias("avg_score"),

@@ -56,9 +56,18 @@ def top_n_display(fact: DataFrame, dim_movie: DataFrame, n: int = 10) -> DataFra
 
 
 def _by_user_attribute(fact: DataFrame, dim_user: DataFrame, attribute: str) -> DataFrame:
+    """Partial sums per user attribute (age group, country).
+
+    The fact joins the users directly: AQE broadcasts the user side when its
+    measured size allows (no shuffle of the fact at all; the aggregation by
+    attribute is then partial per task), otherwise it sort-merge joins and
+    splits a user holding a large share of the ratings. Aggregating per user
+    first would not shrink the fact much at scale (few ratings per user per
+    task) and would rule out the broadcast.
+    """
     users = dim_user.where(F.col(attribute).isNotNull()).select("user_id", attribute)
-    joined = stats.by_user(fact).join(users, "user_id", "inner")
-    return stats.regroup(joined, [attribute])
+    joined = fact.select("user_id", "rating_id", "score").join(users, "user_id", "inner")
+    return stats.rating_sums(joined, [attribute])
 
 
 def avg_by_age_group(fact: DataFrame, dim_user: DataFrame) -> DataFrame:

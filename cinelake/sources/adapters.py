@@ -11,13 +11,8 @@ cross-check, so both engines read identical inputs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from cinelake.schemas import IMDB_RATING_TYPE, SCORE_TYPE
 
 TPCH_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -26,31 +21,84 @@ TPCH_TABLES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table (parquet; projection and filters push down)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# One scan DataFrame per (session, path): listing files and reading the
+# parquet footer happen once per session instead of once per query. The
+# test tables are immutable; ``forget_tables`` drops the cache otherwise.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
+# Tables on the fact side, whose size grows with the data.
+FACT_SIDE_TABLES = frozenset({"lineitem"})
+
 
+def spread_if_unsplit(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has
+    cores (e.g. one large file written as a single row group) so the work
+    above it runs in parallel.
 
-def _null_when(cond: Column, value: Column) -> Column:
-    return F.when(cond, F.lit(None)).otherwise(value)
+    A scan with enough splits — any table of real size — is returned
+    unchanged, so this never adds a shuffle at scale. The spread hashes a
+    scan-order row id: deterministic on task retry (the scan order is
+    fixed) and balanced whatever the key distribution, so a key holding a
+    third of the rows cannot skew it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, F.monotonically_increasing_id())
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one driver table (parquet; projection and filters push down)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        if name in FACT_SIDE_TABLES:
+            df = spread_if_unsplit(df)
+        _SCANS[key] = df
+    return df
+
+
+def forget_tables() -> None:
+    _SCANS.clear()
+    _STARS.clear()
+
+
+# Column definitions as SQL expressions: one parse per column instead of a
+# JVM round trip per operator, which keeps planning cheap.
+_DIM_MOVIE = [
+    "CAST(p_partkey AS STRING) AS movie_id",
+    "p_name AS title",
+    """CASE WHEN p_partkey % 31 = 0 THEN CAST(NULL AS STRING)
+            WHEN p_partkey % 2 = 0 THEN p_type
+            ELSE concat(p_type, ', ', p_brand) END AS genre""",
+    "CASE WHEN p_partkey % 37 = 0 THEN CAST(NULL AS INT) ELSE CAST(1950 + p_size AS INT) END AS year",
+    "CASE WHEN p_partkey % 43 = 0 THEN CAST(NULL AS STRING) ELSE p_brand END AS country",
+    """CASE WHEN p_partkey % 47 = 0 THEN CAST(NULL AS DECIMAL(3,1))
+            ELSE CAST(CAST(p_partkey % 101 AS DECIMAL(5,1)) / 10 AS DECIMAL(3,1)) END AS imdb_rating""",
+]
+
+_DIM_USER = [
+    "CAST(c_custkey AS INT) AS user_id",
+    "c_name AS name",
+    "CASE WHEN c_custkey % 41 = 0 THEN CAST(NULL AS STRING) ELSE c_mktsegment END AS age_group",
+    "CASE WHEN c_nationkey = 13 THEN CAST(NULL AS STRING) ELSE n_name END AS country",
+]
+
+_FACT_RATING = [
+    "CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS rating_id",
+    "CAST(l_partkey AS STRING) AS movie_id",
+    "CAST(o_custkey AS INT) AS user_id",
+    """CASE WHEN l_linenumber = 7 OR l_partkey % 29 = 0 THEN CAST(NULL AS DECIMAL(4,2))
+            ELSE CAST(CAST(CAST(l_quantity AS INT) * 20 AS DECIMAL(6,2)) / 100 AS DECIMAL(4,2)) END AS score""",
+    "CASE WHEN l_suppkey % 53 = 0 THEN CAST(NULL AS DATE) ELSE CAST(l_shipdate AS DATE) END AS rated_at",
+]
 
 
 def dim_movie_from_part(part: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
-    genre = (
-        F.when(k % 31 == 0, F.lit(None).cast(T.StringType()))
-        .when(k % 2 == 0, F.col("p_type"))
-        .otherwise(F.concat(F.col("p_type"), F.lit(", "), F.col("p_brand")))
-    )
-    rating = ((k % 101).cast(T.DecimalType(5, 1)) / F.lit(10)).cast(IMDB_RATING_TYPE)
-    return part.select(
-        k.cast(T.StringType()).alias("movie_id"),
-        F.col("p_name").alias("title"),
-        genre.alias("genre"),
-        _null_when(k % 37 == 0, (F.lit(1950) + F.col("p_size")).cast(T.IntegerType())).alias("year"),
-        _null_when(k % 43 == 0, F.col("p_brand")).alias("country"),
-        _null_when(k % 47 == 0, rating).cast(IMDB_RATING_TYPE).alias("imdb_rating"),
-    )
+    return part.selectExpr(*_DIM_MOVIE)
 
 
 def dim_user_from_customer(customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -58,70 +106,106 @@ def dim_user_from_customer(customer: DataFrame, nation: DataFrame) -> DataFrame:
     # so it is broadcast and the customer side is never shuffled.
     nat = F.broadcast(nation.select("n_nationkey", "n_name"))
     joined = customer.join(nat, customer["c_nationkey"] == nat["n_nationkey"], "inner")
-    return joined.select(
-        F.col("c_custkey").cast(T.IntegerType()).alias("user_id"),
-        F.col("c_name").alias("name"),
-        _null_when(F.col("c_custkey") % 41 == 0, F.col("c_mktsegment")).alias("age_group"),
-        _null_when(F.col("c_nationkey") == 13, F.col("n_name")).alias("country"),
-    )
+    return joined.selectExpr(*_DIM_USER)
 
 
 def fact_rating_from_lineitem(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    li = lineitem.where(F.col("l_partkey") % 23 != 0)
+    li = lineitem.where("l_partkey % 23 <> 0")
     od = orders.select("o_orderkey", "o_custkey")
     joined = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
-    score = (
-        (F.col("l_quantity").cast(T.IntegerType()) * 20).cast(T.DecimalType(6, 2)) / F.lit(100)
-    ).cast(SCORE_TYPE)
-    return joined.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast(T.LongType()).alias("rating_id"),
-        F.col("l_partkey").cast(T.StringType()).alias("movie_id"),
-        F.col("o_custkey").cast(T.IntegerType()).alias("user_id"),
-        _null_when((F.col("l_linenumber") == 7) | (F.col("l_partkey") % 29 == 0), score)
-        .cast(SCORE_TYPE)
-        .alias("score"),
-        _null_when(F.col("l_suppkey") % 53 == 0, F.col("l_shipdate").cast(T.DateType())).alias("rated_at"),
-    )
-
-
-@dataclass(frozen=True)
+    return joined.selectExpr(*_FACT_RATING)
+
+
 class Star:
-    """The warehouse star schema (``dw``)."""
+    """The warehouse star schema (``dw``).
 
-    dim_movie: DataFrame
-    dim_user: DataFrame
-    fact_rating: DataFrame
+    Built lazily: a query that only needs ``dim_movie`` never plans the
+    ``lineitem ⋈ orders`` adapter.
+    """
+
+    def __init__(self, dim_movie=None, dim_user=None, fact_rating=None, loader=None):
+        self._given = {"dim_movie": dim_movie, "dim_user": dim_user, "fact_rating": fact_rating}
+        self._loader = loader
+        self._session: SparkSession | None = None
+
+    def _get(self, name: str) -> DataFrame:
+        df = self._given.get(name)
+        if df is None:
+            df = self._loader(name)
+            self._given[name] = df
+        return df
+
+    @property
+    def dim_movie(self) -> DataFrame:
+        return self._get("dim_movie")
+
+    @property
+    def dim_user(self) -> DataFrame:
+        return self._get("dim_user")
+
+    @property
+    def fact_rating(self) -> DataFrame:
+        return self._get("fact_rating")
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Star":
         t = lambda name: read_table(spark, sf_dir, name)
-        return cls(
-            dim_movie=dim_movie_from_part(t("part")),
-            dim_user=dim_user_from_customer(t("customer"), t("nation")),
-            fact_rating=fact_rating_from_lineitem(t("lineitem"), t("orders")),
-        )
+        builders = {
+            "dim_movie": lambda: dim_movie_from_part(t("part")),
+            "dim_user": lambda: dim_user_from_customer(t("customer"), t("nation")),
+            "fact_rating": lambda: fact_rating_from_lineitem(t("lineitem"), t("orders")),
+        }
+        return cls(loader=lambda name: builders[name]())
 
     def app_tables(self) -> "AppTables":
         """The application copy (schema ``public``) with its own key names."""
+        star = self
         return AppTables(
-            movies=self.dim_movie.withColumnRenamed("movie_id", "imdb_id"),
-            users=self.dim_user.withColumnRenamed("user_id", "id"),
-            ratings=self.fact_rating.withColumnRenamed("rating_id", "id"),
+            lambda: star.dim_movie.withColumnRenamed("movie_id", "imdb_id"),
+            lambda: star.dim_user.withColumnRenamed("user_id", "id"),
+            lambda: star.fact_rating.withColumnRenamed("rating_id", "id"),
         )
 
 
-@dataclass(frozen=True)
 class AppTables:
-    """``movies`` / ``users`` / ``ratings`` of the application schema."""
+    """``movies`` / ``users`` / ``ratings`` of the application schema
+    (built on first use)."""
+
+    def __init__(self, movies, users, ratings):
+        self._make = {"movies": movies, "users": users, "ratings": ratings}
+        self._made: dict[str, DataFrame] = {}
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._make[name]()
+        return self._made[name]
+
+    @property
+    def movies(self) -> DataFrame:
+        return self._get("movies")
+
+    @property
+    def users(self) -> DataFrame:
+        return self._get("users")
+
+    @property
+    def ratings(self) -> DataFrame:
+        return self._get("ratings")
+
 
-    movies: DataFrame
-    users: DataFrame
-    ratings: DataFrame
+_STARS: dict[tuple[int, str], Star] = {}
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star.from_testdata(spark, sf_dir)
+    """The (lazily built) star schema over ``sf_dir``; one per session."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    s = _STARS.get(key)
+    if s is None or s._session is not spark:
+        s = Star.from_testdata(spark, sf_dir)
+        s._session = spark
+        _STARS[key] = s
+    return s
 
 
 def app_tables(spark: SparkSession, sf_dir: str) -> AppTables:
-    return Star.from_testdata(spark, sf_dir).app_tables()
+    return star(spark, sf_dir).app_tables()
