@@ -14,7 +14,7 @@ Sub-packages
                top-k, cleaning, integrity checks, upsert, dense keys,
                sampling).
 ``plans``      the named business queries (dashboards, analytics, marts,
-               display projections) and the batch load pipeline.
+               display projections) and the batch lake load.
 ``streaming``  the lake load re-expressed as an incremental file stream.
 """
 

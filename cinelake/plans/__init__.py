@@ -1 +1 @@
-"""Named business queries and the batch load pipeline."""
+"""Named business queries and the batch load."""

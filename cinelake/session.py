@@ -52,13 +52,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     The cluster names it in ``spark.checkpoint.dir``; we read it from the
-    session and only fall back to a fresh local folder where it is unset
-    (local runs and tests).
+    session. Only a local-mode session (tests, local runs) may fall back to
+    a fresh temporary folder; on a cluster an unset value is an error, since
+    a machine-local folder is not visible to other executors.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor can reach"
+            )
         current = tempfile.mkdtemp(prefix="cinelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinelake.operators.integrity import IntegrityError
-from cinelake.plans.pipeline import APP_POLICY, app_warehouse, load_lake
+from cinelake.plans.load import APP_POLICY, app_warehouse, load_lake
 from cinelake.sources import fixtures
 from cinelake.sources.adapters import star
 from cinelake.sources.lake import write_lake_csv
