@@ -92,7 +92,7 @@ def split_rejects(raw: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Alternative to failing: rows whose integer ``key`` is missing or not
     an integer go to a reject frame, the rest are kept (one pass each)."""
     ok = F.col(key).try_cast(T.IntegerType()).isNotNull()
-    return raw.where(ok), raw.where(~ok | F.col(key).isNull())
+    return raw.where(ok), raw.where(~ok)
 
 
 def lake_nulls(raw: DataFrame) -> DataFrame:

@@ -24,6 +24,8 @@ def test_no_python_udf_in_any_plan(spark, key):
     text = _formatted(entry.queries()[key](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in text, f"{key} runs Python: {node}"
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text, f"{key} pairs rows without a key: {node}"
 
 
 def test_top_n_per_genre_uses_window_group_limit(spark):

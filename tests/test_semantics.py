@@ -170,3 +170,10 @@ def test_movie_stats_one_row_for_unknown_title(spark):
     r = dashboards.movie_stats(ratings, "nope").collect()
     assert len(r) == 1 and r[0].total == 0 and r[0].avg is None
     assert dashboards.movie(ratings.withColumnRenamed("movie_id", "imdb_id"), "nope").isEmpty()
+
+
+def test_split_rejects_keeps_good_rows(spark):
+    raw = spark.createDataFrame([("1",), ("x",), (None,), ("2",)], "user_id string")
+    ok, bad = clean.split_rejects(raw, "user_id")
+    assert sorted(r.user_id for r in ok.collect()) == ["1", "2"]
+    assert sorted((r.user_id or "") for r in bad.collect()) == ["", "x"]
