@@ -10,30 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinelake.fixed_values import GENRE_SEPARATOR, LAKE_DATE_FORMAT, NA_TOKENS, PLACEHOLDER  # noqa: F401
 from cinelake.schemas import IMDB_RATING_TYPE, SCORE_TYPE
 
-# ---------------------------------------------------------------------------
-# Fixed values (must equal the reference's behaviour for equal results)
-# ---------------------------------------------------------------------------
-
-# Strings that the lake reader turns into missing values: the default
-# missing-value tokens of pandas' CSV reader, which the reference's loaders
-# rely on (read with every column as text).
-NA_TOKENS = [
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
-    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
-    "nan", "null",
-]
-
-# Display placeholder for a missing value (an en dash).
-PLACEHOLDER = "–"
-
-# Separator of the genre list kept in one string ("Action, Drama").
-GENRE_SEPARATOR = ","
-
-# ISO date format of the lake's rating dates.
-LAKE_DATE_FORMAT = "yyyy-MM-dd"
-
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col

@@ -31,25 +31,20 @@ from cinelake.operators.keys import dense_index
 from cinelake.operators.upsert import first_per_key
 from cinelake.schemas import SCORE_TYPE
 
-# ---------------------------------------------------------------------------
-# Fixed values of the reference generator
-# ---------------------------------------------------------------------------
-
-TARGET_GENRES = ["Action", "Sci-Fi", "Comedy"]
-SEARCH_TERMS = ["Life", "World", "Star", "Man"]
-QUOTA_PER_GENRE = 15
-MAX_PAGES_PER_TERM = 5
-USER_COUNT = 20
-RATINGS_PER_USER = 5
-AGE_GROUPS = ["18-24", "25-34", "35-44", "45-54", "55+"]
-COUNTRIES = [
-    "Brazil", "United States", "Mexico", "Argentina", "Colombia",
-    "Portugal", "Germany", "France", "United Kingdom", "Spain",
-]
-SCORE_MIN = 1.0
-SCORE_MAX = 10.0
-RATED_AT = "2024-02-15"
-SEED = 42
+from cinelake.fixed_values import (  # noqa: F401 - re-exported
+    AGE_GROUPS,
+    COUNTRIES,
+    MAX_PAGES_PER_TERM,
+    QUOTA_PER_GENRE,
+    RATED_AT,
+    RATINGS_PER_USER,
+    SCORE_MAX,
+    SCORE_MIN,
+    SEARCH_TERMS,
+    SEED,
+    TARGET_GENRES,
+    USER_COUNT,
+)
 
 
 # ---------------------------------------------------------------------------

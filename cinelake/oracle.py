@@ -494,7 +494,7 @@ UNION ALL SELECT 'fact_rating', COUNT(*) FROM fact_rating""", "dim_movie", "dim_
 
 # -- JSON payloads (expected hits derived from ``part`` directly) ------------------------
 
-SQL["search_hits"] = f"""
+_HITS = f"""
 WITH pg AS (SELECT CAST(p_partkey % 4 AS INT) AS ti, p_partkey // 40 + 1 AS page, p_partkey AS k FROM part),
      stops AS (SELECT ti, min(page) AS stop FROM pg WHERE (ti + page) % 9 = 0 GROUP BY ti)
 SELECT {_list(SEARCH_TERMS)}[pg.ti + 1] AS term, pg.page,
@@ -502,6 +502,7 @@ SELECT {_list(SEARCH_TERMS)}[pg.ti + 1] AS term, pg.page,
        CAST(pg.k AS VARCHAR) AS imdbID
 FROM pg LEFT JOIN stops USING (ti)
 WHERE (stops.stop IS NULL OR pg.page < stops.stop) AND (pg.ti + pg.page) % 11 <> 0"""
+SQL["search_hits"] = _HITS
 
 SQL["detail_projection"] = with_fixtures("""
 SELECT movie_id AS imdbID, title, coalesce(genre, '') AS genre, CAST(year AS VARCHAR) AS year,
@@ -586,3 +587,28 @@ FROM movies m LEFT JOIN (
   FROM ratings r GROUP BY r.movie_id) s ON s.movie_id = m.imdb_id""", "movies", "ratings")
 
 SQL["catalog_size"] = with_fixtures("SELECT COUNT(*) AS num_titles FROM movies", "movies")
+
+# -- lake acquisition ------------------------------------------------------------------------
+
+SQL["lake_movie_selection"] = with_fixtures(f"""
+WITH hits AS (
+       SELECT imdbID, CAST((list_position({_list(SEARCH_TERMS)}, term) - 1) * CAST(1000000000 AS BIGINT)
+                           + page * 1000 + hit AS BIGINT) AS pos
+       FROM ({_HITS.strip()})),
+     det AS (
+       SELECT movie_id AS imdbID, title, coalesce(genre, '') AS genre, CAST(year AS VARCHAR) AS year,
+              country, CAST(imdb_rating AS VARCHAR) AS imdbRating FROM dim_movie),
+     cand AS (SELECT h.imdbID, d.title, d.genre, d.year, d.country, d.imdbRating, h.pos
+              FROM hits h JOIN det d ON d.imdbID = h.imdbID),
+     firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY imdbID ORDER BY pos) AS rn FROM cand)
+                WHERE rn = 1),
+     t1 AS (SELECT *, 'ECONOMY' AS target FROM firsts WHERE contains(genre, 'ECONOMY')
+            ORDER BY pos, imdbID LIMIT 15),
+     t2 AS (SELECT *, 'Brand#1' AS target FROM firsts WHERE contains(genre, 'Brand#1')
+              AND imdbID NOT IN (SELECT imdbID FROM t1) ORDER BY pos, imdbID LIMIT 15),
+     t3 AS (SELECT *, 'SMALL' AS target FROM firsts WHERE contains(genre, 'SMALL')
+              AND imdbID NOT IN (SELECT imdbID FROM t1) AND imdbID NOT IN (SELECT imdbID FROM t2)
+            ORDER BY pos, imdbID LIMIT 15)
+SELECT imdbID, title, genre, year, country, imdbRating, target FROM t1
+UNION ALL SELECT imdbID, title, genre, year, country, imdbRating, target FROM t2
+UNION ALL SELECT imdbID, title, genre, year, country, imdbRating, target FROM t3""", "dim_movie")

@@ -13,6 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinelake.fixed_values import (
+    TOP_COUNTRIES,
+    TOP_COUNTRIES_SHORT,
+    TOP_GENRES,
+    TOP_GENRES_SHORT,
+    TOP_PER_GENRE,
+    TOP_POPULAR,
+)
 from cinelake.operators import clean, integrity, keys, sampling, upsert
 from cinelake.oracle import DETAIL_MOVIE_ID
 from cinelake.plans import analytics, dashboards, display, marts
@@ -55,7 +63,7 @@ def register(name: str) -> Callable[[Query], Query]:
 @register("dashboard_top_movies")
 def _dashboard_top_movies(spark, sf):
     a = app_tables(spark, sf)
-    return dashboards.top_rated(a.movies, a.ratings, k=5)
+    return dashboards.top_rated(a.movies, a.ratings, k=TOP_POPULAR)
 
 
 @register("dashboard_totals")
@@ -91,43 +99,43 @@ def _movie_stats(spark, sf):
 @register("popular_titles")
 def _popular_titles(spark, sf):
     s = star(spark, sf)
-    return analytics.popular(s.fact_rating, s.dim_movie, k=5)
+    return analytics.popular(s.fact_rating, s.dim_movie, k=TOP_POPULAR)
 
 
 @register("popular_titles_short")
 def _popular_titles_short(spark, sf):
     s = star(spark, sf)
-    return analytics.popular(s.fact_rating, s.dim_movie, k=5, with_genre=False)
+    return analytics.popular(s.fact_rating, s.dim_movie, k=TOP_POPULAR, with_genre=False)
 
 
 @register("genre_by_primary")
 def _genre_by_primary(spark, sf):
     s = star(spark, sf)
-    return analytics.best_genres(s.fact_rating, s.dim_movie, k=10)
+    return analytics.best_genres(s.fact_rating, s.dim_movie, k=TOP_GENRES)
 
 
 @register("genre_by_primary_top5")
 def _genre_by_primary_top5(spark, sf):
     s = star(spark, sf)
-    return analytics.best_genres(s.fact_rating, s.dim_movie, k=5)
+    return analytics.best_genres(s.fact_rating, s.dim_movie, k=TOP_GENRES_SHORT)
 
 
 @register("genre_by_full_list")
 def _genre_by_full_list(spark, sf):
     s = star(spark, sf)
-    return analytics.best_genre_lists(s.fact_rating, s.dim_movie, k=10)
+    return analytics.best_genre_lists(s.fact_rating, s.dim_movie, k=TOP_GENRES)
 
 
 @register("country_activity")
 def _country_activity(spark, sf):
     s = star(spark, sf)
-    return analytics.countries(s.fact_rating, s.dim_user, k=10)
+    return analytics.countries(s.fact_rating, s.dim_user, k=TOP_COUNTRIES)
 
 
 @register("country_top5")
 def _country_top5(spark, sf):
     s = star(spark, sf)
-    return analytics.countries(s.fact_rating, s.dim_user, k=5, distinct=False)
+    return analytics.countries(s.fact_rating, s.dim_user, k=TOP_COUNTRIES_SHORT, distinct=False)
 
 
 # -- marts ----------------------------------------------------------------------
@@ -135,13 +143,13 @@ def _country_top5(spark, sf):
 @register("mart_top10_by_genre")
 def _mart_top10_by_genre(spark, sf):
     s = star(spark, sf)
-    return marts.top_n_per_genre(s.fact_rating, s.dim_movie, n=10).drop("rk")
+    return marts.top_n_per_genre(s.fact_rating, s.dim_movie, n=TOP_PER_GENRE).drop("rk")
 
 
 @register("mart_top10_display")
 def _mart_top10_display(spark, sf):
     s = star(spark, sf)
-    return marts.top_n_display(s.fact_rating, s.dim_movie, n=10).drop("rk")
+    return marts.top_n_display(s.fact_rating, s.dim_movie, n=TOP_PER_GENRE).drop("rk")
 
 
 @register("mart_avg_by_age_group")
@@ -159,7 +167,7 @@ def _mart_ratings_by_country(spark, sf):
 @register("mart_country_top10")
 def _mart_country_top10(spark, sf):
     s = star(spark, sf)
-    return marts.country_top(s.fact_rating, s.dim_user, k=10)
+    return marts.country_top(s.fact_rating, s.dim_user, k=TOP_COUNTRIES)
 
 
 # -- cleaning -------------------------------------------------------------------
@@ -349,13 +357,13 @@ def _synthetic_scores(spark, sf):
 @register("display_rank")
 def _display_rank(spark, sf):
     s = star(spark, sf)
-    return display.ranked_popular(s.fact_rating, s.dim_movie, k=5)
+    return display.ranked_popular(s.fact_rating, s.dim_movie, k=TOP_POPULAR)
 
 
 @register("genre_headers")
 def _genre_headers(spark, sf):
     s = star(spark, sf)
-    return display.genre_headers(s.fact_rating, s.dim_movie, n=10)
+    return display.genre_headers(s.fact_rating, s.dim_movie, n=TOP_PER_GENRE)
 
 
 @register("display_placeholders")
@@ -367,7 +375,7 @@ def _display_placeholders(spark, sf):
 @register("primary_genre_badge")
 def _primary_genre_badge(spark, sf):
     s = star(spark, sf)
-    return display.popular_badges(s.fact_rating, s.dim_movie, k=5)
+    return display.popular_badges(s.fact_rating, s.dim_movie, k=TOP_POPULAR)
 
 
 @register("stats_if_rated")
@@ -379,3 +387,18 @@ def _stats_if_rated(spark, sf):
 @register("catalog_size")
 def _catalog_size(spark, sf):
     return display.catalog_size(app_tables(spark, sf).movies)
+
+
+# -- lake acquisition -----------------------------------------------------------------------
+
+@register("lake_movie_selection")
+def _lake_movie_selection(spark, sf):
+    from cinelake.plans.acquisition import select_lake_movies
+
+    s = star(spark, sf)
+    return select_lake_movies(
+        fixtures.search_pages(read_table(spark, sf, "part")),
+        fixtures.detail_payloads(s),
+        fixtures.QUOTA_TARGETS,
+        fixtures.QUOTA,
+    )

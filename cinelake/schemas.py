@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from cinelake.fixed_values import MAX_LENGTH  # noqa: F401 - re-exported
+
 # Lake: headered CSV files, every field a string (no type inference).
 LAKE_MOVIES_COLUMNS = ["imdbID", "title", "genre", "year", "country", "imdbRating"]
 LAKE_USERS_COLUMNS = ["id", "name", "age_group", "country"]
@@ -56,16 +58,6 @@ APP_RATINGS = T.StructType([
     *FACT_RATING.fields[1:],
 ])
 
-# Declared limits used by the validation report.
-MAX_LENGTH = {
-    "movie_id": 20,
-    "title": 255,
-    "genre": 255,
-    "country": 255,
-    "name": 255,
-    "age_group": 20,
-}
-
 WAREHOUSE_TABLES = {
     "dim_movie": DIM_MOVIE,
     "dim_user": DIM_USER,
