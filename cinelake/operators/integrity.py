@@ -2,9 +2,10 @@
 enforce (primary keys, foreign keys with cascade, NOT NULL, lengths,
 numeric precision).
 
-All checks are set-based: semi/anti joins shuffle both sides on the key
-(or broadcast a side that AQE measured as small), and AQE's skew-join
-handling splits a key that holds a large share of the fact.
+All checks are set-based. Semi/anti joins broadcast the key side only
+after measuring that it fits the broadcast budget; otherwise both sides are
+shuffled on the key and AQE's skew-join handling splits a key that holds a
+large share of the fact.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinelake.operators.joins import fits_broadcast
 from cinelake.schemas import MAX_LENGTH
 
 
@@ -23,16 +25,20 @@ class IntegrityError(ValueError):
     """A load violated a declared key or reference."""
 
 
+def _key_side(dim: DataFrame, key: str, dim_key: str | None) -> DataFrame:
+    """The dimension's keys, broadcast only when they provably fit."""
+    keys = dim.select(F.col(dim_key or key).alias(key))
+    return F.broadcast(keys) if fits_broadcast(keys) else keys
+
+
 def keep_known(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Rows of ``fact`` whose ``key`` exists in ``dim`` (membership filter)."""
-    keys = dim.select(F.col(dim_key or key).alias(key))
-    return fact.join(keys, key, "left_semi")
+    return fact.join(_key_side(dim, key, dim_key), key, "left_semi")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Rows of ``fact`` whose ``key`` does not exist in ``dim``."""
-    keys = dim.select(F.col(dim_key or key).alias(key))
-    return fact.join(keys, key, "left_anti")
+    return fact.join(_key_side(dim, key, dim_key), key, "left_anti")
 
 
 def enforce_references(
@@ -60,7 +66,7 @@ def cascade_delete(fact: DataFrame, deleted: dict[str, DataFrame]) -> DataFrame:
     in that column."""
     out = fact
     for key, gone in deleted.items():
-        out = out.join(gone.select(key), key, "left_anti")
+        out = out.join(_key_side(gone, key, None), key, "left_anti")
     return out
 
 

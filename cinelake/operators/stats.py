@@ -70,3 +70,8 @@ def rating_count(outer: bool = False) -> "F.Column":
     """``COUNT(rating_id)``; after an outer join unmatched rows count 0."""
     c = F.col(N_RATINGS)
     return F.coalesce(c, F.lit(0).cast("long")) if outer else c
+
+
+def rounded_avg_expr() -> "F.Column":
+    """Aggregate expression: rounded average from partial-sum columns."""
+    return rounded_avg(F.sum(SUM_SCORE), F.sum(N_SCORED))

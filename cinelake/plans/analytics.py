@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cinelake.functions.scalar import avg_of, first_genre
 from cinelake.operators import stats
+from cinelake.operators.joins import fits_broadcast
 from cinelake.operators.topk import top_k
 
 
@@ -68,23 +69,37 @@ def best_genre_lists(fact: DataFrame, dim_movie: DataFrame, k: int = 10) -> Data
 def countries(fact: DataFrame, dim_user: DataFrame, k: int = 10, distinct: bool = True) -> DataFrame:
     """User countries by number of ratings, most first.
 
-    The fact joins the users directly (AQE broadcasts the user side when its
-    measured size allows, else sort-merge with skew splitting). With
-    ``distinct`` the distinct titles rated per country are counted too;
-    Catalyst plans the single distinct as a two-level aggregation on
-    (country, title) whose first level also computes the plain sums.
+    If the user side provably fits the broadcast budget, the fact joins it
+    in place. Otherwise the fact is pre-aggregated before the shuffle join —
+    per user, or per (user, title) when distinct titles are counted — so a
+    hot user is collapsed on every map task. Distinct titles per country
+    come from (country, title) groups, re-aggregated exactly.
     """
     users = dim_user.where(F.col("country").isNotNull()).select("user_id", "country")
+    small = fits_broadcast(users)
     if distinct:
-        g = fact.join(users, "user_id", "inner").groupBy("country").agg(
-            F.count("rating_id").alias("total_ratings"),
-            F.count_distinct("movie_id").alias("distinct_movies_watched"),
-            avg_of("score").alias("avg_score"),
-        )
+        if small:
+            g = fact.join(F.broadcast(users), "user_id", "inner").groupBy("country").agg(
+                F.count("rating_id").alias("total_ratings"),
+                F.count_distinct("movie_id").alias("distinct_movies_watched"),
+                avg_of("score").alias("avg_score"),
+            )
+        else:
+            pairs = stats.rating_sums(fact, ["user_id", "movie_id"]).join(users, "user_id", "inner")
+            per_title = stats.regroup(pairs, ["country", "movie_id"])
+            g = per_title.groupBy("country").agg(
+                F.sum(stats.N_RATINGS).alias("total_ratings"),
+                F.count(F.lit(1)).alias("distinct_movies_watched"),
+                stats.rounded_avg_expr().alias("avg_score"),
+            )
         cols = ["country", "total_ratings", "distinct_movies_watched", "avg_score"]
     else:
-        joined = fact.select("user_id", "rating_id", "score").join(users, "user_id", "inner")
-        g = stats.rating_sums(joined, ["country"]).select(
+        if small:
+            joined = fact.select("user_id", "rating_id", "score").join(F.broadcast(users), "user_id", "inner")
+            sums = stats.rating_sums(joined, ["country"])
+        else:
+            sums = stats.regroup(stats.by_user(fact).join(users, "user_id", "inner"), ["country"])
+        g = sums.select(
             "country",
             F.col(stats.N_RATINGS).alias("total_ratings"),
             stats.avg_score().alias("avg_score"),

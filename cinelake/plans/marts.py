@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cinelake.functions.scalar import first_genre
 from cinelake.operators import stats
+from cinelake.operators.joins import fits_broadcast
 from cinelake.operators.topk import top_k, top_n_per_group
 
 MART_VIEWS = ("mart_top10_by_genre", "mart_avg_by_age_group", "mart_ratings_by_country")
@@ -58,16 +59,17 @@ def top_n_display(fact: DataFrame, dim_movie: DataFrame, n: int = 10) -> DataFra
 def _by_user_attribute(fact: DataFrame, dim_user: DataFrame, attribute: str) -> DataFrame:
     """Partial sums per user attribute (age group, country).
 
-    The fact joins the users directly: AQE broadcasts the user side when its
-    measured size allows (no shuffle of the fact at all; the aggregation by
-    attribute is then partial per task), otherwise it sort-merge joins and
-    splits a user holding a large share of the ratings. Aggregating per user
-    first would not shrink the fact much at scale (few ratings per user per
-    task) and would rule out the broadcast.
+    If the user side provably fits the broadcast budget, the fact joins it
+    in place (no shuffle of the fact; the aggregation by attribute is then
+    partial per task). Otherwise the fact is first reduced per user — the
+    partial aggregate collapses a user holding a third of the ratings on
+    every map task — and only those sums are shuffled to meet the users.
     """
     users = dim_user.where(F.col(attribute).isNotNull()).select("user_id", attribute)
-    joined = fact.select("user_id", "rating_id", "score").join(users, "user_id", "inner")
-    return stats.rating_sums(joined, [attribute])
+    if fits_broadcast(users):
+        joined = fact.select("user_id", "rating_id", "score").join(F.broadcast(users), "user_id", "inner")
+        return stats.rating_sums(joined, [attribute])
+    return stats.regroup(stats.by_user(fact).join(users, "user_id", "inner"), [attribute])
 
 
 def avg_by_age_group(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
