@@ -23,7 +23,7 @@ from cinelake.fixed_values import (
 )
 from cinelake.operators import clean, integrity, keys, sampling, upsert
 from cinelake.oracle import DETAIL_MOVIE_ID
-from cinelake.plans import analytics, dashboards, display, marts
+from cinelake.plans import acquisition, analytics, dashboards, display, marts
 from cinelake.schemas import DIM_MOVIE, DIM_USER, FACT_RATING
 from cinelake.sources import fixtures, payloads
 from cinelake.sources.adapters import app_tables, read_table, star
@@ -393,10 +393,8 @@ def _catalog_size(spark, sf):
 
 @register("lake_movie_selection")
 def _lake_movie_selection(spark, sf):
-    from cinelake.plans.acquisition import select_lake_movies
-
     s = star(spark, sf)
-    return select_lake_movies(
+    return acquisition.select_lake_movies(
         fixtures.search_pages(read_table(spark, sf, "part")),
         fixtures.detail_payloads(s),
         fixtures.QUOTA_TARGETS,
