@@ -33,14 +33,18 @@ from cinelake.sources.lake import POS_FILE, POS_ROW, POS_SPLIT
 BATCH_COL = "batch_id"
 
 
-def _committed_max_id(spark: SparkSession, out_dir: str, batch_id: int, key: str) -> int:
-    """Largest id written by batches before ``batch_id`` (0 if none)."""
+def _committed_rows(spark: SparkSession, out_dir: str, batch_id: int) -> int:
+    """Rows written by batches before ``batch_id`` (0 if none).
+
+    Ids are dense from 1, so this is also the largest id so far. A row
+    count prunes to the earlier ``batch_id`` partitions and is answered
+    from parquet footers, without reading any column data.
+    """
     try:
         prior = spark.read.parquet(out_dir)
     except Exception:  # noqa: BLE001 - nothing committed yet
         return 0
-    row = prior.where(F.col(BATCH_COL) < batch_id).agg(F.max(key).alias("m")).first()
-    return int(row.m or 0)
+    return prior.where(F.col(BATCH_COL) < batch_id).count()
 
 
 def ratings_batch(
@@ -96,7 +100,7 @@ def start_ratings_stream(
     )
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        start = _committed_max_id(batch.sparkSession, out_dir, batch_id, key) + 1
+        start = _committed_rows(batch.sparkSession, out_dir, batch_id) + 1
         out = ratings_batch(batch, dim_movie, dim_user, start, key).withColumn(BATCH_COL, F.lit(batch_id))
         (
             out.write.mode("overwrite")
