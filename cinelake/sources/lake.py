@@ -45,27 +45,29 @@ def read_lake_csv(
 ) -> DataFrame:
     """Scan lake CSV file(s) as all-string columns.
 
-    ``columns`` defaults to the file's header. Header names are stripped
-    (``' title '`` → ``'title'``) and missing-value tokens become NULL.
-    With ``with_position`` the scan also records where each row came from;
-    the row number is taken right at the scan, before any shuffle, and is
-    stable on task retry because file splits are deterministic.
+    Names come from the file's header and are stripped (``' title '`` →
+    ``'title'``); with ``columns`` those are selected in that order and a
+    missing one is an error. Missing-value tokens become NULL. With
+    ``with_position`` the scan also records where each row came from; the
+    row number is taken right at the scan, before any shuffle, and is stable
+    on task retry because file splits are deterministic.
     """
-    header = columns or lake_header(spark, path)
+    header = lake_header(spark, path)
     df = _csv_reader(spark).schema(all_string(header)).csv(path)
     stripped = [c.strip() for c in header]
     df = df.toDF(*stripped)
-    df = df.select(*[na_to_null(c).alias(c) for c in stripped], "_metadata")
+    wanted = columns or stripped
+    missing = [c for c in wanted if c not in stripped]
+    if missing:
+        raise ValueError(f"{path}: missing lake columns {missing}")
+    position = []
     if with_position:
-        df = df.select(
-            *stripped,
+        position = [
             F.col("_metadata.file_path").alias(POS_FILE),
             F.col("_metadata.file_block_start").alias(POS_SPLIT),
             F.monotonically_increasing_id().alias(POS_ROW),
-        )
-    else:
-        df = df.select(*stripped)
-    return df
+        ]
+    return df.select(*[na_to_null(c).alias(c) for c in wanted], *position)
 
 
 def write_lake_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -77,3 +77,17 @@ def test_detail_missing_genre_is_empty(spark):
     r = detail_projection(details).first()
     assert (r.title, r.genre, r.year, r.imdbRating) == ("T", "", "1999", "7.1")
     assert F  # keep import used
+
+
+def test_padded_header_with_expected_columns(spark, scratch):
+    path = os.path.join(scratch, "users.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(" id , name ,age_group, country\n1,Ana,18-24,BR\n2,Bo,,NA\n")
+    df = read_lake_csv(spark, path, ["id", "name", "age_group", "country"], with_position=True)
+    rows = df.orderBy(POS_ROW).collect()
+    assert [(r.id, r.name, r.age_group, r.country) for r in rows] == [
+        ("1", "Ana", "18-24", "BR"), ("2", "Bo", None, None)]
+    import pytest
+
+    with pytest.raises(ValueError):
+        read_lake_csv(spark, path, ["id", "score"])
