@@ -110,3 +110,15 @@ def test_reset_only_our_database(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS foreign_db")
     with pytest.raises(PermissionError):
         Warehouse(spark, str(tmp_path / "wh"), "foreign_db").reset()
+
+
+def test_command_line_load_and_report(spark, lake, tmp_path, capsys):
+    from cinelake.__main__ import main
+
+    root = str(tmp_path / "cli")
+    assert main(["load", "--lake", lake, "--root", root]) == 0
+    counts = capsys.readouterr().out.strip().splitlines()[-1]
+    assert '"fact_rating"' in counts
+    assert main(["report", "--root", root]) == 0
+    out = capsys.readouterr().out
+    assert "== popular_titles" in out and "== best_genres" in out and "== active_countries" in out
