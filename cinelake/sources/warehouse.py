@@ -1,11 +1,18 @@
-"""Warehouse tables in the Spark catalog, written as versioned directories.
-
-Every table is a parquet table whose ``LOCATION`` points at one complete,
-immutable version directory. A load writes the next version to a fresh
-directory and only then switches the table to it (``ALTER TABLE … SET
-LOCATION``): readers never see a half-written table, a failed load leaves
-the previous version in place, and a plan that reads the current version
-can produce the next one without overwriting its own input.
+"""Warehouse tables in the Spark catalog, written as versioned, bucketed
+tables behind a stable view.
+
+Every load writes the next version of a table as its own external parquet
+table in a fresh directory, bucketed (and sorted) on the table's join key,
+and only then points the public name — a view — at it. Readers never see a
+half-written table, a failed load leaves the previous version in place, and
+a plan that reads the current version can produce the next one without
+overwriting its own input.
+
+Bucketing puts the fact and ``dim_movie`` on the same ``movie_id`` buckets
+(and ``dim_user`` on ``user_id``): the per-title aggregation of the fact and
+its join to the titles then run on co-partitioned scans with no shuffle of
+the fact at all. Rows are repartitioned on the key before the write so each
+bucket is one file.
 """
 
 from __future__ import annotations
@@ -21,27 +28,32 @@ ENGINE_TAG = "cinelake"
 
 APP_TABLES = {"movies": APP_MOVIES, "users": APP_USERS, "ratings": APP_RATINGS}
 
-
-def _ddl(schema: T.StructType) -> str:
-    cols = []
-    for f in schema.fields:
-        cols.append(f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL"))
-    return ", ".join(cols)
+# Bucket (and sort) key of every table: the key its queries join or group on.
+BUCKET_KEYS = {
+    "dim_movie": "movie_id",
+    "dim_user": "user_id",
+    "fact_rating": "movie_id",
+    "movies": "imdb_id",
+    "users": "id",
+    "ratings": "movie_id",
+}
 
 
 class Warehouse:
-    """A database of versioned parquet tables rooted at ``root``.
+    """A database of versioned, bucketed parquet tables rooted at ``root``.
 
     ``root`` must be a folder every executor can reach (on a cluster, the
-    shared storage the job writes to).
+    shared storage the job writes to). ``buckets`` defaults to the session's
+    shuffle partition count; tables joined together must use the same.
     """
 
     def __init__(self, spark: SparkSession, root: str, database: str = "dw",
-                 tables: dict[str, T.StructType] | None = None):
+                 tables: dict[str, T.StructType] | None = None, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database
         self.tables = dict(tables if tables is not None else WAREHOUSE_TABLES)
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # -- schema ----------------------------------------------------------------------
 
@@ -53,14 +65,8 @@ class Warehouse:
             f"WITH DBPROPERTIES ('created_by'='{ENGINE_TAG}')"
         )
         for name, schema in self.tables.items():
-            if self.spark.catalog.tableExists(f"{self.database}.{name}"):
-                continue
-            path = self._new_version_path(name)
-            self.spark.createDataFrame([], schema).write.parquet(path)
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS `{self.database}`.`{name}` ({_ddl(schema)}) "
-                f"USING parquet LOCATION '{path}'"
-            )
+            if not self.spark.catalog.tableExists(f"{self.database}.{name}"):
+                self.replace(name, self.spark.createDataFrame([], schema))
 
     def reset(self) -> None:
         """Drop the database (only one this engine created) and recreate it."""
@@ -79,18 +85,32 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{name}")
 
-    def _new_version_path(self, name: str) -> str:
-        return f"{self.root}/{self.database}/{name}/v-{uuid.uuid4().hex}"
-
     def replace(self, name: str, df: DataFrame) -> str:
         """Staged full replacement of table ``name`` by ``df``.
 
-        ``df`` is written completely to a new version directory, then the
-        table is switched to it. Returns the new location.
+        ``df`` is written completely as a new bucketed version table in a
+        new directory; then the view ``name`` is switched to it. Returns the
+        new location.
         """
         schema = self.tables[name]
-        path = self._new_version_path(name)
-        df.select(*[f.name for f in schema.fields]).write.mode("errorifexists").parquet(path)
-        self.spark.sql(f"ALTER TABLE `{self.database}`.`{name}` SET LOCATION '{path}'")
-        self.spark.sql(f"REFRESH TABLE `{self.database}`.`{name}`")
+        cols = [f.name for f in schema.fields]
+        key = BUCKET_KEYS.get(name)
+        version = f"{name}__v{uuid.uuid4().hex}"
+        path = f"{self.root}/{self.database}/{name}/{version}"
+        writer_df = df.select(*cols)
+        if key:
+            writer = (
+                writer_df.repartition(self.buckets, key)
+                .write.format("parquet")
+                .bucketBy(self.buckets, key)
+                .sortBy(key)
+            )
+        else:
+            writer = writer_df.write.format("parquet")
+        writer.mode("errorifexists").option("path", path).saveAsTable(f"`{self.database}`.`{version}`")
+        col_list = ", ".join(f"`{c}`" for c in cols)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW `{self.database}`.`{name}` AS "
+            f"SELECT {col_list} FROM `{self.database}`.`{version}`"
+        )
         return path

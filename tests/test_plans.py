@@ -66,3 +66,22 @@ def test_point_lookup_pushes_to_the_scan(spark, tmp_path):
     users = wh.table("dim_user").withColumnRenamed("user_id", "id")
     text = _formatted(dashboards.movie_ratings(ratings, users, "1"))
     assert "PushedFilters: [IsNotNull(movie_id), EqualTo(movie_id,1)" in text
+
+
+def test_bucketed_warehouse_needs_no_fact_shuffle(spark, tmp_path):
+    s = star(spark, SF_SMALL)
+    wh = Warehouse(spark, str(tmp_path / "wh"), "plan_bucketed")
+    wh.create()
+    wh.replace("fact_rating", s.fact_rating)
+    wh.replace("dim_movie", s.dim_movie)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = marts.top_n_per_genre(wh.table("fact_rating"), wh.table("dim_movie"))
+        text = _formatted(df)
+        rows = df.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in text
+    assert "hashpartitioning(movie_id" not in text
+    assert rows > 0
