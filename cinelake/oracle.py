@@ -37,12 +37,12 @@ SELECT CAST(c_custkey AS INT) AS user_id, c_name AS name,
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "fact_rating": """
 SELECT l_orderkey * 10 + l_linenumber AS rating_id,
-  CAST(l_partkey AS VARCHAR) AS movie_id, CAST(o_custkey AS INT) AS user_id,
+  CAST(CASE WHEN l_partkey > 0 AND l_partkey % 23 = 0 THEN l_partkey - 1 ELSE l_partkey END AS VARCHAR) AS movie_id,
+  CAST(o_custkey AS INT) AS user_id,
   CASE WHEN l_linenumber = 7 OR l_partkey % 29 = 0 THEN NULL
        ELSE CAST(CAST(CAST(l_quantity AS INT) * 20 AS DECIMAL(6,2)) / 100 AS DECIMAL(4,2)) END AS score,
   CASE WHEN l_suppkey % 53 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS rated_at
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE l_partkey % 23 <> 0""",
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "movies": "SELECT movie_id AS imdb_id, title, genre, year, country, imdb_rating FROM dim_movie",
     "users": "SELECT user_id AS id, name, age_group, country FROM dim_user",
     "ratings": "SELECT rating_id AS id, movie_id, user_id, score, rated_at FROM fact_rating",
