@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelake.session import staging_path
+from cinelake.operators.materialize import materialize
 
 _MID = "_dense_mid"
 _PID = "_dense_pid"
@@ -47,14 +47,11 @@ def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "id",
     ``order`` should be total (end with a unique key); rows that tie on all
     of it are interchangeable only if they are identical.
     """
-    spark = df.sparkSession
     ordered = df.orderBy(*order)
     tagged = ordered.withColumn(_MID, F.monotonically_increasing_id()).withColumn(
         _PID, F.shiftright(F.col(_MID), 33)
     )
-    path = staging_path(spark, "dense-index")
-    tagged.write.mode("errorifexists").parquet(path)
-    return _assign(spark.read.parquet(path), name, start)
+    return _assign(materialize(tagged, "dense-index"), name, start)
 
 
 def dense_index_in_scan_order(

@@ -12,10 +12,16 @@ from cinelake.operators.joins import fits_broadcast
 from cinelake.operators.topk import top_k
 
 
-def popular(fact: DataFrame, dim_movie: DataFrame, k: int = 5, with_genre: bool = True) -> DataFrame:
-    """The ``k`` titles with most ratings (ties broken by ``movie_id``)."""
+def popular(fact: DataFrame, dim_movie: DataFrame, k: int = 5, with_genre: bool = True,
+            sums: DataFrame | None = None) -> DataFrame:
+    """The ``k`` titles with most ratings (ties broken by ``movie_id``).
+
+    ``sums`` may carry precomputed per-title sums (``stats.by_movie``) shared
+    with other queries of a page.
+    """
     cols = ["movie_id", "title"] + (["genre"] if with_genre else [])
-    joined = stats.by_movie(fact).join(dim_movie.select(*cols), "movie_id", "inner")
+    title_sums = stats.by_movie(fact) if sums is None else sums
+    joined = title_sums.join(dim_movie.select(*cols), "movie_id", "inner")
     ranked = top_k(
         joined.select(
             *cols,
@@ -28,15 +34,17 @@ def popular(fact: DataFrame, dim_movie: DataFrame, k: int = 5, with_genre: bool
     return ranked.select(*cols[1:], "total_ratings", "avg_score")
 
 
-def _genre_sums(fact: DataFrame, dim_movie: DataFrame) -> DataFrame:
+def _genre_sums(fact: DataFrame, dim_movie: DataFrame, sums: DataFrame | None = None) -> DataFrame:
     titles = dim_movie.where(F.col("genre").isNotNull()).select("movie_id", "genre")
-    return stats.by_movie(fact).join(titles, "movie_id", "inner")
+    title_sums = stats.by_movie(fact) if sums is None else sums
+    return title_sums.join(titles, "movie_id", "inner")
 
 
-def best_genres(fact: DataFrame, dim_movie: DataFrame, k: int = 10) -> DataFrame:
+def best_genres(fact: DataFrame, dim_movie: DataFrame, k: int = 10,
+                sums: DataFrame | None = None) -> DataFrame:
     """Primary genres by rounded average rating, best first."""
     g = stats.regroup(
-        _genre_sums(fact, dim_movie).withColumn("primary_genre", first_genre("genre")),
+        _genre_sums(fact, dim_movie, sums).withColumn("primary_genre", first_genre("genre")),
         ["primary_genre"],
     )
     return top_k(
@@ -50,10 +58,11 @@ def best_genres(fact: DataFrame, dim_movie: DataFrame, k: int = 10) -> DataFrame
     )
 
 
-def best_genre_lists(fact: DataFrame, dim_movie: DataFrame, k: int = 10) -> DataFrame:
+def best_genre_lists(fact: DataFrame, dim_movie: DataFrame, k: int = 10,
+                     sums: DataFrame | None = None) -> DataFrame:
     """Dashboard variant: grouped by the *full* genre list, labelled by its
     first item, so one label can appear more than once."""
-    g = stats.regroup(_genre_sums(fact, dim_movie), ["genre"])
+    g = stats.regroup(_genre_sums(fact, dim_movie, sums), ["genre"])
     ranked = top_k(
         g.select(
             "genre",

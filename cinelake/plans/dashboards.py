@@ -13,14 +13,16 @@ from cinelake.operators import stats
 from cinelake.operators.topk import top_k
 
 
-def _movie_sums(ratings: DataFrame) -> DataFrame:
-    return stats.by_movie(ratings, rating_id="id").withColumnRenamed("movie_id", "imdb_id")
+def _movie_sums(ratings: DataFrame, sums: DataFrame | None = None) -> DataFrame:
+    title_sums = stats.by_movie(ratings, rating_id="id") if sums is None else sums
+    return title_sums.withColumnRenamed("movie_id", "imdb_id")
 
 
-def _with_rating_stats(movies: DataFrame, ratings: DataFrame, cols: list[str]) -> DataFrame:
+def _with_rating_stats(movies: DataFrame, ratings: DataFrame, cols: list[str],
+                       sums: DataFrame | None = None) -> DataFrame:
     """Titles left-joined to their rating sums: unrated titles keep count 0
     and a NULL average (``COUNT(r.id)`` counts matches only)."""
-    joined = movies.select(*cols).join(_movie_sums(ratings), "imdb_id", "left")
+    joined = movies.select(*cols).join(_movie_sums(ratings, sums), "imdb_id", "left")
     return joined.select(
         *cols,
         stats.rating_count(outer=True).alias("num_ratings"),
@@ -28,11 +30,11 @@ def _with_rating_stats(movies: DataFrame, ratings: DataFrame, cols: list[str]) -
     )
 
 
-def top_rated(movies: DataFrame, ratings: DataFrame, k: int = 5) -> DataFrame:
+def top_rated(movies: DataFrame, ratings: DataFrame, k: int = 5, sums: DataFrame | None = None) -> DataFrame:
     """Front page: the ``k`` most-rated titles, unrated ones included."""
     cols = ["imdb_id", "title", "genre", "year", "imdb_rating"]
     return top_k(
-        _with_rating_stats(movies, ratings, cols),
+        _with_rating_stats(movies, ratings, cols, sums),
         k,
         [F.col("num_ratings").desc(), F.col("imdb_id").asc()],
     )
@@ -59,6 +61,25 @@ def totals(movies: DataFrame, users: DataFrame, ratings: DataFrame) -> DataFrame
     )
 
 
+def totals_from_sums(movies: DataFrame, users: DataFrame, title_sums: DataFrame) -> DataFrame:
+    """The four totals when per-title sums are already available: ratings
+    and the overall average re-aggregate exactly from them."""
+    score_sum_type = title_sums.schema[stats.SUM_SCORE].dataType
+    tagged = (
+        movies.select(F.lit(1).alias("src"), *[F.lit(None).cast(t).alias(c) for c, t in (
+            (stats.SUM_SCORE, score_sum_type), (stats.N_SCORED, "long"), (stats.N_RATINGS, "long"))])
+        .unionByName(users.select(F.lit(2).alias("src"), *[F.lit(None).cast(t).alias(c) for c, t in (
+            (stats.SUM_SCORE, score_sum_type), (stats.N_SCORED, "long"), (stats.N_RATINGS, "long"))]))
+        .unionByName(title_sums.select(F.lit(3).alias("src"), stats.SUM_SCORE, stats.N_SCORED, stats.N_RATINGS))
+    )
+    return tagged.agg(
+        F.count_if(F.col("src") == 1).alias("total_movies"),
+        F.count_if(F.col("src") == 2).alias("total_users"),
+        F.coalesce(F.sum(stats.N_RATINGS), F.lit(0).cast("long")).alias("total_ratings"),
+        stats.rounded_avg_expr().alias("avg_rating"),
+    )
+
+
 def catalog(movies: DataFrame, ratings: DataFrame) -> DataFrame:
     """Every title with its rating count and average, ordered by title."""
     cols = ["imdb_id", "title", "genre", "year", "country", "imdb_rating"]

@@ -19,22 +19,24 @@ from cinelake.operators.topk import top_k, top_n_per_group
 MART_VIEWS = ("mart_top10_by_genre", "mart_avg_by_age_group", "mart_ratings_by_country")
 
 
-def _scored_titles(fact: DataFrame, dim_movie: DataFrame) -> DataFrame:
+def _scored_titles(fact: DataFrame, dim_movie: DataFrame, sums: DataFrame | None = None) -> DataFrame:
     """Per-title partial sums joined to titles that have a genre."""
     titles = dim_movie.where(F.col("genre").isNotNull()).select(
         first_genre("genre").alias("primary_genre"), "movie_id", "title"
     )
-    return stats.by_movie(fact).join(titles, "movie_id", "inner")
+    title_sums = stats.by_movie(fact) if sums is None else sums
+    return title_sums.join(titles, "movie_id", "inner")
 
 
-def top_n_per_genre(fact: DataFrame, dim_movie: DataFrame, n: int = 10) -> DataFrame:
+def top_n_per_genre(fact: DataFrame, dim_movie: DataFrame, n: int = 10,
+                    sums: DataFrame | None = None) -> DataFrame:
     """Top ``n`` titles per primary genre by exact average, then count.
 
     Ranking uses the unrounded average (a title with only NULL scores ranks
     first); the output shows the rounded one. Ordered by genre, then rank.
     """
     ranked = top_n_per_group(
-        _scored_titles(fact, dim_movie),
+        _scored_titles(fact, dim_movie, sums),
         ["primary_genre"],
         [stats.exact_avg().desc_nulls_first(), F.col(stats.N_RATINGS).desc(), F.col("movie_id").asc()],
         n,
@@ -49,14 +51,16 @@ def top_n_per_genre(fact: DataFrame, dim_movie: DataFrame, n: int = 10) -> DataF
     ).orderBy(F.col("primary_genre").asc_nulls_last(), "rk")
 
 
-def top_n_display(fact: DataFrame, dim_movie: DataFrame, n: int = 10) -> DataFrame:
+def top_n_display(fact: DataFrame, dim_movie: DataFrame, n: int = 10,
+                  sums: DataFrame | None = None) -> DataFrame:
     """Dashboard projection of the mart (no key), order re-stated."""
-    return top_n_per_genre(fact, dim_movie, n).select(
+    return top_n_per_genre(fact, dim_movie, n, sums).select(
         "primary_genre", "title", "avg_score", "total_ratings", "rk"
     ).orderBy(F.col("primary_genre").asc_nulls_last(), "rk")
 
 
-def _by_user_attribute(fact: DataFrame, dim_user: DataFrame, attribute: str) -> DataFrame:
+def _by_user_attribute(fact: DataFrame, dim_user: DataFrame, attribute: str,
+                       user_sums: DataFrame | None = None) -> DataFrame:
     """Partial sums per user attribute (age group, country).
 
     If the user side provably fits the broadcast budget, the fact joins it
@@ -66,15 +70,18 @@ def _by_user_attribute(fact: DataFrame, dim_user: DataFrame, attribute: str) ->
     every map task — and only those sums are shuffled to meet the users.
     """
     users = dim_user.where(F.col(attribute).isNotNull()).select("user_id", attribute)
+    if user_sums is not None:
+        # Per-user sums already computed (and shared) by the caller.
+        return stats.regroup(user_sums.join(users, "user_id", "inner"), [attribute])
     if fits_broadcast(users):
         joined = fact.select("user_id", "rating_id", "score").join(F.broadcast(users), "user_id", "inner")
         return stats.rating_sums(joined, [attribute])
     return stats.regroup(stats.by_user(fact).join(users, "user_id", "inner"), [attribute])
 
 
-def avg_by_age_group(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
+def avg_by_age_group(fact: DataFrame, dim_user: DataFrame, user_sums: DataFrame | None = None) -> DataFrame:
     """Average and count per age group, best (rounded) average first."""
-    g = _by_user_attribute(fact, dim_user, "age_group")
+    g = _by_user_attribute(fact, dim_user, "age_group", user_sums)
     return g.select(
         "age_group",
         stats.avg_score().alias("avg_score"),
@@ -82,9 +89,9 @@ def avg_by_age_group(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
     ).orderBy(F.col("avg_score").desc_nulls_first(), F.col("age_group").asc())
 
 
-def ratings_by_country(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
+def ratings_by_country(fact: DataFrame, dim_user: DataFrame, user_sums: DataFrame | None = None) -> DataFrame:
     """Ratings and average per user country, most ratings first."""
-    g = _by_user_attribute(fact, dim_user, "country")
+    g = _by_user_attribute(fact, dim_user, "country", user_sums)
     return g.select(
         "country",
         F.col(stats.N_RATINGS).alias("total_ratings"),
@@ -92,9 +99,10 @@ def ratings_by_country(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
     ).orderBy(F.col("total_ratings").desc(), F.col("country").asc())
 
 
-def country_top(fact: DataFrame, dim_user: DataFrame, k: int = 10) -> DataFrame:
+def country_top(fact: DataFrame, dim_user: DataFrame, k: int = 10,
+                user_sums: DataFrame | None = None) -> DataFrame:
     """First ``k`` rows of the country mart, renamed for the dashboard."""
-    g = ratings_by_country(fact, dim_user)
+    g = ratings_by_country(fact, dim_user, user_sums)
     return top_k(
         g.select("country", F.col("total_ratings").alias("num_ratings"), "avg_score"),
         k,
