@@ -177,14 +177,15 @@ def synthetic_scores(
     rated_at: str = RATED_AT,
 ) -> DataFrame:
     """Seeded score uniform in [1.0, 10.0] rounded to one decimal, and a
-    fixed rating date. Integer arithmetic only:
+    fixed rating date (other columns of ``pairs`` pass through). Integer
+    arithmetic only:
     ``tenths = (10·2³² + 90·h + 2³¹) div 2³²`` for a 32-bit hash ``h``."""
     h = seeded_hash(seed, *key_cols, salt="score")
     two32 = 1 << 32
     lo, span = int(SCORE_MIN * 10), int((SCORE_MAX - SCORE_MIN) * 10)
     tenths = F.shiftright(F.lit(lo * two32) + F.lit(span) * h + F.lit(two32 // 2), 32)
     return pairs.select(
-        *key_cols,
+        *pairs.columns,
         (tenths.cast(T.DecimalType(6, 0)) / F.lit(10)).cast(SCORE_TYPE).alias("score"),
         F.to_date(F.lit(rated_at)).alias("rated_at"),
     )

@@ -13,6 +13,10 @@ is still open. Set-based:
 
 The reference stops fetching once every quota is full; that only avoids
 work and never changes which titles are accepted.
+
+``generate_lake`` then adds users with seeded categories and ``k`` sampled
+ratings per user, and ``write_lake`` lands the three CSV files the load
+reads.
 """
 
 from __future__ import annotations
@@ -22,7 +26,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.operators.sampling import SEARCH_TERMS, quota_select
+from cinelake.fixed_values import RATINGS_PER_USER, SEED
+from cinelake.operators.keys import dense_index
+from cinelake.operators.sampling import (
+    SEARCH_TERMS,
+    assign_categories,
+    quota_select,
+    sample_k,
+    synthetic_scores,
+)
+from cinelake.sources.lake import write_lake_csv
 from cinelake.sources.payloads import detail_projection, search_hits
 
 # Position = term priority · 10⁹ + page · 10³ + hit (pages hold < 1000 hits).
@@ -51,3 +64,47 @@ def select_lake_movies(
     candidates = hits.join(detail_projection(details), "imdbID", "inner")
     accepted = quota_select(candidates, targets, quota, id_col="imdbID", position="pos", text_col="genre")
     return accepted.select("imdbID", "title", "genre", "year", "country", "imdbRating", "target")
+
+
+def generate_lake(
+    movies: DataFrame,
+    users: DataFrame,
+    k: int = RATINGS_PER_USER,
+    seed: int = SEED,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three lake tables (text columns, as written to CSV).
+
+    ``movies``: accepted lake movie rows (``select_lake_movies``);
+    ``users``: ``user_id``/``name`` rows. Every user gets a seeded age group
+    and country, and ``min(k, #movies)`` distinct titles with a seeded score
+    and the fixed date; ratings are numbered 1..N by (user, draw).
+    """
+    lake_movies = movies.select("imdbID", "title", "genre", "year", "country", "imdbRating")
+    cats = assign_categories(users.select("user_id"), "user_id", seed)
+    lake_users = users.select("user_id", "name").join(cats, "user_id", "inner").select(
+        F.col("user_id").cast("string").alias("id"), "name", "age_group", "country"
+    )
+    pairs = sample_k(users.select("user_id"), movies.select(F.col("imdbID").alias("movie_id")),
+                     "user_id", "movie_id", k=k, seed=seed)
+    scored = synthetic_scores(pairs.select("user_id", "movie_id", "draw"), ["user_id", "movie_id"], seed)
+    numbered = dense_index(
+        scored,
+        [F.col("user_id").asc(), F.col("draw").asc()],
+        name="id",
+    )
+    lake_ratings = numbered.select(
+        F.col("id").cast("string").alias("id"),
+        F.col("user_id").cast("string").alias("user_id"),
+        "movie_id",
+        F.col("score").cast("string").alias("score"),
+        F.col("rated_at").cast("string").alias("rated_at"),
+    )
+    return lake_movies, lake_users, lake_ratings
+
+
+def write_lake(out_dir: str, movies: DataFrame, users: DataFrame, ratings: DataFrame) -> None:
+    """Write ``movies.csv``, ``users.csv`` and ``ratings.csv`` under ``out_dir``."""
+    base = out_dir.rstrip("/")
+    write_lake_csv(movies, f"{base}/movies.csv")
+    write_lake_csv(users, f"{base}/users.csv")
+    write_lake_csv(ratings, f"{base}/ratings.csv")

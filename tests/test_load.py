@@ -122,3 +122,24 @@ def test_command_line_load_and_report(spark, lake, tmp_path, capsys):
     assert main(["report", "--root", root]) == 0
     out = capsys.readouterr().out
     assert "== popular_titles" in out and "== best_genres" in out and "== active_countries" in out
+
+
+def test_generated_lake_loads_end_to_end(spark, tmp_path):
+    from cinelake.plans.acquisition import generate_lake, select_lake_movies, write_lake
+
+    s = star(spark, SF_SMALL)
+    movies = select_lake_movies(
+        fixtures.search_pages(s.dim_movie.sparkSession.read.parquet(f"{SF_SMALL}/part.parquet")),
+        fixtures.detail_payloads(s), fixtures.QUOTA_TARGETS, fixtures.QUOTA)
+    lake_movies, lake_users, lake_ratings = generate_lake(movies, s.dim_user)
+    out = str(tmp_path / "generated")
+    write_lake(out, lake_movies.coalesce(1), lake_users.coalesce(1), lake_ratings.coalesce(1))
+    n_movies, n_users = lake_movies.count(), lake_users.count()
+    wh = Warehouse(spark, str(tmp_path / "wh"), "dw_generated")
+    report = load_lake(spark, out, wh)
+    assert report.counts["dim_movie"] == n_movies
+    assert report.counts["dim_user"] == n_users
+    assert report.counts["fact_rating"] == n_users * min(5, n_movies)
+    per_user = wh.table("fact_rating").groupBy("user_id").agg(F.countDistinct("movie_id").alias("m"))
+    assert per_user.where(F.col("m") != min(5, n_movies)).isEmpty()
+    assert spark.table("mart_top10_by_genre").count() > 0
