@@ -1,18 +1,21 @@
-"""Warehouse tables in the Spark catalog, written as versioned, bucketed
-tables behind a stable view.
+"""Warehouse tables in the Spark catalog, written as versioned tables behind
+a stable view.
 
 Every load writes the next version of a table as its own external parquet
-table in a fresh directory, bucketed (and sorted) on the table's join key,
-and only then points the public name — a view — at it. Readers never see a
+table in a fresh directory and only then points the public name — a view —
+at it. Readers never see a
 half-written table, a failed load leaves the previous version in place, and
 a plan that reads the current version can produce the next one without
 overwriting its own input.
 
-Bucketing puts the fact and ``dim_movie`` on the same ``movie_id`` buckets
-(and ``dim_user`` on ``user_id``): the per-title aggregation of the fact and
-its join to the titles then run on co-partitioned scans with no shuffle of
-the fact at all. Rows are repartitioned on the key before the write so each
-bucket is one file.
+Dimensions are bucketed on their unique keys (``dim_movie`` on
+``movie_id``, ``dim_user`` on ``user_id``), so joins against them never
+shuffle the dimension side; rows are repartitioned on the key before the
+write so each bucket is one file. The fact is deliberately not bucketed on
+a dimension key: a title or user holding a third of all ratings would make
+one bucket — one write task and one scan task — hold a third of the fact.
+Its queries aggregate partially per task before any shuffle instead, which
+collapses such a key.
 """
 
 from __future__ import annotations
@@ -28,19 +31,19 @@ ENGINE_TAG = "cinelake"
 
 APP_TABLES = {"movies": APP_MOVIES, "users": APP_USERS, "ratings": APP_RATINGS}
 
-# Bucket (and sort) key of every table: the key its queries join or group on.
+# Bucket (and sort) key of every dimension: its unique key. Facts are not
+# bucketed (see above).
 BUCKET_KEYS = {
     "dim_movie": "movie_id",
     "dim_user": "user_id",
-    "fact_rating": "movie_id",
     "movies": "imdb_id",
     "users": "id",
-    "ratings": "movie_id",
 }
 
 
 class Warehouse:
-    """A database of versioned, bucketed parquet tables rooted at ``root``.
+    """A database of versioned parquet tables (dimensions bucketed) rooted at
+    ``root``.
 
     ``root`` must be a folder every executor can reach (on a cluster, the
     shared storage the job writes to). ``buckets`` defaults to the session's
