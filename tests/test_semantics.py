@@ -177,3 +177,28 @@ def test_split_rejects_keeps_good_rows(spark):
     ok, bad = clean.split_rejects(raw, "user_id")
     assert sorted(r.user_id for r in ok.collect()) == ["1", "2"]
     assert sorted((r.user_id or "") for r in bad.collect()) == ["", "x"]
+
+
+def test_declared_checks_and_uniqueness(spark):
+    from cinelake.operators import integrity
+    from cinelake.schemas import DIM_MOVIE
+
+    good = spark.createDataFrame([("m1", "T", None, None, None, None)], MOVIE_SCHEMA)
+    integrity.enforce_declared(good, "dim_movie", DIM_MOVIE)
+    bad = spark.createDataFrame(
+        [("m1", None, None, None, None, None), ("x" * 21, "T", None, None, None, None)], MOVIE_SCHEMA
+    )
+    with pytest.raises(integrity.IntegrityError, match="title_not_null=1.*movie_id_length=1|movie_id_length=1.*title_not_null=1"):
+        integrity.enforce_declared(bad, "dim_movie", DIM_MOVIE)
+    integrity.assert_unique(good, "movie_id")
+    with pytest.raises(integrity.IntegrityError):
+        integrity.assert_unique(good.unionByName(good), "movie_id")
+
+
+def test_full_refresh_twice_is_equal(spark):
+    from cinelake.operators.upsert import full_refresh
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    first = sorted(tuple(r) for r in full_refresh(spark, rows, "t").collect())
+    second = sorted(tuple(r) for r in full_refresh(spark, rows, "t").collect())
+    assert first == second == [(1, "a"), (2, "b")]
