@@ -371,7 +371,8 @@ SELECT movie_id, user_id, CAST(score AS DOUBLE) AS score, rated_at FROM clean_ra
 
 def _missing_counts(table: str, cte: str, cols: list[str]) -> str:
     return "\nUNION ALL\n".join(
-        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count_if({c} IS NULL) AS missing FROM {cte}"
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS missing "
+        f"FROM {cte}"
         for c in cols
     )
 
@@ -411,7 +412,7 @@ _CHECKS = {
     ],
 }
 SQL["violation_report"] = with_fixtures("\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, '{name}' AS check_name, count_if({cond}) AS violations FROM {t}"
+    f"SELECT '{t}' AS table_name, '{name}' AS check_name, CAST(count_if({cond}) AS BIGINT) AS violations FROM {t}"
     for t, checks in _CHECKS.items() for name, cond in checks
 ), "dim_movie", "dim_user", "fact_rating")
 
