@@ -63,3 +63,15 @@ def test_query_matches_oracle(spark, duck, key):
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
     assert _rows(sdf.columns, srows) == _rows(dcols, drows)
+
+
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+               "DATE": "date", "BOOLEAN": "boolean"}
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_query_types_match_oracle(spark, duck, key):
+    spark_types = {f.name: f.dataType.simpleString() for f in entry.queries()[key](spark, SF_SMALL).schema.fields}
+    res = duck.execute(f"SELECT * FROM ({entry.oracle_sql()[key]}) LIMIT 0")
+    duck_types = {d[0]: _DUCK_TYPES.get(str(d[1]), str(d[1])) for d in res.description}
+    assert spark_types == duck_types
