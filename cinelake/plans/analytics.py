@@ -13,11 +13,12 @@ from cinelake.operators.topk import top_k
 
 
 def popular(fact: DataFrame, dim_movie: DataFrame, k: int = 5, with_genre: bool = True,
-            sums: DataFrame | None = None) -> DataFrame:
+            sums: DataFrame | None = None, keep_key: bool = False) -> DataFrame:
     """The ``k`` titles with most ratings (ties broken by ``movie_id``).
 
     ``sums`` may carry precomputed per-title sums (``stats.by_movie``) shared
-    with other queries of a page.
+    with other queries of a page; ``keep_key`` keeps ``movie_id`` in the
+    output (for display positions that follow the same order).
     """
     cols = ["movie_id", "title"] + (["genre"] if with_genre else [])
     title_sums = stats.by_movie(fact) if sums is None else sums
@@ -31,7 +32,7 @@ def popular(fact: DataFrame, dim_movie: DataFrame, k: int = 5, with_genre: bool
         k,
         [F.col("total_ratings").desc(), F.col("movie_id").asc()],
     )
-    return ranked.select(*cols[1:], "total_ratings", "avg_score")
+    return ranked.select(*(cols if keep_key else cols[1:]), "total_ratings", "avg_score")
 
 
 def _genre_sums(fact: DataFrame, dim_movie: DataFrame, sums: DataFrame | None = None) -> DataFrame:

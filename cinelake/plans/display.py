@@ -13,23 +13,13 @@ from pyspark.sql import functions as F
 
 from cinelake.functions.scalar import avg_of, genre_badge, or_placeholder
 from cinelake.operators import stats
-from cinelake.operators.topk import display_position, top_k
+from cinelake.operators.topk import display_position
+from cinelake.plans import analytics
 from cinelake.plans.marts import top_n_per_genre
 
 
 def _popular_with_key(fact: DataFrame, dim_movie: DataFrame, k: int) -> DataFrame:
-    joined = stats.by_movie(fact).join(dim_movie.select("movie_id", "title", "genre"), "movie_id", "inner")
-    return top_k(
-        joined.select(
-            "movie_id",
-            "title",
-            "genre",
-            F.col(stats.N_RATINGS).alias("total_ratings"),
-            stats.avg_score().alias("avg_score"),
-        ),
-        k,
-        [F.col("total_ratings").desc(), F.col("movie_id").asc()],
-    )
+    return analytics.popular(fact, dim_movie, k=k, keep_key=True)
 
 
 def ranked_popular(fact: DataFrame, dim_movie: DataFrame, k: int = 5) -> DataFrame:
