@@ -11,7 +11,6 @@ standalone queries.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cinelake.fixed_values import TOP_COUNTRIES, TOP_GENRES, TOP_PER_GENRE, TOP_POPULAR
 from cinelake.operators import stats
