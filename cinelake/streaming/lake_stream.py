@@ -1,4 +1,4 @@
-"""Incremental ingest of rating files landing in the lake.
+"""Incremental ingest of title, user and rating files landing in the lake.
 
 The reference reloads the whole ratings file on every run. When rating
 files keep landing, the same cleaning, reference checks and lake-order
@@ -10,15 +10,18 @@ numbering can run per micro-batch instead:
   strict user ids, foreign-key check against the dimensions (a batch with
   an unknown title or user fails), rating ids continuing from the last
   committed batch, numbered in lake order (file, split, row);
-* sink: one ``batch_id=<n>`` partition per micro-batch, written with
+* ratings sink: one ``batch_id=<n>`` partition per micro-batch, written with
   dynamic partition overwrite. A replayed batch rewrites exactly its own
   partition, and its ids only depend on earlier batches, so a retry after a
-  failure gives the same table: exactly-once together with the checkpoint.
+  failure gives the same table: exactly-once together with the checkpoint;
+* title and user files (``start_dimension_stream``) are upserted into the
+  warehouse per micro-batch, last row per key winning in lake order.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,13 +81,18 @@ def start_ratings_stream(
     spark: SparkSession,
     landing_dir: str,
     out_dir: str,
-    dim_movie: DataFrame,
-    dim_user: DataFrame,
+    dim_movie: DataFrame | Callable[[], DataFrame],
+    dim_user: DataFrame | Callable[[], DataFrame],
     checkpoint_location: str | None = None,
     available_now: bool = True,
     key: str = "rating_id",
 ) -> StreamingQuery:
-    """Start the incremental ingest; returns the running query."""
+    """Start the incremental ingest; returns the running query.
+
+    The dimensions may be given as callables (e.g. ``lambda:
+    wh.table("dim_movie")``) so every micro-batch checks against the
+    versions current at that batch.
+    """
     ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", "ratings")
     source = (
         spark.readStream.schema(all_string(LAKE_RATINGS_COLUMNS))
@@ -101,7 +109,9 @@ def start_ratings_stream(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         start = _committed_rows(batch.sparkSession, out_dir, batch_id) + 1
-        out = ratings_batch(batch, dim_movie, dim_user, start, key).withColumn(BATCH_COL, F.lit(batch_id))
+        movies = dim_movie() if callable(dim_movie) else dim_movie
+        users = dim_user() if callable(dim_user) else dim_user
+        out = ratings_batch(batch, movies, users, start, key).withColumn(BATCH_COL, F.lit(batch_id))
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -112,3 +122,61 @@ def start_ratings_stream(
     writer = source.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+def start_dimension_stream(
+    spark: SparkSession,
+    landing_dir: str,
+    wh,
+    table: str = "dim_movie",
+    checkpoint_location: str | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Incremental upsert of landed title or user files into ``wh``.
+
+    Each micro-batch is cleaned like the batch load, checked against the
+    declared constraints, and upserted (last row per key wins, in lake
+    order; absent keys are kept) through a staged version switch. Replaying
+    a batch upserts the same rows again, which leaves the table unchanged.
+    """
+    from cinelake.schemas import DIM_MOVIE, DIM_USER, LAKE_MOVIES_COLUMNS, LAKE_USERS_COLUMNS
+    from cinelake.operators import upsert
+
+    if table == "dim_movie":
+        columns, schema, key = LAKE_MOVIES_COLUMNS, DIM_MOVIE, "movie_id"
+        cleaner = clean.clean_movies
+    elif table == "dim_user":
+        columns, schema, key = LAKE_USERS_COLUMNS, DIM_USER, "user_id"
+        cleaner = clean.clean_users
+    else:
+        raise ValueError(f"not a dimension: {table}")
+    ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", table)
+    source = (
+        spark.readStream.schema(all_string(columns))
+        .option("header", True)
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .csv(landing_dir)
+        .select(
+            *columns,
+            F.col("_metadata.file_path").alias(POS_FILE),
+            F.col("_metadata.file_block_start").alias(POS_SPLIT),
+        )
+    )
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        raw = batch.select(
+            *[na_to_null(c).alias(c) for c in columns],
+            F.col(POS_FILE),
+            F.col(POS_SPLIT),
+            F.monotonically_increasing_id().alias(POS_ROW),
+        )
+        rows = cleaner(raw)
+        rows = rows.withColumn("_pos", F.struct(POS_FILE, POS_SPLIT, POS_ROW)).drop(POS_FILE, POS_SPLIT, POS_ROW)
+        integrity.enforce_declared(rows, table, schema)
+        wh.replace(table, upsert.upsert(wh.table(table), rows, key, "_pos"))
+
+    wh.create()
+    writer = source.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()

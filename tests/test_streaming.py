@@ -34,3 +34,25 @@ def test_two_landings_number_densely(spark, tmp_path):
     assert sorted({r.batch_id for r in rows}) == [0, 1]
     assert os.path.isdir(ckpt)
     assert F
+
+
+def test_dimension_stream_upserts(spark, tmp_path):
+    from cinelake.sources.warehouse import Warehouse
+    from cinelake.streaming.lake_stream import start_dimension_stream
+
+    landing = tmp_path / "movies"
+    landing.mkdir()
+    wh = Warehouse(spark, str(tmp_path / "wh"), "dw_stream")
+    ckpt = str(tmp_path / "ckpt-movies")
+    with open(landing / "a.csv", "w") as f:
+        f.write("imdbID,title,genre,year,country,imdbRating\n")
+        f.write("m1, First ,Drama,1999,BR,7.5\nm2,Second,,N/A,,x\n")
+    start_dimension_stream(spark, str(landing), wh, "dim_movie", checkpoint_location=ckpt).awaitTermination(120)
+    with open(landing / "b.csv", "w") as f:
+        f.write("imdbID,title,genre,year,country,imdbRating\n")
+        f.write("m2,Second v2,Comedy,2001,US,8.05\nm3,Third,Action,2010,FR,6.0\n")
+    start_dimension_stream(spark, str(landing), wh, "dim_movie", checkpoint_location=ckpt).awaitTermination(120)
+    rows = {r.movie_id: r for r in wh.table("dim_movie").collect()}
+    assert sorted(rows) == ["m1", "m2", "m3"]
+    assert rows["m1"].title == "First" and rows["m2"].title == "Second v2"
+    assert str(rows["m2"].imdb_rating) == "8.1" and rows["m2"].year == 2001
