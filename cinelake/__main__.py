@@ -5,6 +5,7 @@ Commands
 ``load``      lake CSV → warehouse (``--policy warehouse``) or app tables
               (``--policy app``), then the mart views; prints row counts.
 ``reset``     drop and recreate the warehouse database (engine-created only).
+``vacuum``    drop table versions no longer current (keeps ``--keep`` newest).
 ``report``    the analytical reports over the loaded warehouse: most popular
               titles, best primary genres, most active countries, and the
               analytics page (five tables from two shared aggregates).
@@ -38,6 +39,10 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--policy", choices=["warehouse", "app"], default="warehouse")
     reset = sub.add_parser("reset")
     reset.add_argument("--root", required=True)
+    vacuum = sub.add_parser("vacuum")
+    vacuum.add_argument("--root", required=True)
+    vacuum.add_argument("--keep", type=int, default=1)
+    vacuum.add_argument("--policy", choices=["warehouse", "app"], default="warehouse")
     report = sub.add_parser("report")
     report.add_argument("--root", required=True)
     report.add_argument("--rows", type=int, default=0, help="print at most this many rows (0 = all)")
@@ -55,6 +60,9 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(report.counts))
     elif args.command == "reset":
         warehouse(spark, args.root).reset()
+    elif args.command == "vacuum":
+        wh = app_warehouse(spark, args.root) if args.policy == "app" else warehouse(spark, args.root)
+        print(json.dumps(wh.vacuum(keep=args.keep)))
     elif args.command == "report":
         wh = warehouse(spark, args.root)
         fact, movies, users = wh.table("fact_rating"), wh.table("dim_movie"), wh.table("dim_user")

@@ -1,9 +1,10 @@
 """Warehouse tables in the Spark catalog, written as versioned tables behind
 a stable view.
 
-Every load writes the next version of a table as its own external parquet
-table in a fresh directory and only then points the public name — a view —
-at it. Readers never see a
+Every load writes the next version of a table as its own managed parquet
+table (inside the database folder under the shared root) and only then
+points the public name — a view, which records its current version — at it.
+``vacuum`` drops versions no view uses any more, and with them their files. Readers never see a
 half-written table, a failed load leaves the previous version in place, and
 a plan that reads the current version can produce the next one without
 overwriting its own input.
@@ -20,6 +21,7 @@ collapses such a key.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +67,7 @@ class Warehouse:
         start as an empty version so they can be read right away."""
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS `{self.database}` "
+            f"LOCATION '{self.root}/{self.database}.db' "
             f"WITH DBPROPERTIES ('created_by'='{ENGINE_TAG}')"
         )
         for name, schema in self.tables.items():
@@ -91,15 +94,14 @@ class Warehouse:
     def replace(self, name: str, df: DataFrame) -> str:
         """Staged full replacement of table ``name`` by ``df``.
 
-        ``df`` is written completely as a new bucketed version table in a
-        new directory; then the view ``name`` is switched to it. Returns the
-        new location.
+        ``df`` is written completely as a new version table; then the view
+        ``name`` is switched to it. Returns the new version's table name.
         """
         schema = self.tables[name]
         cols = [f.name for f in schema.fields]
         key = BUCKET_KEYS.get(name)
-        version = f"{name}__v{uuid.uuid4().hex}"
-        path = f"{self.root}/{self.database}/{name}/{version}"
+        # Version names sort by creation time (then a random suffix).
+        version = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
         writer_df = df.select(*cols)
         if key:
             writer = (
@@ -110,10 +112,37 @@ class Warehouse:
             )
         else:
             writer = writer_df.write.format("parquet")
-        writer.mode("errorifexists").option("path", path).saveAsTable(f"`{self.database}`.`{version}`")
+        writer.mode("errorifexists").saveAsTable(f"`{self.database}`.`{version}`")
         col_list = ", ".join(f"`{c}`" for c in cols)
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW `{self.database}`.`{name}` AS "
+            f"CREATE OR REPLACE VIEW `{self.database}`.`{name}` "
+            f"TBLPROPERTIES ('{ENGINE_TAG}.version'='{version}') AS "
             f"SELECT {col_list} FROM `{self.database}`.`{version}`"
         )
-        return path
+        return version
+
+    def current_version(self, name: str) -> str:
+        props = {
+            r.key: r.value
+            for r in self.spark.sql(f"SHOW TBLPROPERTIES `{self.database}`.`{name}`").collect()
+        }
+        return props[f"{ENGINE_TAG}.version"]
+
+    def vacuum(self, keep: int = 1) -> list[str]:
+        """Drop all but the newest ``keep`` versions of every table (the
+        current one is always kept). Dropping a managed version table
+        deletes its files. Returns the dropped version names.
+
+        Like any vacuum, run it when no query still reads an old version.
+        """
+        dropped: list[str] = []
+        names = [t.name for t in self.spark.catalog.listTables(self.database)]
+        for name in self.tables:
+            current = self.current_version(name)
+            versions = sorted((n for n in names if n.startswith(f"{name}__v")), reverse=True)
+            keep_set = set(versions[: max(keep, 1)]) | {current}
+            for v in versions:
+                if v not in keep_set:
+                    self.spark.sql(f"DROP TABLE IF EXISTS `{self.database}`.`{v}`")
+                    dropped.append(v)
+        return dropped

@@ -143,3 +143,20 @@ def test_generated_lake_loads_end_to_end(spark, tmp_path):
     per_user = wh.table("fact_rating").groupBy("user_id").agg(F.countDistinct("movie_id").alias("m"))
     assert per_user.where(F.col("m") != min(5, n_movies)).isEmpty()
     assert spark.table("mart_top10_by_genre").count() > 0
+
+
+def test_vacuum_drops_old_versions(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), "dw_vacuum")
+    wh.create()
+    s = star(spark, SF_SMALL)
+    for _ in range(3):
+        wh.replace("dim_user", s.dim_user)
+    versions = [t.name for t in spark.catalog.listTables("dw_vacuum") if t.name.startswith("dim_user__v")]
+    assert len(versions) == 4  # the empty first version + three loads
+    current = wh.current_version("dim_user")
+    dropped = wh.vacuum(keep=1)
+    left = [t.name for t in spark.catalog.listTables("dw_vacuum") if t.name.startswith("dim_user__v")]
+    assert left == [current] and len([d for d in dropped if d.startswith("dim_user__v")]) == 3
+    assert wh.table("dim_user").count() == s.dim_user.count()
+    files = list((tmp_path / "wh" / "dw_vacuum.db").iterdir())
+    assert sorted(p.name for p in files if p.name.startswith("dim_user__v")) == [current]
