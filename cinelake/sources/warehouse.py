@@ -24,7 +24,8 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelake.schemas import APP_MOVIES, APP_RATINGS, APP_USERS, WAREHOUSE_TABLES
@@ -91,17 +92,26 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{name}")
 
-    def replace(self, name: str, df: DataFrame) -> str:
+    def replace(self, name: str, df: DataFrame, checks=None) -> str:
         """Staged full replacement of table ``name`` by ``df``.
 
         ``df`` is written completely as a new version table; then the view
         ``name`` is switched to it. Returns the new version's table name.
+
+        ``checks`` (``integrity.Check`` objects) are counted with an
+        ``Observation`` while the version is written — no extra pass — and
+        any violation drops the new version and raises before the switch,
+        leaving the table as it was.
         """
         schema = self.tables[name]
         cols = [f.name for f in schema.fields]
         key = BUCKET_KEYS.get(name)
         # Version names sort by creation time (then a random suffix).
         version = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+        observation = None
+        if checks:
+            observation = Observation(f"{version}_checks")
+            df = df.observe(observation, *[F.count_if(c.violated).alias(c.name) for c in checks])
         writer_df = df.select(*cols)
         if key:
             writer = (
@@ -113,6 +123,14 @@ class Warehouse:
         else:
             writer = writer_df.write.format("parquet")
         writer.mode("errorifexists").saveAsTable(f"`{self.database}`.`{version}`")
+        if observation is not None:
+            bad = {k: v for k, v in observation.get.items() if v}
+            if bad:
+                self.spark.sql(f"DROP TABLE IF EXISTS `{self.database}`.`{version}`")
+                from cinelake.operators.integrity import IntegrityError
+
+                detail = ", ".join(f"{k}={v}" for k, v in sorted(bad.items()))
+                raise IntegrityError(f"{name}: {detail}")
         col_list = ", ".join(f"`{c}`" for c in cols)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW `{self.database}`.`{name}` "

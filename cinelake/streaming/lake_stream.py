@@ -173,8 +173,9 @@ def start_dimension_stream(
         )
         rows = cleaner(raw)
         rows = rows.withColumn("_pos", F.struct(POS_FILE, POS_SPLIT, POS_ROW)).drop(POS_FILE, POS_SPLIT, POS_ROW)
-        integrity.enforce_declared(rows, table, schema)
-        wh.replace(table, upsert.upsert(wh.table(table), rows, key, "_pos"))
+        # Declared constraints are counted while the version is written.
+        wh.replace(table, upsert.upsert(wh.table(table), rows, key, "_pos"),
+                   checks=integrity.declared_checks(schema))
 
     wh.create()
     writer = source.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)

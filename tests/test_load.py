@@ -160,3 +160,21 @@ def test_vacuum_drops_old_versions(spark, tmp_path):
     assert wh.table("dim_user").count() == s.dim_user.count()
     files = list((tmp_path / "wh" / "dw_vacuum.db").iterdir())
     assert sorted(p.name for p in files if p.name.startswith("dim_user__v")) == [current]
+
+
+def test_declared_violation_keeps_previous_dimension(spark, lake, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), "dw_declared")
+    load_lake(spark, lake, wh)
+    before = _rows(wh.table("dim_movie"))
+    versions_before = {t.name for t in spark.catalog.listTables("dw_declared")}
+    bad = str(tmp_path / "bad")
+    movies = spark.read.option("header", True).csv(os.path.join(lake, "movies.csv"))
+    movies.withColumn("title", F.when(F.col("imdbID") == "1", F.lit(None)).otherwise(F.col("title"))).coalesce(
+        1).write.option("header", True).option("escape", '"').csv(os.path.join(bad, "movies.csv"))
+    for t in ("users.csv", "ratings.csv"):
+        spark.read.option("header", True).csv(os.path.join(lake, t)).coalesce(1).write.option(
+            "header", True).option("escape", '"').csv(os.path.join(bad, t))
+    with pytest.raises(IntegrityError, match="title_not_null=1"):
+        load_lake(spark, bad, wh)
+    assert _rows(wh.table("dim_movie")) == before
+    assert {t.name for t in spark.catalog.listTables("dw_declared")} == versions_before
