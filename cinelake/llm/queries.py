@@ -5,10 +5,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cinelake.llm.block_naming import exact_groups
+from cinelake.llm.bpe import encode_documents, with_digests
+from cinelake.llm.mixing import mix
 from cinelake.llm.signature_tree import jaccard_components
 from cinelake.llm.staging import table
+from cinelake.llm.token_counts import count_tokens
+from cinelake.session import staging_path
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +22,35 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a mix of all sources takes, weights 3, 1, 2."""
+    mixed = mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, through a cache that starts empty."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return count_tokens(table(spark, sf_dir, "documents"), path, staging_path(spark, "token_cache"), limit=512)
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal documents and the one of each that stays."""
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return with_digests(encode_documents(table(spark, sf_dir, "documents"), path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_source_mixing": op2_source_mixing,
+    "op3_token_counts": op3_token_counts,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
 }
 
 SQL: dict[str, str] = {}
