@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cinelake.llm.block_naming import exact_groups
 from cinelake.llm.bpe import encode_documents, with_digests
+from cinelake.llm.language_id import language_rows
 from cinelake.llm.mixing import mix
+from cinelake.llm.secret_scan import secret_rows
 from cinelake.llm.signature_tree import jaccard_components
 from cinelake.llm.staging import table
 from cinelake.llm.token_counts import count_tokens
+from cinelake.llm.url_filter import judge
 from cinelake.session import staging_path
 
 
@@ -39,18 +42,41 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_rows(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return with_digests(encode_documents(table(spark, sf_dir, "documents"), path))
 
 
+#: Listed hosts and paths, and what they mean for a URL.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_source_mixing": op2_source_mixing,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_secret_scan": op5_secret_scan,
     "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op8_url_filter": op8_url_filter,
+    "op9_language_id": op9_language_id,
 }
 
 SQL: dict[str, str] = {}
