@@ -322,8 +322,10 @@ def _blocked(df: DataFrame, count: str = "members") -> DataFrame:
 
 
 def _with_text(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """A sort-merge join at every size: members grow with the input, so they are
+    never broadcast."""
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    return members.join(texts, "rep")
+    return members.hint("merge").join(texts, "rep")
 
 
 def _joined(rows: DataFrame, size: int, percent: int) -> DataFrame:
