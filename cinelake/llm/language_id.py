@@ -17,12 +17,13 @@ out; an empty table gives no rows; only ``doc_id``, ``text`` and, for training,
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cinelake.llm.staging import ship_package
@@ -263,25 +264,23 @@ def fit(docs: DataFrame, held_out_fold: int = 2) -> ByteGru | None:
     return train([(piece, lang) for _, lang, piece in rows])
 
 
-def identify(docs: DataFrame, net: ByteGru | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` appended; all columns are kept."""
-    spark = docs.sparkSession
+def language_of(spark: SparkSession, net: ByteGru | None) -> Callable[[Column], Column]:
+    """A column function: text → struct of ``lang_pred`` and ``score``."""
     ship_package(spark)
     shared = spark.sparkContext.broadcast(pickle.dumps(net))  # about 60 kB
 
     @F.pandas_udf("lang_pred string, score double")
-    def of(texts):
-        import pandas as pd
-
+    def of(texts: pd.Series) -> pd.DataFrame:
         model, column = _network(shared.value), pa.Array.from_pandas(texts, type=pa.string())
         found, score = predict(model, column) if model else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
         return pd.DataFrame({"lang_pred": found, "score": score})
 
-    return docs.withColumn("language", of(F.col("text").cast("string")))
+    return of
 
 
 def language_rows(docs: DataFrame, held_out_fold: int = 2) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)`` per row."""
-    found = identify(docs.select("doc_id", "text"), fit(docs, held_out_fold))
+    of = language_of(docs.sparkSession, fit(docs, held_out_fold))
+    found = docs.select("doc_id", of(F.col("text").cast("string")).alias("language"))
     held = F.coalesce(fold(F.col("doc_id")) == held_out_fold, F.lit(False))
     return found.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "language.lang_pred", "language.score")

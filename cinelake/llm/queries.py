@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from cinelake.llm.block_naming import exact_groups
 from cinelake.llm.bpe import encode_documents, with_digests
 from cinelake.llm.language_id import language_rows
+from cinelake.llm.licenses import scan
 from cinelake.llm.mixing import mix
+from cinelake.llm.rp_forest import nearest_neighbours
 from cinelake.llm.secret_scan import secret_rows
 from cinelake.llm.signature_tree import jaccard_components
 from cinelake.llm.staging import table
@@ -47,6 +49,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_rows(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -68,15 +75,22 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_rows(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence lines of every document."""
+    return scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_source_mixing": op2_source_mixing,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_secret_scan": op5_secret_scan,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,
+    "op10_license_scan": op10_license_scan,
 }
 
 SQL: dict[str, str] = {}
