@@ -208,8 +208,11 @@ def _joined(spans: Column) -> Column:
 def secret_rows(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov)`` per row."""
     found = find_secrets(docs, train(docs))
-    count = {k: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS}
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["kind"] != "markov")
     return found.select(
-        "doc_id", count["assign"], count["access"], count["hex"], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"), count["markov"]
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"), count("markov")
     )
