@@ -29,7 +29,6 @@ LAKE_DATE_FORMAT = "yyyy-MM-dd"
 TARGET_GENRES = ["Action", "Sci-Fi", "Comedy"]
 SEARCH_TERMS = ["Life", "World", "Star", "Man"]
 QUOTA_PER_GENRE = 15
-MAX_PAGES_PER_TERM = 5
 
 # Lake generator: synthetic users and ratings.
 USER_COUNT = 20
@@ -48,6 +47,7 @@ SEED = 42
 # Declared column limits of the warehouse tables.
 MAX_LENGTH = {
     "movie_id": 20,
+    "imdb_id": 20,
     "title": 255,
     "genre": 255,
     "country": 255,

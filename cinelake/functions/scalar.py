@@ -86,7 +86,8 @@ def unicode_strip(col: str | Column) -> Column:
     no-break spaces and the rest of the Unicode space class.
     """
     c = _c(col)
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    space = r"[\s\x1c-\x1f]+"
+    return F.regexp_replace(F.regexp_replace(c, f"(?U)^{space}", ""), f"(?U){space}$", "")
 
 
 def blank_to_null(col: str | Column) -> Column:
@@ -94,18 +95,32 @@ def blank_to_null(col: str | Column) -> Column:
     return F.nullif(_c(col), F.lit(""))
 
 
+# Plain decimal notation, white space around it allowed. The engine's own cast
+# also accepts type suffixes (``7.5d``) and hexadecimal floats (``0x1p3``).
+_DECIMAL_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_INFINITE_TEXT = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+
+
+def parsed_number(col: str | Column) -> Column:
+    """Text → double: NULL unless it is plain decimal notation."""
+    c = _c(col)
+    return F.when(c.rlike(_DECIMAL_TEXT), F.trim(c).try_cast(T.DoubleType()))
+
+
 def to_int_truncating(col: str | Column) -> Column:
     """Numeric coercion: unparseable → NULL, fractions truncated toward zero."""
-    return _c(col).try_cast(T.DoubleType()).cast(T.IntegerType())
+    return parsed_number(col).cast(T.IntegerType())
 
 
 def to_decimal_strict(col: str | Column, dtype: T.DecimalType) -> Column:
-    """Unparseable → NULL, but out-of-range raises (ANSI cast).
+    """Unparseable → NULL, but infinity and out-of-range values raise.
 
     Going through double first keeps ``'7.85'`` → ``7.9`` (half away from
     zero) and lets an overflow surface as an error instead of a silent NULL.
     """
-    return _c(col).try_cast(T.DoubleType()).cast(dtype)
+    c = _c(col)
+    refused = F.raise_error(F.concat(F.lit("not a finite number: "), c)).cast(dtype)
+    return F.when(c.rlike(_INFINITE_TEXT), refused).otherwise(parsed_number(c).cast(dtype))
 
 
 def to_score(col: str | Column) -> Column:
@@ -121,12 +136,20 @@ def to_lake_date(col: str | Column) -> Column:
     return F.try_to_date(_c(col), LAKE_DATE_FORMAT)
 
 
-def strict_int(col: str | Column, what: str) -> Column:
-    """Key coercion that refuses to guess: bad or missing text raises."""
+def strict_int(col: str | Column, what: str, numeric: bool = False) -> Column:
+    """Key coercion that refuses to guess: bad or missing text raises.
+
+    ``numeric`` also takes numbers written otherwise whose value is whole
+    (``3.0``, ``1e2``), as the warehouse loader does; the application loader
+    takes digits only.
+    """
     c = _c(col)
-    return F.when(c.isNull(), F.raise_error(F.lit(f"missing {what}")).cast(T.IntegerType())).otherwise(
-        c.cast(T.IntegerType())
-    )
+    missing = F.raise_error(F.lit(f"missing {what}")).cast(T.IntegerType())
+    if not numeric:
+        return F.when(c.isNull(), missing).otherwise(c.cast(T.IntegerType()))
+    value = parsed_number(c)
+    refused = F.raise_error(F.concat(F.lit(f"not a whole number for {what}: "), c)).cast(T.IntegerType())
+    return F.when(c.isNull(), missing).when(value == F.floor(value), value.cast(T.IntegerType())).otherwise(refused)
 
 
 # ---------------------------------------------------------------------------

@@ -62,12 +62,13 @@ def clean_users(
     key: str = "user_id",
     blank_as_null: bool = False,
     missing_as_text: str | None = None,
+    numeric_keys: bool = False,
 ) -> DataFrame:
     """Lake users → ``dim_user`` (``key='user_id'``) or ``users`` (``key='id'``)."""
     df = raw.withColumnRenamed("id", key) if key != "id" else raw
     extra = [c for c in df.columns if c.startswith("_pos_")]
     return df.select(
-        strict_int(key, key).alias(key),
+        strict_int(key, key, numeric_keys).alias(key),
         unicode_strip("name").alias("name"),
         _missing("age_group", missing_as_text, blank_as_null),
         _missing("country", missing_as_text, blank_as_null),
@@ -75,13 +76,13 @@ def clean_users(
     )
 
 
-def clean_ratings(raw: DataFrame) -> DataFrame:
+def clean_ratings(raw: DataFrame, numeric_keys: bool = False) -> DataFrame:
     """Lake ratings → fact rows. The lake's own rating id is dropped: the
     warehouse numbers ratings itself on every full refresh."""
     extra = [c for c in raw.columns if c.startswith("_pos_")]
     return raw.select(
         F.col("movie_id"),
-        strict_int("user_id", "user_id").alias("user_id"),
+        strict_int("user_id", "user_id", numeric_keys).alias("user_id"),
         to_score("score").alias("score"),
         to_lake_date("rated_at").alias("rated_at"),
         *extra,

@@ -55,25 +55,14 @@ def _payload_bytes(df: DataFrame) -> F.Column:
     return total
 
 
-# Measured answers per (session, plan, budget). Inputs are immutable files
-# (a new warehouse version is a new path, hence a new plan), so an answer
-# stays true for the plan it was measured on.
-_MEASURED: dict[tuple[int, int, int], bool] = {}
-
-
 def fits_broadcast(df: DataFrame, budget: int | None = None) -> bool:
-    """Whether ``df`` provably fits in the broadcast budget (one small job,
-    remembered per session and plan)."""
+    """Whether ``df`` provably fits in the broadcast budget: one small job per
+    call, never remembered, since files behind a plan may have changed."""
     budget = broadcast_budget(df.sparkSession) if budget is None else budget
     if budget <= 0:
         return False
-    key = (id(df.sparkSession), df.semanticHash(), budget)
-    if key in _MEASURED:
-        return _MEASURED[key]
     max_rows = budget // _ROW_OVERHEAD
     probe = df.limit(max_rows + 1).agg(
         F.count(F.lit(1)).alias("n"), F.sum(_payload_bytes(df)).alias("bytes")
     ).first()
-    answer = probe.n <= max_rows and (probe.bytes or 0) <= budget
-    _MEASURED[key] = answer
-    return answer
+    return probe.n <= max_rows and (probe.bytes or 0) <= budget

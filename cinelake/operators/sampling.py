@@ -5,9 +5,8 @@
   still open, skipping ids already seen. The sequential rule equals a
   cascade: target 1 takes the first ``quota`` candidates that contain it;
   target 2 the first ``quota`` of the rest that contain it; and so on
-  (acceptance by an earlier target never depends on a later one). Each step
-  is a top-k by position (no full sort) and an anti-join against at most
-  ``quota × targets`` accepted ids, a proven bound that is broadcast.
+  (acceptance by an earlier target never depends on a later one). It runs
+  over a short list of bounded size, taken in one pass.
 * ``sample_k`` — k distinct items per key with a hash stride over a dense
   item index: ``start = h1 mod N``, ``step = 1 + h2 mod ⌊N/k⌋``, item j is
   ``(start + j·step) mod N`` for j < k, distinct because
@@ -31,19 +30,14 @@ from cinelake.operators.keys import dense_index
 from cinelake.operators.upsert import first_per_key
 from cinelake.schemas import SCORE_TYPE
 
-from cinelake.fixed_values import (  # noqa: F401 - re-exported
+from cinelake.fixed_values import (
     AGE_GROUPS,
     COUNTRIES,
-    MAX_PAGES_PER_TERM,
-    QUOTA_PER_GENRE,
     RATED_AT,
     RATINGS_PER_USER,
     SCORE_MAX,
     SCORE_MIN,
-    SEARCH_TERMS,
     SEED,
-    TARGET_GENRES,
-    USER_COUNT,
 )
 
 
@@ -56,6 +50,15 @@ def dedupe_first(candidates: DataFrame, id_col: str, position: str) -> DataFrame
     return first_per_key(candidates, id_col, position)
 
 
+def _free(priority: int, id_col: str) -> Column:
+    """Listed candidates of one target that no earlier target has taken."""
+
+    def open_(x: Column) -> Column:
+        return (x["priority"] == priority) & ~F.exists("taken", lambda y: y["row"][id_col] == x["row"][id_col])
+
+    return F.filter("list", open_)
+
+
 def quota_select(
     candidates: DataFrame,
     targets: Sequence[str],
@@ -65,23 +68,35 @@ def quota_select(
     text_col: str = "genre",
     target_col: str = "target",
 ) -> DataFrame:
-    """Accepted candidates with the target each was accepted for."""
-    remaining = dedupe_first(candidates, id_col, position)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    accepted: DataFrame | None = None
-    for target in targets:
-        pick = (
-            remaining.where(text.contains(F.lit(target)))
-            .orderBy(F.col(position).asc(), F.col(id_col).asc())
-            .limit(quota)
-            .withColumn(target_col, F.lit(target))
-        )
-        accepted = pick if accepted is None else accepted.unionByName(pick)
-        # ``pick`` holds at most ``quota`` rows: broadcasting it is bounded.
-        remaining = remaining.join(F.broadcast(pick.select(id_col)), id_col, "left_anti")
-    if accepted is None:
+    """Accepted candidates with the target each was accepted for.
+
+    One pass over the candidates: each is exploded over the targets that it
+    contains, and per target the first ``quota × targets`` are kept (a window
+    group limit). An earlier target takes at most ``quota`` candidates away, so
+    that many always suffice. The cascade then runs on the kept list, at most
+    ``quota × targets²`` rows, which configuration bounds.
+    """
+    if not targets:
         return candidates.limit(0).withColumn(target_col, F.lit(None).cast(T.StringType()))
-    return accepted
+    rows = dedupe_first(candidates, id_col, position)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    contained = F.array_compact(F.array(*[F.when(text.contains(F.lit(t)), F.lit(i)) for i, t in enumerate(targets)]))
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    each = rows.select(row, F.explode(contained).alias("priority"))
+    order = Window.partitionBy("priority").orderBy(F.col(f"row.{position}"), F.col(f"row.{id_col}"))
+    short = each.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= quota * len(targets))
+    listed = short.groupBy().agg(
+        F.collect_list(F.struct("priority", "turn", "row")).alias("list")
+    ).select(F.array_sort("list", lambda x, y: F.when(x["priority"] != y["priority"], x["priority"] - y["priority"]).otherwise(x["turn"] - y["turn"])).alias("list"))
+
+    accepted = F.filter("list", lambda x: F.lit(False))
+    for i in range(len(targets)):
+        # Bound as a column of its own, so that the next step reads it once.
+        listed = listed.withColumn("taken", accepted)
+        accepted = F.concat("taken", F.slice(_free(i, id_col), 1, quota))
+    names = F.array(*[F.lit(t) for t in targets])
+    taken = listed.select(F.explode(accepted).alias("x"))
+    return taken.select("x.row.*", F.element_at(names, F.col("x.priority") + 1).alias(target_col))
 
 
 def quota_counts(accepted: DataFrame, targets: Sequence[str], target_col: str = "target") -> DataFrame:
@@ -106,10 +121,11 @@ def quota_counts(accepted: DataFrame, targets: Sequence[str], target_col: str =
 # Seeded hashing
 # ---------------------------------------------------------------------------
 
-def seeded_hash(seed: int, *parts: Column | str, salt: str = "", offset: int = 0) -> Column:
-    """32-bit unsigned integer from md5(seed|salt|parts...), as BIGINT.
+def seeded_hash(seed: int, *parts: Column | str, salt: str = "", offset: int = 0, digits: int = 8) -> Column:
+    """Unsigned integer of ``digits`` hex digits (15 at most) from
+    md5(seed|salt|parts...), as BIGINT.
 
-    ``offset`` picks which 8 hex digits of the digest to use (0..3).
+    ``offset`` picks which run of ``digits`` of the digest to use.
     """
     pieces: list[Column] = [F.lit(str(seed))]
     if salt:
@@ -117,7 +133,7 @@ def seeded_hash(seed: int, *parts: Column | str, salt: str = "", offset: int = 0
     for p in parts:
         pieces += [F.lit("|"), (F.col(p) if isinstance(p, str) else p).cast(T.StringType())]
     digest = F.md5(F.concat(*pieces))
-    return F.conv(F.substring(digest, 1 + 8 * offset, 8), 16, 10).cast(T.LongType())
+    return F.conv(F.substring(digest, 1 + digits * offset, digits), 16, 10).cast(T.LongType())
 
 
 def sample_k(
@@ -135,8 +151,8 @@ def sample_k(
     indexed = dense_index(items.select(item_col), [F.col(item_col).asc()], name="_idx", start=0)
     n = indexed.select(F.count(F.lit(1))).scalar()
     kk = F.least(F.lit(k).cast("long"), n)
-    h1 = seeded_hash(seed, key_col, offset=0)
-    h2 = seeded_hash(seed, key_col, offset=1)
+    h1 = seeded_hash(seed, key_col, offset=0, digits=15)
+    h2 = seeded_hash(seed, key_col, offset=1, digits=15)
     draws = keys.select(key_col).where(n > 0).select(
         key_col,
         F.pmod(h1, n).alias("_start"),

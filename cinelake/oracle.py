@@ -245,7 +245,7 @@ LIMIT 10""", "fact_rating", "dim_user")
 # -- fixtures for cleaning, integrity, loads and sampling -------------------------
 
 from cinelake.functions.scalar import NA_TOKENS, PLACEHOLDER  # noqa: E402
-from cinelake.operators.sampling import AGE_GROUPS, COUNTRIES, SEARCH_TERMS  # noqa: E402
+from cinelake.fixed_values import AGE_GROUPS, COUNTRIES, SEARCH_TERMS  # noqa: E402
 
 
 def _na(col: str) -> str:
@@ -257,8 +257,14 @@ def _list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
-def _hash(expr: str, offset: int = 0) -> str:
-    return f"CAST(('0x' || substr(md5({expr}), {1 + 8 * offset}, 8)) AS BIGINT)"
+def _number(col: str) -> str:
+    """Plain decimal notation only (see the Spark side), else NULL."""
+    pattern = r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*"
+    return f"CASE WHEN regexp_full_match({col}, '{pattern}') THEN TRY_CAST(trim({col}) AS DOUBLE) END"
+
+
+def _hash(expr: str, offset: int = 0, digits: int = 8) -> str:
+    return f"CAST(('0x' || substr(md5({expr}), {1 + digits * offset}, {digits})) AS BIGINT)"
 
 
 _MK = "CAST(movie_id AS BIGINT)"
@@ -267,10 +273,12 @@ CTE.update({
     "raw_movies": f"""
 SELECT movie_id AS imdbID, concat('  ', title, ' ') AS title,
   CASE WHEN {_MK} % 11 = 0 THEN 'N/A' ELSE coalesce(genre, '') END AS genre,
-  CASE {_MK} % 6 WHEN 0 THEN '2010–2015' WHEN 1 THEN 'N/A' WHEN 2 THEN '1999.5' WHEN 3 THEN ' 1999 '
+  CASE WHEN {_MK} % 6 = 0 THEN '2010–2015' WHEN {_MK} % 6 = 1 THEN 'N/A' WHEN {_MK} % 12 = 2 THEN '1999.5'
+       WHEN {_MK} % 12 = 8 THEN '1999d' WHEN {_MK} % 6 = 3 THEN ' 1999 '
        ELSE coalesce(CAST(year AS VARCHAR), '') END AS year,
   CASE WHEN {_MK} % 13 = 0 THEN 'null' ELSE coalesce(country, '') END AS country,
-  CASE {_MK} % 4 WHEN 0 THEN 'N/A' WHEN 1 THEN '7.85' WHEN 2 THEN '8.05'
+  CASE WHEN {_MK} % 8 = 0 THEN 'N/A' WHEN {_MK} % 8 = 4 THEN '0x1p3' WHEN {_MK} % 4 = 1 THEN '7.85'
+       WHEN {_MK} % 4 = 2 THEN '8.05'
        ELSE coalesce(CAST(imdb_rating AS VARCHAR), '') END AS imdbRating
 FROM dim_movie""",
     "raw_users": """
@@ -280,7 +288,8 @@ SELECT CAST(user_id AS VARCHAR) AS id, concat(' ', name, '  ') AS name,
 FROM dim_user""",
     "raw_ratings": """
 SELECT CAST(rating_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, movie_id,
-  CASE rating_id % 7 WHEN 0 THEN 'abc' WHEN 1 THEN '' WHEN 2 THEN 'nan'
+  CASE WHEN rating_id % 14 = 0 THEN 'abc' WHEN rating_id % 14 = 7 THEN '7.5d' WHEN rating_id % 7 = 1 THEN ''
+       WHEN rating_id % 7 = 2 THEN 'nan'
        ELSE coalesce(CAST(score AS VARCHAR), '') END AS score,
   CASE rating_id % 5 WHEN 0 THEN '15/02/2024' WHEN 1 THEN '2024-02-30'
        ELSE coalesce(CAST(rated_at AS VARCHAR), '') END AS rated_at
@@ -294,9 +303,9 @@ FROM fact_rating""",
     "lake_ratings": "SELECT " + ", ".join(
         f"{_na(c)} AS {c}" for c in ["id", "user_id", "movie_id", "score", "rated_at"]
     ) + " FROM raw_ratings",
-    "clean_ratings": """
+    "clean_ratings": f"""
 SELECT CAST(id AS BIGINT) AS lake_id, movie_id, CAST(user_id AS INT) AS user_id,
-  CAST(TRY_CAST(score AS DOUBLE) AS DECIMAL(4,2)) AS score,
+  CAST({_number('score')} AS DECIMAL(4,2)) AS score,
   CAST(try_strptime(rated_at, '%Y-%m-%d') AS DATE) AS rated_at
 FROM lake_ratings""",
     "dim_movie_partial": f"SELECT * FROM dim_movie WHERE {_MK} % 19 <> 0",
@@ -304,7 +313,7 @@ FROM lake_ratings""",
     "candidates": f"""
 SELECT movie_id AS id, title, genre, {_MK} AS pos FROM dim_movie
 UNION ALL
-SELECT movie_id AS id, title, genre, {_MK} + 1000000 AS pos FROM dim_movie WHERE {_MK} % 7 = 0""",
+SELECT movie_id AS id, title, genre, {_MK} + 1000000000000000 AS pos FROM dim_movie WHERE {_MK} % 7 = 0""",
     "first_candidates": """
 SELECT id, title, genre, pos FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS rn FROM candidates) WHERE rn = 1""",
@@ -322,8 +331,8 @@ SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3""",
     "sample_pairs": f"""
 WITH items AS (SELECT movie_id, row_number() OVER (ORDER BY movie_id) - 1 AS idx FROM dim_movie),
      n AS (SELECT count(*) AS n FROM items),
-     keyed AS (SELECT user_id, {_hash("'42|' || CAST(user_id AS VARCHAR)", 0)} AS h1,
-                      {_hash("'42|' || CAST(user_id AS VARCHAR)", 1)} AS h2 FROM dim_user),
+     keyed AS (SELECT user_id, {_hash("'42|' || CAST(user_id AS VARCHAR)", 0, 15)} AS h1,
+                      {_hash("'42|' || CAST(user_id AS VARCHAR)", 1, 15)} AS h2 FROM dim_user),
      draws AS (SELECT user_id, n, h1 % n AS st, 1 + h2 % (n // least(5, n)) AS step,
                       unnest(range(0, least(5, n))) AS draw
                FROM keyed, n WHERE n > 0)
@@ -357,8 +366,8 @@ def _strip(col: str) -> str:
 
 SQL["clean_movies"] = with_fixtures(f"""
 SELECT imdbID AS movie_id, {_strip('title')} AS title, genre,
-  CAST(trunc(TRY_CAST(year AS DOUBLE)) AS INT) AS year, country,
-  CAST(CAST(TRY_CAST(imdbRating AS DOUBLE) AS DECIMAL(3,1)) AS DOUBLE) AS imdb_rating
+  CAST(trunc({_number('year')}) AS INT) AS year, country,
+  CAST(CAST({_number('imdbRating')} AS DECIMAL(3,1)) AS DOUBLE) AS imdb_rating
 FROM lake_movies""", "lake_movies")
 
 SQL["clean_users"] = with_fixtures(f"""
@@ -453,7 +462,7 @@ WITH base AS (SELECT * FROM dim_movie WHERE {_MK} % 3 <> 0),
        SELECT movie_id, 'v1 ' || title AS title, genre, year, country, imdb_rating, {_MK} AS pos
        FROM dim_movie WHERE {_MK} % 3 <> 1
        UNION ALL
-       SELECT movie_id, 'v2 ' || title AS title, genre, year, country, imdb_rating, {_MK} + 1000000 AS pos
+       SELECT movie_id, 'v2 ' || title AS title, genre, year, country, imdb_rating, {_MK} + 1000000000000000 AS pos
        FROM dim_movie WHERE {_MK} % 5 = 0),
      all_rows AS (
        SELECT movie_id, title, genre, year, country, imdb_rating, 0 AS src, 0 AS pos FROM base
@@ -469,7 +478,7 @@ WITH base AS (SELECT * FROM dim_user WHERE user_id % 3 <> 0),
        SELECT user_id, 'v1 ' || name AS name, age_group, country, CAST(user_id AS BIGINT) AS pos
        FROM dim_user WHERE user_id % 3 <> 1
        UNION ALL
-       SELECT user_id, 'v2 ' || name AS name, age_group, country, CAST(user_id AS BIGINT) + 1000000 AS pos
+       SELECT user_id, 'v2 ' || name AS name, age_group, country, CAST(user_id AS BIGINT) + 1000000000000000 AS pos
        FROM dim_user WHERE user_id % 5 = 0),
      all_rows AS (
        SELECT user_id, name, age_group, country, 0 AS src, 0 AS pos FROM base
@@ -497,12 +506,13 @@ UNION ALL SELECT 'fact_rating', COUNT(*) FROM fact_rating""", "dim_movie", "dim_
 
 _HITS = f"""
 WITH pg AS (SELECT CAST(p_partkey % 4 AS INT) AS ti, p_partkey // 40 + 1 AS page, p_partkey AS k FROM part),
-     stops AS (SELECT ti, min(page) AS stop FROM pg WHERE (ti + page) % 9 = 0 GROUP BY ti)
+     ends AS (SELECT ti, max(page) AS last FROM pg GROUP BY ti),
+     stops AS (SELECT ti, CASE WHEN ti = 2 THEN last - last // 10 ELSE last + 1 END AS stop FROM ends)
 SELECT {_list(SEARCH_TERMS)}[pg.ti + 1] AS term, pg.page,
        CAST(row_number() OVER (PARTITION BY pg.ti, pg.page ORDER BY pg.k) - 1 AS INT) AS hit,
        CAST(pg.k AS VARCHAR) AS imdbID
-FROM pg LEFT JOIN stops USING (ti)
-WHERE (stops.stop IS NULL OR pg.page < stops.stop) AND (pg.ti + pg.page) % 11 <> 0"""
+FROM pg JOIN stops USING (ti)
+WHERE pg.page < stops.stop AND (pg.ti + pg.page) % 11 <> 0"""
 SQL["search_hits"] = _HITS
 
 SQL["detail_projection"] = with_fixtures("""
@@ -593,23 +603,22 @@ SQL["catalog_size"] = with_fixtures("SELECT COUNT(*) AS num_titles FROM movies",
 
 SQL["lake_movie_selection"] = with_fixtures(f"""
 WITH hits AS (
-       SELECT imdbID, CAST((list_position({_list(SEARCH_TERMS)}, term) - 1) * CAST(1000000000 AS BIGINT)
-                           + page * 1000 + hit AS BIGINT) AS pos
+       SELECT imdbID, list_position({_list(SEARCH_TERMS)}, term) AS priority, page, hit
        FROM ({_HITS.strip()})),
      det AS (
        SELECT movie_id AS imdbID, title, coalesce(genre, '') AS genre, CAST(year AS VARCHAR) AS year,
               country, CAST(imdb_rating AS VARCHAR) AS imdbRating FROM dim_movie),
-     cand AS (SELECT h.imdbID, d.title, d.genre, d.year, d.country, d.imdbRating, h.pos
+     cand AS (SELECT h.imdbID, d.title, d.genre, d.year, d.country, d.imdbRating, h.priority, h.page, h.hit
               FROM hits h JOIN det d ON d.imdbID = h.imdbID),
-     firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY imdbID ORDER BY pos) AS rn FROM cand)
+     firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY imdbID ORDER BY priority, page, hit) AS rn FROM cand)
                 WHERE rn = 1),
      t1 AS (SELECT *, 'ECONOMY' AS target FROM firsts WHERE contains(genre, 'ECONOMY')
-            ORDER BY pos, imdbID LIMIT 15),
+            ORDER BY priority, page, hit, imdbID LIMIT 15),
      t2 AS (SELECT *, 'Brand#1' AS target FROM firsts WHERE contains(genre, 'Brand#1')
-              AND imdbID NOT IN (SELECT imdbID FROM t1) ORDER BY pos, imdbID LIMIT 15),
+              AND imdbID NOT IN (SELECT imdbID FROM t1) ORDER BY priority, page, hit, imdbID LIMIT 15),
      t3 AS (SELECT *, 'SMALL' AS target FROM firsts WHERE contains(genre, 'SMALL')
               AND imdbID NOT IN (SELECT imdbID FROM t1) AND imdbID NOT IN (SELECT imdbID FROM t2)
-            ORDER BY pos, imdbID LIMIT 15)
+            ORDER BY priority, page, hit, imdbID LIMIT 15)
 SELECT imdbID, title, genre, year, country, imdbRating, target FROM t1
 UNION ALL SELECT imdbID, title, genre, year, country, imdbRating, target FROM t2
 UNION ALL SELECT imdbID, title, genre, year, country, imdbRating, target FROM t3""", "dim_movie")

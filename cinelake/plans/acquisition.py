@@ -4,8 +4,9 @@ The reference walks search terms page by page, looks up each new hit's
 details and accepts it into the first target genre it contains whose quota
 is still open. Set-based:
 
-1. hits of every page that was read (``search_hits``), positioned by
-   (term priority, page, hit);
+1. hits of every page that was read (``search_hits``), positioned by the
+   struct (term priority, page, hit); hits of terms that are not searched are
+   left out;
 2. joined to the detail projection on the id (both sides grow with the
    data: a keyed shuffle join, AQE may broadcast a small side);
 3. the priority-quota cascade (``quota_select``), which also skips ids
@@ -26,10 +27,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.fixed_values import RATINGS_PER_USER, SEED
+from cinelake.fixed_values import RATINGS_PER_USER, SEARCH_TERMS, SEED
 from cinelake.operators.keys import dense_index
 from cinelake.operators.sampling import (
-    SEARCH_TERMS,
     assign_categories,
     quota_select,
     sample_k,
@@ -38,10 +38,6 @@ from cinelake.operators.sampling import (
 from cinelake.sources.lake import write_lake_csv
 from cinelake.sources.payloads import detail_projection, search_hits
 
-# Position = term priority · 10⁹ + page · 10³ + hit (pages hold < 1000 hits).
-_TERM_STRIDE = 1_000_000_000
-_PAGE_STRIDE = 1_000
-
 
 def select_lake_movies(
     pages: DataFrame,
@@ -53,13 +49,9 @@ def select_lake_movies(
     """Accepted lake movie rows (``imdbID, title, genre, year, country,
     imdbRating``) with the target genre each was accepted for."""
     order = F.array(*[F.lit(t) for t in terms])
-    hits = search_hits(pages).select(
-        "imdbID",
-        (
-            (F.array_position(order, F.col("term")) - 1) * F.lit(_TERM_STRIDE)
-            + F.col("page") * F.lit(_PAGE_STRIDE)
-            + F.col("hit")
-        ).cast("long").alias("pos"),
+    searched = pages.where(F.col("term").isin(*terms))
+    hits = search_hits(searched).select(
+        "imdbID", F.struct(F.array_position(order, F.col("term")).alias("priority"), "page", "hit").alias("pos")
     )
     candidates = hits.join(detail_projection(details), "imdbID", "inner")
     accepted = quota_select(candidates, targets, quota, id_col="imdbID", position="pos", text_col="genre")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,25 +51,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     The cluster names it in ``spark.checkpoint.dir``; we read it from the
-    session. Only a local-mode session (tests, local runs) may fall back to
-    a fresh temporary folder; on a cluster an unset value is an error, since
-    a machine-local folder is not visible to other executors.
+    session. Where it is unset, a folder beside the session's warehouse is
+    used, which every executor reaches as well.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: name a folder every executor can reach"
-            )
-        current = tempfile.mkdtemp(prefix="cinelake-ckpt-")
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, files = _file_system(spark, path)
+    return files.exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder, if it is there."""
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new, unique directory under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "staged", f"{name}-{uuid.uuid4().hex}")

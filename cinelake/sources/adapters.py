@@ -26,37 +26,13 @@ TPCH_TABLES = (
 _SCANS: dict[tuple[int, str], DataFrame] = {}
 
 
-# Tables on the fact side, whose size grows with the data.
-FACT_SIDE_TABLES = frozenset({"lineitem"})
-
-
-def spread_if_unsplit(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has
-    cores (e.g. one large file written as a single row group) so the work
-    above it runs in parallel.
-
-    A scan with enough splits — any table of real size — is returned
-    unchanged, so this never adds a shuffle at scale. The spread hashes a
-    scan-order row id: deterministic on task retry (the scan order is
-    fixed) and balanced whatever the key distribution, so a key holding a
-    third of the rows cannot skew it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, F.monotonically_increasing_id())
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table (parquet; projection and filters push down)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     df = _SCANS.get(key)
     if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        if name in FACT_SIDE_TABLES:
-            df = spread_if_unsplit(df)
-        _SCANS[key] = df
+        df = _SCANS[key] = spark.read.parquet(path)
     return df
 
 

@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinelake.operators.sampling import SEARCH_TERMS
+from cinelake.fixed_values import SEARCH_TERMS
 from cinelake.sources.adapters import Star
 
 # Fixed values of the fixtures.
 QUOTA_TARGETS = ["ECONOMY", "Brand#1", "SMALL"]
 QUOTA = 15
-REPEAT_OFFSET = 1_000_000
+# Positions of repeats: above any key of the tables.
+REPEAT_OFFSET = 1_000_000_000_000_000
+# The search term (by index) whose paging fails in the last tenth of its pages.
+EARLY_STOP_TERM = 2
 HITS_PER_PAGE = 10
 SEARCH_FAILED = '{"Response":"False","Error":"Movie not found!"}'
 SEARCH_EMPTY = '{"Response":"True"}'
@@ -41,12 +44,14 @@ def raw_movies(star: Star) -> DataFrame:
     year = (
         F.when(k % 6 == 0, F.lit("2010–2015"))
         .when(k % 6 == 1, F.lit("N/A"))
-        .when(k % 6 == 2, F.lit("1999.5"))
+        .when(k % 12 == 2, F.lit("1999.5"))
+        .when(k % 12 == 8, F.lit("1999d"))
         .when(k % 6 == 3, F.lit(" 1999 "))
         .otherwise(_text("year"))
     )
     rating = (
-        F.when(k % 4 == 0, F.lit("N/A"))
+        F.when(k % 8 == 0, F.lit("N/A"))
+        .when(k % 8 == 4, F.lit("0x1p3"))
         .when(k % 4 == 1, F.lit("7.85"))
         .when(k % 4 == 2, F.lit("8.05"))
         .otherwise(_text("imdb_rating"))
@@ -74,7 +79,8 @@ def raw_users(star: Star) -> DataFrame:
 def raw_ratings(star: Star) -> DataFrame:
     k = F.col("rating_id")
     score = (
-        F.when(k % 7 == 0, F.lit("abc"))
+        F.when(k % 14 == 0, F.lit("abc"))
+        .when(k % 14 == 7, F.lit("7.5d"))
         .when(k % 7 == 1, F.lit(""))
         .when(k % 7 == 2, F.lit("nan"))
         .otherwise(_text("score"))
@@ -155,8 +161,9 @@ def candidates(star: Star) -> DataFrame:
 # -- API payloads ---------------------------------------------------------------------
 
 def search_pages(part: DataFrame) -> DataFrame:
-    """One search response per (term, page): ten ids each, some pages
-    answering ``False`` and some ``True`` without hits."""
+    """One search response per (term, page): ten ids each, some pages ``True``
+    without hits. Every term fails after its last page, one of them also in its
+    last tenth, so that pages after a failure exist and nearly all are read."""
     k = F.col("p_partkey")
     terms = F.array(*[F.lit(t) for t in SEARCH_TERMS])
     keyed = part.select(
@@ -168,13 +175,18 @@ def search_pages(part: DataFrame) -> DataFrame:
     grouped = keyed.groupBy("ti", "page").agg(F.array_sort(F.collect_list("item")).alias("items"))
     hits = F.transform(F.col("items"), lambda x: F.struct(x["imdbID"].alias("imdbID")))
     full = F.to_json(F.struct(F.lit("True").alias("Response"), hits.alias("Search")))
+    # One row per configured term: a bounded side.
+    last = keyed.groupBy("ti").agg(F.max("page").alias("last"))
+    in_last_tenth = (F.col("ti") == EARLY_STOP_TERM) & (F.col("page") == F.col("last") - F.expr("last div 10"))
     payload = (
-        F.when((F.col("ti") + F.col("page")) % 9 == 0, F.lit(SEARCH_FAILED))
+        F.when(in_last_tenth, F.lit(SEARCH_FAILED))
         .when((F.col("ti") + F.col("page")) % 11 == 0, F.lit(SEARCH_EMPTY))
         .otherwise(full)
     )
-    return grouped.select(
-        F.element_at(terms, F.col("ti") + 1).alias("term"), "page", payload.alias("payload")
+    answered = grouped.join(F.broadcast(last), "ti").select("ti", "page", payload.alias("payload"))
+    after = last.select("ti", (F.col("last") + 1).alias("page"), F.lit(SEARCH_FAILED).alias("payload"))
+    return answered.unionByName(after).select(
+        F.element_at(terms, F.col("ti") + 1).alias("term"), "page", "payload"
     )
 
 

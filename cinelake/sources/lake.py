@@ -21,7 +21,7 @@ POS_ROW = "_pos_row"
 POSITION_COLUMNS = (POS_FILE, POS_SPLIT, POS_ROW)
 
 
-def _csv_reader(spark: SparkSession):
+def _csv_reader(spark: SparkSession, multiline: bool):
     # Quotes inside quoted fields are doubled by the lake writer, so the
     # escape character is the quote itself; FAILFAST rejects ragged rows.
     return (
@@ -29,12 +29,13 @@ def _csv_reader(spark: SparkSession):
         .option("escape", '"')
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
+        .option("multiLine", multiline)
     )
 
 
-def lake_header(spark: SparkSession, path: str) -> list[str]:
+def lake_header(spark: SparkSession, path: str, multiline: bool = False) -> list[str]:
     """Column names as written in the header (unstripped)."""
-    return spark.read.option("header", True).option("escape", '"').csv(path).columns
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path).columns
 
 
 def read_lake_csv(
@@ -42,6 +43,7 @@ def read_lake_csv(
     path: str,
     columns: list[str] | None = None,
     with_position: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """Scan lake CSV file(s) as all-string columns.
 
@@ -51,9 +53,13 @@ def read_lake_csv(
     ``with_position`` the scan also records where each row came from; the
     row number is taken right at the scan, before any shuffle, and is stable
     on task retry because file splits are deterministic.
+
+    ``multiline``: fields may hold quoted line breaks. Off by default, because
+    such a file cannot be split and is read by one task; a line break in a
+    file read without it fails the scan.
     """
-    header = lake_header(spark, path)
-    df = _csv_reader(spark).schema(all_string(header)).csv(path)
+    header = lake_header(spark, path, multiline)
+    df = _csv_reader(spark, multiline).schema(all_string(header)).csv(path)
     stripped = [c.strip() for c in header]
     df = df.toDF(*stripped)
     wanted = columns or stripped
@@ -72,11 +78,15 @@ def read_lake_csv(
 
 def write_lake_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a lake table as headered CSV (no index column), quoting with
-    doubled quotes so comma-separated genre lists round-trip."""
+    doubled quotes so comma-separated genre lists round-trip, and keeping
+    white space around values (values with line breaks are quoted; read them
+    back with ``multiline``)."""
     (
         df.write.mode(mode)
         .option("header", True)
         .option("escape", '"')
         .option("quoteAll", False)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )

@@ -50,9 +50,10 @@ def search_hits(
     if max_pages is not None:
         parsed = parsed.where(F.col(page_col) <= max_pages)
     failed = F.col("_p.Response") == F.lit("False")
-    # One row per term that failed somewhere (partial min per task).
+    # One row per term that failed somewhere (partial min per task): bounded by
+    # the search terms, so the parsed pages stay where they are.
     stops = parsed.where(failed).groupBy(term_col).agg(F.min(page_col).alias("_stop"))
-    read = parsed.join(stops, term_col, "left").where(
+    read = parsed.join(F.broadcast(stops), term_col, "left").where(
         F.col("_stop").isNull() | (F.col(page_col) < F.col("_stop"))
     )
     hits = read.select(

@@ -30,23 +30,23 @@ from pyspark.sql.streaming import StreamingQuery
 from cinelake.functions.scalar import na_to_null
 from cinelake.operators import clean, integrity, keys
 from cinelake.schemas import LAKE_RATINGS_COLUMNS, all_string
-from cinelake.session import checkpoint_dir
+from cinelake.session import checkpoint_dir, path_exists
 from cinelake.sources.lake import POS_FILE, POS_ROW, POS_SPLIT
 
 BATCH_COL = "batch_id"
 
 
 def _committed_rows(spark: SparkSession, out_dir: str, batch_id: int) -> int:
-    """Rows written by batches before ``batch_id`` (0 if none).
+    """Rows written by batches before ``batch_id`` (0 if nothing was written yet;
+    earlier rows that cannot be read are an error).
 
     Ids are dense from 1, so this is also the largest id so far. A row
     count prunes to the earlier ``batch_id`` partitions and is answered
     from parquet footers, without reading any column data.
     """
-    try:
-        prior = spark.read.parquet(out_dir)
-    except Exception:  # noqa: BLE001 - nothing committed yet
+    if not path_exists(spark, out_dir):
         return 0
+    prior = spark.read.parquet(out_dir)
     return prior.where(F.col(BATCH_COL) < batch_id).count()
 
 

@@ -78,8 +78,8 @@ def test_sampler_gives_min_k_n_distinct(spark, n_items, k):
 def test_seeded_values_in_domain(spark):
     users = spark.createDataFrame([(u,) for u in range(1, 200)], "user_id int")
     cats = sampling.assign_categories(users, "user_id").collect()
-    assert {r.age_group for r in cats} <= set(sampling.AGE_GROUPS)
-    assert {r.country for r in cats} <= set(sampling.COUNTRIES)
+    assert {r.age_group for r in cats} <= set(fixed_values.AGE_GROUPS)
+    assert {r.country for r in cats} <= set(fixed_values.COUNTRIES)
     pairs = users.select("user_id", F.lit("m").alias("movie_id"))
     scores = sampling.synthetic_scores(pairs, ["user_id", "movie_id"]).collect()
     assert all(1 <= float(r.score) <= 10 and float(r.score) * 10 == int(float(r.score) * 10) for r in scores)
