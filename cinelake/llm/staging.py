@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinelake.session import staging_path
+from cinelake.session import remove_path, staging_path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -30,12 +30,6 @@ def unstage(*frames: DataFrame) -> None:
         remove_path(df.sparkSession, df._staged_path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
