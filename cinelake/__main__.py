@@ -27,7 +27,7 @@ from cinelake.fixed_values import TOP_COUNTRIES, TOP_GENRES, TOP_POPULAR
 from cinelake.plans import analytics
 from cinelake.plans.pages import analytics_page
 from cinelake.plans.load import APP_POLICY, WAREHOUSE_POLICY, app_warehouse, load_lake, warehouse
-from cinelake.session import build_session
+from cinelake.session import build_session, staged_scope
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -49,6 +49,22 @@ def _parser() -> argparse.ArgumentParser:
     return ap
 
 
+def _print_reports(wh, rows: int) -> None:
+    fact, movies, users = wh.table("fact_rating"), wh.table("dim_movie"), wh.table("dim_user")
+    reports = {
+        "popular_titles": analytics.popular(fact, movies, k=TOP_POPULAR),
+        "best_genres": analytics.best_genres(fact, movies, k=TOP_GENRES),
+        "active_countries": analytics.countries(fact, users, k=TOP_COUNTRIES),
+    }
+    # The analytics page: five tables from two shared aggregates.
+    reports.update({f"page.{k}": v for k, v in analytics_page(fact, movies, users).items()})
+    for name, df in reports.items():
+        print(f"== {name}")
+        # Fetched one partition at a time: some reports have a row per group.
+        for r in (df.limit(rows) if rows else df).toLocalIterator():
+            print(json.dumps(r.asDict(), default=str))
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = build_session()
@@ -64,20 +80,8 @@ def main(argv: list[str] | None = None) -> int:
         wh = app_warehouse(spark, args.root) if args.policy == "app" else warehouse(spark, args.root)
         print(json.dumps(wh.vacuum(keep=args.keep)))
     elif args.command == "report":
-        wh = warehouse(spark, args.root)
-        fact, movies, users = wh.table("fact_rating"), wh.table("dim_movie"), wh.table("dim_user")
-        reports = {
-            "popular_titles": analytics.popular(fact, movies, k=TOP_POPULAR),
-            "best_genres": analytics.best_genres(fact, movies, k=TOP_GENRES),
-            "active_countries": analytics.countries(fact, users, k=TOP_COUNTRIES),
-        }
-        # The analytics page: five tables from two shared aggregates.
-        reports.update({f"page.{k}": v for k, v in analytics_page(fact, movies, users).items()})
-        for name, df in reports.items():
-            print(f"== {name}")
-            # Fetched one partition at a time: some reports have a row per group.
-            for r in (df.limit(args.rows) if args.rows else df).toLocalIterator():
-                print(json.dumps(r.asDict(), default=str))
+        with staged_scope(spark):
+            _print_reports(warehouse(spark, args.root), args.rows)
     return 0
 
 

@@ -25,9 +25,15 @@ class IntegrityError(ValueError):
     """A load violated a declared key or reference."""
 
 
-def _key_side(dim: DataFrame, key: str, dim_key: str | None) -> DataFrame:
+@dataclass(frozen=True)
+class Check:
+    name: str
+    violated: Column
+
+
+def _key_side(dim: DataFrame, key: str, dim_key: str | None, *more: Column) -> DataFrame:
     """The dimension's keys, broadcast only when they provably fit."""
-    keys = dim.select(F.col(dim_key or key).alias(key))
+    keys = dim.select(F.col(dim_key or key).alias(key), *more)
     return F.broadcast(keys) if fits_broadcast(keys) else keys
 
 
@@ -60,6 +66,17 @@ def enforce_references(
     return fact
 
 
+def with_reference(
+    fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None
+) -> tuple[DataFrame, Check]:
+    """``fact`` with a marker of whether ``key`` exists in ``dim`` (whose keys
+    are unique), and the check that counts where it does not: for a writer
+    that counts violations in its own pass."""
+    marker = f"_known_{key}"
+    keys = _key_side(dim, key, dim_key, F.lit(True).alias(marker))
+    return fact.join(keys, key, "left"), Check(f"unknown_{key}", F.col(marker).isNull())
+
+
 def cascade_delete(fact: DataFrame, deleted: dict[str, DataFrame]) -> DataFrame:
     """Remove facts that reference deleted dimension rows (``ON DELETE
     CASCADE``); ``deleted`` maps a fact key column to a frame of deleted keys
@@ -82,27 +99,15 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
         raise IntegrityError(f"duplicate values of {key}")
 
 
-@dataclass(frozen=True)
-class Check:
-    name: str
-    violated: Column
-
-
-def _decimal_overflow(col: str, dtype: T.DecimalType) -> Column:
-    limit = 10 ** (dtype.precision - dtype.scale)
-    return F.abs(F.col(col)) >= F.lit(limit)
-
-
 def declared_checks(schema: T.StructType) -> list[Check]:
-    """NOT NULL, length and precision checks derived from a table schema."""
+    """NOT NULL and length checks derived from a table schema (a decimal column's
+    type already rules out values beyond its precision)."""
     checks: list[Check] = []
     for f in schema.fields:
         if not f.nullable:
             checks.append(Check(f"{f.name}_not_null", F.col(f.name).isNull()))
         if f.name in MAX_LENGTH and isinstance(f.dataType, T.StringType):
             checks.append(Check(f"{f.name}_length", F.length(f.name) > MAX_LENGTH[f.name]))
-        if isinstance(f.dataType, T.DecimalType):
-            checks.append(Check(f"{f.name}_precision", _decimal_overflow(f.name, f.dataType)))
     return checks
 
 

@@ -24,8 +24,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinelake.operators.joins import fits_broadcast
 from cinelake.operators.materialize import materialize
 
+# Most bytes of split offsets that are broadcast (some millions of splits).
+OFFSETS_BUDGET = 128 << 20
+
 _MID = "_dense_mid"
 _PID = "_dense_pid"
 
@@ -61,12 +65,13 @@ def dense_index_in_scan_order(
     name: str = "id",
     start: int = 1,
 ) -> DataFrame:
-    """Dense keys in lake order without sorting the data.
+    """Dense keys in lake order without sorting or shuffling the data.
 
     ``split_cols`` identify a file split (file, split start) and order the
     splits; ``row_col`` is ``monotonically_increasing_id`` taken at the
-    scan, contiguous inside a split. Only the per-split table (one row per
-    split) is ordered and summed; the data keeps its scan partitioning.
+    scan, contiguous inside a split, with the scan partition in its high bits.
+    One counting pass gives a row per split, whose start offset is joined back
+    by scan partition: four longs per split, broadcast after measuring it.
     Rows must not have been filtered out since the scan (gaps inside a
     split would leave gaps in the keys); use ``dense_index`` otherwise.
     """
@@ -74,10 +79,18 @@ def dense_index_in_scan_order(
         F.count(F.lit(1)).alias("_n"), F.min(row_col).alias("_base")
     )
     before = Window.orderBy(*split_cols).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        *split_cols, "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    offsets = materialize(
+        splits.select(
+            F.shiftright("_base", 33).alias(_PID),
+            "_base",
+            (F.col("_base") + F.col("_n")).alias("_end"),
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        ),
+        "split-offsets",
     )
-    keyed = df.join(offsets, list(split_cols), "inner")
-    return keyed.withColumn(
+    side = F.broadcast(offsets) if fits_broadcast(offsets, OFFSETS_BUDGET) else offsets
+    keyed = df.withColumn(_PID, F.shiftright(F.col(row_col), 33)).join(side, _PID, "inner")
+    here = (F.col(row_col) >= F.col("_base")) & (F.col(row_col) < F.col("_end"))
+    return keyed.where(here).withColumn(
         name, F.col("_offset") + (F.col(row_col) - F.col("_base")) + F.lit(start)
-    ).drop("_offset", "_base")
+    ).drop("_offset", "_base", "_end", _PID)

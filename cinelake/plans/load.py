@@ -11,18 +11,19 @@ Unlike the reference, the fact is never left truncated by a failed load:
 the new version is written completely before the table switches to it.
 Dimensions are upserted (last row per key wins, absent keys survive);
 the fact is fully refreshed with ratings numbered 1..N in lake order.
-Row counts are collected with ``Observation`` while the rows are written.
+Violations are counted with ``Observation`` while the rows are written; row
+counts come from the footers of the written version.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.operators import clean, integrity, keys, upsert
-from cinelake.plans import marts
+from cinelake.plans import sql
 from cinelake.schemas import (
     APP_MOVIES,
     APP_USERS,
@@ -32,6 +33,7 @@ from cinelake.schemas import (
     LAKE_RATINGS_COLUMNS,
     LAKE_USERS_COLUMNS,
 )
+from cinelake.session import staged_scope
 from cinelake.sources.lake import POS_FILE, POS_ROW, POS_SPLIT, read_lake_csv
 from cinelake.sources.warehouse import APP_TABLES, Warehouse
 
@@ -48,9 +50,10 @@ class LoadPolicy:
     orphan_users: str = "fail"
     blank_as_null: bool = False
     missing_as_text: str | None = None
+    numeric_keys: bool = False
 
 
-WAREHOUSE_POLICY = LoadPolicy()
+WAREHOUSE_POLICY = LoadPolicy(numeric_keys=True)
 APP_POLICY = LoadPolicy(
     movie_key="imdb_id",
     user_key="id",
@@ -78,12 +81,10 @@ def _upsert_dimension(wh: Warehouse, table: str, key: str, cleaned: DataFrame,
                       schema, report: LoadReport) -> None:
     batch = cleaned.withColumn("_pos", _position()).drop(POS_FILE, POS_SPLIT, POS_ROW)
     merged = upsert.upsert(wh.table(table), batch, key, "_pos")
-    obs = Observation(f"{table}_rows")
     # Declared constraints are counted while the new version is written; a
     # violation discards that version before the switch.
-    wh.replace(table, merged.observe(obs, F.count(F.lit(1)).alias("rows")),
-               checks=integrity.declared_checks(schema))
-    report.counts[table] = obs.get["rows"]
+    wh.replace(table, merged, checks=integrity.declared_checks(schema))
+    report.counts[table] = wh.table(table).count()  # answered from the footers
 
 
 def load_lake(
@@ -94,6 +95,13 @@ def load_lake(
     register_views: bool = True,
 ) -> LoadReport:
     """Run the whole load; returns the row count of every written table."""
+    with staged_scope(spark):
+        return _load(spark, lake_dir, wh, policy, register_views)
+
+
+def _load(
+    spark: SparkSession, lake_dir: str, wh: Warehouse, policy: LoadPolicy, register_views: bool
+) -> LoadReport:
     report = LoadReport()
     lake = lake_dir.rstrip("/")
     wh.create()
@@ -108,21 +116,20 @@ def load_lake(
     # -- users (upsert) ----------------------------------------------------------------
     raw_users = read_lake_csv(spark, f"{lake}/users.csv", LAKE_USERS_COLUMNS, with_position=True)
     users = clean.clean_users(raw_users, key=policy.user_key, blank_as_null=policy.blank_as_null,
-                              missing_as_text=policy.missing_as_text)
+                              missing_as_text=policy.missing_as_text, numeric_keys=policy.numeric_keys)
     user_schema = DIM_USER if policy.user_key == "user_id" else APP_USERS
     _upsert_dimension(wh, policy.users_table, policy.user_key, users, user_schema, report)
 
     # -- ratings (full refresh, numbered in lake order) ----------------------------------
     raw_ratings = read_lake_csv(spark, f"{lake}/ratings.csv", LAKE_RATINGS_COLUMNS, with_position=True)
-    ratings = clean.clean_ratings(raw_ratings)
-    dim_m = wh.table(policy.movies_table)
-    dim_u = wh.table(policy.users_table)
-    ratings = integrity.enforce_references(
-        ratings, dim_m, "movie_id", policy.orphan_movies, dim_key=policy.movie_key
-    )
-    ratings = integrity.enforce_references(
-        ratings, dim_u, "user_id", policy.orphan_users, dim_key=policy.user_key
-    )
+    ratings = clean.clean_ratings(raw_ratings, numeric_keys=policy.numeric_keys)
+    references = [
+        ("movie_id", wh.table(policy.movies_table), policy.movie_key, policy.orphan_movies),
+        ("user_id", wh.table(policy.users_table), policy.user_key, policy.orphan_users),
+    ]
+    for key, dim, dim_key, orphans in references:
+        if orphans == "drop":
+            ratings = integrity.keep_known(ratings, dim, key, dim_key)
     if "drop" in (policy.orphan_movies, policy.orphan_users):
         # Rows may have been removed after the scan: number the survivors
         # with the sort-based dense index over the lake position.
@@ -134,13 +141,18 @@ def load_lake(
         numbered = keys.dense_index_in_scan_order(
             ratings, [POS_FILE, POS_SPLIT], POS_ROW, name=policy.rating_key
         )
-    obs = Observation(f"{policy.ratings_table}_rows")
-    wh.replace(policy.ratings_table, numbered.observe(obs, F.count(F.lit(1)).alias("rows")))
-    report.counts[policy.ratings_table] = obs.get["rows"]
+    # Unknown keys and declared constraints are counted in the pass that writes.
+    checks = integrity.declared_checks(wh.tables[policy.ratings_table])
+    for key, dim, dim_key, orphans in references:
+        if orphans == "fail":
+            numbered, check = integrity.with_reference(numbered, dim, key, dim_key)
+            checks.append(check)
+    wh.replace(policy.ratings_table, numbered, checks=checks)
+    report.counts[policy.ratings_table] = wh.table(policy.ratings_table).count()
 
     # -- marts ----------------------------------------------------------------------
     if register_views and policy.movies_table == "dim_movie":
-        marts.register_mart_views(spark, wh.table("fact_rating"), wh.table("dim_movie"), wh.table("dim_user"))
+        sql.create_mart_views(spark, wh.database)
     return report
 
 

@@ -207,12 +207,9 @@ def _na_tokens(spark, sf):
 
 @register("violation_report")
 def _violation_report(spark, sf):
-    s = star(spark, sf)
-    return integrity.violation_report({
-        "dim_movie": (s.dim_movie, DIM_MOVIE),
-        "dim_user": (s.dim_user, DIM_USER),
-        "fact_rating": (s.fact_rating, FACT_RATING),
-    })
+    tables = fixtures.violating_tables(star(spark, sf))
+    schemas = {"dim_movie": DIM_MOVIE, "dim_user": DIM_USER, "fact_rating": FACT_RATING}
+    return integrity.violation_report({name: (df, schemas[name]) for name, df in tables.items()})
 
 
 @register("duplicate_keys")

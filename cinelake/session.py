@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -81,6 +83,28 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+# Staged folders made inside open scopes, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new, unique directory under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), "staged", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(checkpoint_dir(spark), "staged", f"{name}-{uuid.uuid4().hex}")
+    for scope in _SCOPES[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def staged_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediates staged inside the block when it ends.
+
+    For work that writes or prints its result inside the block: a DataFrame
+    that still reads a staged copy must not be used after it.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove_path(spark, path)

@@ -117,6 +117,41 @@ def deleted_users(star: Star) -> DataFrame:
     return star.dim_user.where(F.col("user_id") % 17 == 0).select("user_id")
 
 
+# -- violations of declared constraints -------------------------------------------
+
+def violating_tables(star: Star) -> dict[str, DataFrame]:
+    """The star's tables with each declared check violated by some rows."""
+    mk, uk, rk = F.col("movie_id").cast(T.LongType()), F.col("user_id"), F.col("rating_id")
+
+    def planted(col: str, missing: F.Column | None, long: F.Column | None, size: int = 300) -> F.Column:
+        out = F.col(col)
+        if long is not None:
+            out = F.when(long, F.lit("x" * size)).otherwise(out)
+        if missing is not None:
+            out = F.when(~F.coalesce(missing, F.lit(False)), out)
+        return out.alias(col)
+
+    return {
+        "dim_movie": star.dim_movie.select(
+            planted("movie_id", mk % 89 == 0, mk % 83 == 1),
+            planted("title", mk % 79 == 0, mk % 73 == 1),
+            planted("genre", None, mk % 71 == 0),
+            planted("country", None, mk % 67 == 0),
+        ),
+        "dim_user": star.dim_user.select(
+            planted("user_id", uk % 61 == 0, None),
+            planted("name", uk % 59 == 0, uk % 53 == 1),
+            planted("age_group", None, uk % 47 == 0),
+            planted("country", None, uk % 43 == 0),
+        ),
+        "fact_rating": star.fact_rating.select(
+            planted("rating_id", rk % 101 == 0, None),
+            planted("movie_id", rk % 103 == 0, rk % 107 == 1),
+            planted("user_id", rk % 109 == 0, None),
+        ),
+    }
+
+
 # -- upsert batches ----------------------------------------------------------------
 
 def upsert_movie_inputs(star: Star) -> tuple[DataFrame, DataFrame]:

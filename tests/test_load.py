@@ -44,7 +44,7 @@ def test_load_twice_gives_equal_tables(spark, lake, tmp_path):
     ids = [r.rating_id for r in fact.orderBy("rating_id").select("rating_id").collect()]
     assert ids == list(range(1, len(ids) + 1))
     assert first.counts["fact_rating"] == len(ids)
-    assert spark.table("mart_top10_by_genre").count() > 0
+    assert spark.table(f"{wh.database}.mart_top10_by_genre").count() > 0
 
 
 def test_upsert_updates_and_keeps(spark, lake, tmp_path):
@@ -142,7 +142,7 @@ def test_generated_lake_loads_end_to_end(spark, tmp_path):
     assert report.counts["fact_rating"] == n_users * min(5, n_movies)
     per_user = wh.table("fact_rating").groupBy("user_id").agg(F.countDistinct("movie_id").alias("m"))
     assert per_user.where(F.col("m") != min(5, n_movies)).isEmpty()
-    assert spark.table("mart_top10_by_genre").count() > 0
+    assert spark.table(f"{wh.database}.mart_top10_by_genre").count() > 0
 
 
 def test_vacuum_drops_old_versions(spark, tmp_path):

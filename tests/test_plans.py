@@ -2,11 +2,15 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
 import __spark_entry__ as entry
+from cinelake.operators import sampling
 from cinelake.plans import dashboards, marts
+from cinelake.registry import REGISTRY
+from cinelake.sources import fixtures
 from cinelake.sources.adapters import star
 from cinelake.sources.warehouse import Warehouse
 from tests.conftest import SF_SMALL
@@ -19,11 +23,12 @@ def _formatted(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(REGISTRY))
 def test_no_python_udf_in_any_plan(spark, key):
     text = _formatted(entry.queries()[key](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in text, f"{key} runs Python: {node}"
+    assert "REPARTITION" not in text, f"{key} spreads its scan"
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text, f"{key} pairs rows without a key: {node}"
 
@@ -50,10 +55,15 @@ def test_columns_are_pruned_at_the_scan(spark):
 def test_eager_aggregation_before_dimension_join(spark):
     s = star(spark, SF_SMALL)
     text = _formatted(marts.top_n_per_genre(s.fact_rating, s.dim_movie))
-    # the fact is aggregated (partial + final) before it meets dim_movie
-    first_agg = text.find("HashAggregate")
-    part_scan = text.find("part.parquet")
-    assert first_agg != -1 and part_scan != -1
+    # The tree lists children below their parents: under the join with the
+    # titles, the ratings' side is an aggregate with its partial form below.
+    tree = text[: text.index("\n\n\n")] if "\n\n\n" in text else text
+    lines = [line for line in tree.splitlines() if re.search(r"\(\d+\)", line)]
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    below = lines[join + 1 :]
+    aggregates = [i for i, line in enumerate(below) if "HashAggregate" in line]
+    fact_join = next(i for i, line in enumerate(below) if "Join" in line)
+    assert len(aggregates) >= 2 and aggregates[1] < fact_join
 
 
 def test_point_lookup_pushes_to_the_scan(spark, tmp_path):
@@ -87,3 +97,12 @@ def test_bucketed_dimension_and_skew_safe_fact(spark, tmp_path):
     assert "Bucketed: true" in text
     assert "partial_sum" in text
     assert rows > 0
+
+
+@pytest.mark.parametrize("targets", [3, 10])
+def test_quota_cascade_scans_candidates_once(spark, targets):
+    names = [f"Brand#{i}" for i in range(targets)]
+    rows = sampling.quota_select(fixtures.candidates(star(spark, SF_SMALL)), names, 5)
+    text = _formatted(rows)
+    # first occurrences and repeats are the two halves of the candidates
+    assert len(re.findall(r"\(\d+\) Scan parquet", text)) == 2

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cinelake import fixed_values
 from cinelake.operators import keys, sampling, upsert
 
 
