@@ -13,6 +13,7 @@ from cinelake.llm.bpe import encode_documents, with_digests
 from cinelake.llm.language_id import language_rows
 from cinelake.llm.licenses import scan
 from cinelake.llm.mixing import mix
+from cinelake.llm.oracle import SQL  # noqa: F401 - registered with the queries
 from cinelake.llm.rp_forest import nearest_neighbours
 from cinelake.llm.secret_scan import secret_rows
 from cinelake.llm.signature_tree import jaccard_components
@@ -92,5 +93,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
 }
-
-SQL: dict[str, str] = {}
