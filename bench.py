@@ -47,9 +47,9 @@ def main() -> None:
     }
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="cinelake-bench", extra=conf)
 
-    import __spark_entry__ as entry
+    from cinelake.registry import REGISTRY
 
-    queries = entry.queries()
+    queries = dict(REGISTRY)
     wanted = os.environ.get("BENCH_QUERIES")
     keys = [k for k in sorted(queries) if not wanted or k in wanted.split(",")]
 

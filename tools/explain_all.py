@@ -31,7 +31,7 @@ def main(argv=None) -> int:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--out", default="PLANS.md")
     args = ap.parse_args(argv)
-    import __spark_entry__ as entry
+    from cinelake.registry import REGISTRY
 
     spark = build_session("local[8]", 16)
     parts = [
@@ -41,7 +41,7 @@ def main(argv=None) -> int:
         "(before AQE re-planning; generated by `tools/explain_all.py`).",
         "",
     ]
-    for key, fn in sorted(entry.queries().items()):
+    for key, fn in sorted(REGISTRY.items()):
         parts += [f"## {key}", "", "```", tree(fn(spark, args.sf)), "```", ""]
     with open(args.out, "w", encoding="utf-8") as f:
         f.write("\n".join(parts))
