@@ -20,8 +20,10 @@ import hashlib
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,11 @@ from pyspark.sql import functions as F
 from cinelake.llm.staging import ship_package
 from cinelake.llm.text import slices, utf8
 
-#: Pieces a worker remembers, and the longest that it remembers.
-MEMO_PIECES, MEMO_LENGTH = 150_000, 64
+#: Pieces that a worker remembers in each of two generations, and the longest
+#: that it remembers.
+MEMO_PIECES, MEMO_LENGTH = 250_000, 64
+
+_FIRST, _SECOND = itemgetter(0), itemgetter(1)
 
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, decoded string"
 
@@ -53,14 +58,20 @@ def byte_alphabet() -> list[str]:
 
 
 class _Memo(dict):
+    """Values by piece, made on first use. When full, it becomes the older
+    generation, from which pieces still in use are taken over."""
+
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, piece: str):
-        value = self.make(piece)
+        value = self.older.get(piece)
+        if value is None:
+            value = self.make(piece)
         if len(piece) <= MEMO_LENGTH:
             if len(self) >= MEMO_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = value
         return value
@@ -80,6 +91,7 @@ class WordBpe:
         for rank, (a, b) in enumerate(model["merges"]):
             self.ranks.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
         self.bytes = byte_alphabet()
+        self.first = [self.vocab[c] for c in self.bytes]
         self.special = {}
         for t in spec["added_tokens"]:
             if t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]:
@@ -95,23 +107,23 @@ class WordBpe:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         # White space is a separator for the pattern, so collapsing it first changes no piece.
         self.pieces = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")).findall
-        self.ids_of, self.text_of = _Memo(self._packed), _Memo(self._spelled)
+        self.known = _Memo(self._encoded)
 
     def merge(self, piece: str) -> list[int]:
         """Ids of one piece."""
-        chars = [self.bytes[b] for b in piece.encode()]
-        chars[-1] += self.suffix
-        symbol = [self.vocab[c] for c in chars]
-        n = len(symbol)
+        raw = piece.encode()
+        symbol = [self.first[b] for b in raw]
+        symbol[-1] = self.vocab[self.bytes[raw[-1]] + self.suffix]
+        n, ranks, push, pop = len(symbol), self.ranks.get, heapq.heappush, heapq.heappop
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         heap = []
         for i in range(n - 1):
-            found = self.ranks.get((symbol[i], symbol[i + 1]))
+            found = ranks((symbol[i], symbol[i + 1]))
             if found:
                 heap.append((found[0], i, symbol[i], symbol[i + 1], found[1]))
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, made = heapq.heappop(heap)
+            _, i, a, b, made = pop(heap)
             j = after[i]
             if symbol[i] != a or j < 0 or symbol[j] != b:
                 continue  # stale: one side has merged meanwhile
@@ -119,21 +131,20 @@ class WordBpe:
             k = after[i] = after[j]
             if k >= 0:
                 before[k] = i
-                found = self.ranks.get((made, symbol[k]))
+                found = ranks((made, symbol[k]))
                 if found:
-                    heapq.heappush(heap, (found[0], i, made, symbol[k], found[1]))
+                    push(heap, (found[0], i, made, symbol[k], found[1]))
             h = before[i]
             if h >= 0:
-                found = self.ranks.get((symbol[h], made))
+                found = ranks((symbol[h], made))
                 if found:
-                    heapq.heappush(heap, (found[0], h, symbol[h], made, found[1]))
+                    push(heap, (found[0], h, symbol[h], made, found[1]))
         return [s for s in symbol if s >= 0]
 
-    def _packed(self, piece: str) -> bytes:
-        return np.array(self.merge(piece), np.int32).tobytes()
-
-    def _spelled(self, piece: str) -> str:
-        return " ".join(self.strings[i] for i in np.frombuffer(self.ids_of[piece], np.int32).tolist())
+    def _encoded(self, piece: str) -> tuple[bytes, str]:
+        """Ids of a piece as 32-bit integers, and their strings."""
+        ids = self.merge(piece)
+        return array("i", ids).tobytes(), self.decode(ids)
 
     def normalise(self, text: str) -> str:
         if self.nfc and not text.isascii():
@@ -147,12 +158,12 @@ class WordBpe:
         ids, words = [], []
         for part in self.cut.split(text) if self.cut else [text]:
             if part in self.special:
-                ids.append(np.int32(self.special[part]).tobytes())
+                ids.append(array("i", [self.special[part]]).tobytes())
                 words.append(part)
             elif part:
-                found = self.pieces(self.normalise(part))
-                ids.extend(map(self.ids_of.__getitem__, found))
-                words.extend(map(self.text_of.__getitem__, found))
+                found = list(map(self.known.__getitem__, self.pieces(self.normalise(part))))
+                ids.extend(map(_FIRST, found))
+                words.extend(map(_SECOND, found))
         return np.frombuffer(b"".join(ids), np.int32), " ".join(words)
 
     def decode(self, ids: list[int]) -> str:
