@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.staging import stage, unstage
+from cinelake.llm.staging import release, stage, unstage
 
 #: Code points of a block.
 BLOCK_CHARS = 4096
@@ -64,6 +64,7 @@ def name_documents(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame
         above = stage(_named(pairs.withColumn("b", F.coalesce("b", "a")), "a", "b"), "names")
         unstage(now)
         now, width = above, width * 2
+    release(now.sparkSession)
     out = stage(now.groupBy("doc_id").agg(F.min("name").alias("keep_id"), F.max("text_sha256").alias("text_sha256")), "identities")
     unstage(now)
     return out

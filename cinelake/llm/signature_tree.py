@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinelake.llm.graph import components
-from cinelake.llm.staging import ship_package, stage, unstage
+from cinelake.llm.staging import release, ship_package, stage, unstage
 from cinelake.llm.text import mix, set_digest, shingle_sets
 
 BLOCK = 256
@@ -78,7 +78,7 @@ def band_split(b: int, percent: int) -> tuple[int, int]:
     if apart:
         for _ in range(8):
             empty = segments * math.exp(-_band_start(b) / segments)
-            spare = math.ceil(empty + 6 * math.sqrt(empty)) if empty > 1e-9 else 0
+            spare = math.ceil(empty + 4 * math.sqrt(empty)) if empty > 1e-9 else 0
             spare = min(spare, apart + 2)
             segments = apart + 1 + spare
     return segments, spare
@@ -359,6 +359,8 @@ def _large_families(roots: DataFrame, members: DataFrame, docs: DataFrame, size:
     now = members.select("family", "rep", "members").join(first.select(F.col("node").alias("rep"), "root"), "rep", "left")
     now = stage(now.withColumn("root", F.coalesce("root", "rep")), "family_now")
 
+    release(docs.sparkSession)
+
     # What is still apart: all but each family's largest component, against all blocks.
     sizes = now.groupBy("family", "root").agg(F.count("*").alias("c"))
     top = sizes.groupBy("family").agg(F.max_by("root", F.struct("c", "root")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
@@ -394,26 +396,38 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = stage(docs.mapInArrow(_hash_sets(size, percent), SETS_SCHEMA), "sets")
-
-    # Families: components over chains of sets that share a key.
-    keyed = sets.select(F.explode("keys").alias("key"), F.col("d1").alias("v"))
-    chained = keyed.withColumn("u", F.lag("v").over(Window.partitionBy("key").orderBy("v"))).where("u <> v").select("u", "v")
-    families = components(chained)
+    spark = docs.sparkSession
+    hashed = stage(docs.mapInArrow(_hash_sets(size, percent), SETS_SCHEMA), "sets")
+
+    # Families: components over chains of sets that share a key. The keys are the
+    # largest intermediate; they go as soon as the chains are written.
+    keyed = hashed.select(F.explode("keys").alias("key"), F.col("d1").alias("v"))
+    chained = keyed.withColumn("u", F.lag("v").over(Window.partitionBy("key").orderBy("v"))).where("u <> v")
+    chains = stage(chained.select("u", "v").distinct(), "chains")
+    sets = stage(hashed.drop("keys"), "digests")
+    unstage(hashed)
+    del keyed, chained, hashed
+    release(spark)
+    families = components(chains)
+    unstage(chains)
 
     nodes = sets.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
     member = nodes.join(families, F.col("d1") == F.col("node")).select("rep", F.col("root").alias("family"))
     member = stage(member.join(member.groupBy("family").agg(F.count("*").alias("members")), "family"), "members")
 
+    release(spark)
+
     small = member.where(F.col("members") <= BLOCK).withColumn("block", F.lit(0).cast("long"))
     rows = small.unionByName(_blocked(member.where(F.col("members") > BLOCK)))
     roots = stage(_joined(_with_text(rows, docs).select("family", "block", "rep", "text"), size, percent), "block_roots")
+    release(spark)
 
     large = member.where(F.col("members") > BLOCK)
     found = roots.join(large.select("rep"), "rep", "left_anti").select("rep", "root")
     if not large.isEmpty():
         of_large = stage(roots.join(large.select("rep"), "rep", "left_semi"), "large_roots")
         found = found.unionByName(_large_families(of_large, large, docs, size, percent))
+    release(spark)
     per_set = nodes.join(found, "rep", "left").select("d1", "d2", "n", F.coalesce("root", "rep").alias("component_id"))
     of_docs = sets.select("doc_id", "n", "d1", "d2")
     return of_docs.join(per_set, ["d1", "d2", "n"], "left").select(

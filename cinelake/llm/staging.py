@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -30,6 +31,13 @@ def unstage(*frames: DataFrame) -> None:
         remove_path(df.sparkSession, df._staged_path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of steps whose results are staged: its
+    cleaner acts when the driver's garbage collector has found the plan unused."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
