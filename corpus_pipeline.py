@@ -43,9 +43,12 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose ``doc_id`` is in ``ids`` (``keep``)."""
-    key = F.col("doc.doc_id").cast("long")
-    return _packed(docs).join(ids.hint("merge"), key == F.col("keep"), "left_semi").select("doc.*")
+    """Documents whose ``doc_id`` is in ``ids`` (``keep``), dealt out by it."""
+    name = "keep"
+    while name in (c.lower() for c in docs.columns):
+        name += "_"
+    ids = ids.select(F.col("keep").cast(docs.schema["doc_id"].dataType).alias(name))
+    return docs.join(ids.hint("merge"), docs["doc_id"] == F.col(name), "left_semi")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +62,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = name_documents(docs)
     kept = names.where("doc_id = keep_id").select(F.col("keep_id").alias("keep"))
-    return _keep(docs, kept).dropDuplicates(["doc_id"])
+    return _keep(docs, kept).dropDuplicates(["doc_id"])  # in the join's partitions
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
