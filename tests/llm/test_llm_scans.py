@@ -99,3 +99,20 @@ def test_license_scan_of_a_table_agrees_with_its_lines(spark):
     for r in docs.select("doc_id", "text").collect():
         want = [f"{f}:{k}" for k, line in enumerate((r.text or "").split("\n")) for f, t in lines.items() if t in line.lower()]
         assert got[r.doc_id] == ",".join(want)
+
+
+def _licences(spark, texts):
+    prose = "the quick work of this and that is under review by the software people in any form"
+    rows = list(enumerate(texts)) + [(1000 + k, prose) for k in range(40)]
+    got = {r.doc_id: r.paragraphs for r in licenses.scan(documents(spark, rows)).collect()}
+    return [got[k] for k in range(len(texts))]
+
+
+def test_phrases_without_a_licence_name_are_no_licence(spark):
+    texts = ["The patch was released under the old scheme", "He was licensed under the state board", "Released under the Foo License", "SPDX-License-Identifier: Zlib",
+             "Licensed under the GNU Lesser General Public License, version 3", "Released under the ISC License"]
+    assert _licences(spark, texts) == ["", "", "", "", "LGPL:0", "ISC:0"]
+    for family, grams in licenses.fragments():
+        assert grams not in (["released under", "under the"], ["licensed under", "under the"]), family
+    assert licenses.least_probability([0.9, 0.7] + [0.0] * 998) > 0.7
+    assert licenses.least_probability([0.0] * 1000) == 0.5
