@@ -116,3 +116,10 @@ def test_phrases_without_a_licence_name_are_no_licence(spark):
         assert grams not in (["released under", "under the"], ["licensed under", "under the"]), family
     assert licenses.least_probability([0.9, 0.7] + [0.0] * 998) > 0.7
     assert licenses.least_probability([0.0] * 1000) == 0.5
+
+
+def test_every_licence_of_a_line_is_reported(spark):
+    texts = ["Licensed under the MIT License or the Apache License, Version 2.0", "Released under the MIT License. Portions licensed under CC BY-NC 4.0.",
+             "Licensed under the Apache License, Version 2.0 " + "some other words " * 500 + "This work is licensed under the GNU General Public License, version 3",
+             "Released under the MIT License\nReleased under the MIT License\nReleased under the MIT License"]
+    assert _licences(spark, texts) == ["Apache:0,MIT:0", "CC:0,MIT:0", "Apache:0,GPL:0", "MIT:0,MIT:1,MIT:2"]
