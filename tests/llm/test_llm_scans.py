@@ -123,3 +123,17 @@ def test_every_licence_of_a_line_is_reported(spark):
              "Licensed under the Apache License, Version 2.0 " + "some other words " * 500 + "This work is licensed under the GNU General Public License, version 3",
              "Released under the MIT License\nReleased under the MIT License\nReleased under the MIT License"]
     assert _licences(spark, texts) == ["Apache:0,MIT:0", "CC:0,MIT:0", "Apache:0,GPL:0", "MIT:0,MIT:1,MIT:2"]
+
+
+def test_wrapped_notices_are_found(spark):
+    def wrap(text, mark, width):
+        lines = [mark]
+        for word in text.split():
+            if lines[-1] != mark and len(lines[-1]) + len(word) > width:
+                lines.append(mark)
+            lines[-1] += " " + word
+        return "\n".join(lines)
+
+    cases = [(f, t) for f, texts in licenses.TEMPLATES.items() for t in texts]
+    texts = ["some prose here\n\n" + wrap(t, mark, 24) + "\n\nother prose" for _, t in cases for mark in ("", " *", "// ", "# ", "rem")]
+    assert _licences(spark, texts) == [f"{f}:2" for f, _ in cases for _ in range(5)]
