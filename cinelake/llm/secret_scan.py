@@ -1,15 +1,19 @@
 """Secret scans: fixed patterns, and a comparison of character Markov models.
 
-Patterns give the base spans. For every other run of token characters, the
+Patterns give the base spans. In what remains of runs of token characters, the
 log-likelihood ratio of two first-order character models, one of random strings
-and one of ordinary identifiers, decides. Both are trained on labelled samples:
-values of base spans (and generated strings of the usual alphabets, so that a
-corpus without secrets has a model too) against all other runs. Counts of
-transitions cover all documents; a task sends one row per pair of characters.
+and one of ordinary identifiers, decides: over the whole run, else over the
+parts of it with the greatest sums, so that a secret counts whatever it is
+attached to, and however short its run is. Both models are trained on labelled
+samples: values of base spans (and generated strings of the usual alphabets, so
+that a corpus without secrets has a model too) against distinct other runs. A
+first model, whose ordinary runs are those of plain words and numbers, tells
+which other runs are random; these are no samples of the ordinary. So sources
+full of digests or encoded data do not hide secrets. Samples cover all documents.
 
 Defined results: null and empty texts have no spans; texts are read whole;
-spans are in code points, ends exclusive, and a run that meets a base span adds
-none; empty tables give no rows; repeated rows repeat results; only ``doc_id``
+spans are in code points, ends exclusive, and none from the models meets a base
+span; empty tables give no rows; repeated rows repeat results; only ``doc_id``
 and ``text`` are read.
 """
 
@@ -18,7 +22,7 @@ from __future__ import annotations
 import random
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +39,14 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 8, 16, 32
-#: Shortest run that trains the model of identifiers, and that may be a secret.
-TRAIN_LEAST, RUN_LEAST = 8, 20
+#: Shortest run that trains the model of identifiers, and that is scored.
+TRAIN_LEAST = 8
 #: Least log-likelihood ratio of a secret, in nats: of the run, of a character.
 TOTAL_LEAST, MEAN_LEAST = 20.0, 0.9
+#: What a character costs where parts of a run are sought, tried in turn.
+COSTS = (0.0, 0.3, 0.6, MEAN_LEAST)
+#: Runs of plain words and numbers.
+PLAIN = re.compile(rb"(?:(?:[a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+)(?:[+/_.=-]+|$))+")
 GENERATED, SMOOTHING, SEED = 1500, 0.5, 11
 
 ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
@@ -50,10 +58,10 @@ HEX = np.zeros(256, bool)
 HEX[np.frombuffer(b"0123456789abcdef", np.uint8)] = True
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(row, start, end) in bytes of the row, for runs of bytes in ``inside``."""
+def runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end in ``data`` of runs of bytes in ``inside``."""
     if not len(data):
-        return []
+        return (np.zeros(0, np.int64),) * 3
     member = inside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[1:-1] = member[1:] != member[:-1]
@@ -64,9 +72,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, least: int)
     starts, ends = cuts[:-1], cuts[1:]
     keep = member[starts] & (ends - starts >= least)
     starts, ends = starts[keep], ends[keep]
-    row = np.searchsorted(offsets, starts, side="right") - 1
-    first = offsets[row]
-    return list(zip(row.tolist(), (starts - first).tolist(), (ends - first).tolist(), strict=True))
+    return np.searchsorted(offsets, starts, side="right") - 1, starts, ends
 
 
 def base_spans(text: str, low: str) -> list[tuple[str, int, int, int]]:
@@ -79,41 +85,37 @@ def base_spans(text: str, low: str) -> list[tuple[str, int, int, int]]:
     return out
 
 
-def scan(column: pa.Array) -> Iterator[tuple[int, list[tuple[str, int, int, int]], list[tuple[int, int]], str]]:
-    """For rows with any: (row, base spans with where their value starts, other
-    runs of RUN_LEAST or more, text); positions in code points."""
+def scan(column: pa.Array) -> Iterator[tuple[int, dict, np.ndarray, np.ndarray]]:
+    """For parts of a column: first row; by row with base spans, the spans with
+    where their value starts (in code points) and the text; bytes, with spaces for
+    base spans; offsets of the rows in them."""
     data, offsets = utf8(column)
     for a, b in slices(offsets):
-        part, off = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+        part, off = data[offsets[a] : offsets[b]].copy(), offsets[a : b + 1] - offsets[a]
         hexes: dict[int, list] = {}
-        tokens: dict[int, list] = {}
-        for row, s, e in runs(part, off, HEX, HEX_LEAST):
+        for row, s, e in zip(*(x.tolist() for x in runs(part, off, HEX, HEX_LEAST)), strict=True):
             hexes.setdefault(row, []).append((s, e))
-        for row, s, e in runs(part, off, TOKEN, RUN_LEAST):
-            tokens.setdefault(row, []).append((s, e))
+        base = {}
         for row, text in enumerate(column.slice(a, b - a).to_pylist()):
             if not text:
                 continue
             found = base_spans(text, text.lower())
-            if not found and row not in hexes and row not in tokens:
-                continue
-            raw = part[off[row] : off[row + 1]]
-            ascii_ = len(raw) == len(text)
-
-            def place(s: int, raw=raw, ascii_=ascii_) -> int:
-                return s if ascii_ else int(np.count_nonzero((raw[:s] & 0xC0) != 0x80))
-
             for s, e in hexes.get(row, ()):
-                at = place(s)
+                at = place(part, off, row, s)
                 found.append(("hex", at, at + e - s, at))
-            others = []
-            for s, e in tokens.get(row, ()):
-                at = place(s)
-                if not any(f[1] < at + e - s and at < f[2] for f in found):
-                    others.append((at, at + e - s))
-            if found or others:
+            if found:
                 found.sort(key=lambda f: (f[1], KINDS.index(f[0])))
-                yield a + row, found, others, text
+                base[row] = found, text
+        for row, (found, text) in base.items():
+            for f in found:
+                s = off[row] + len(text[: f[1]].encode())
+                part[s : s + len(text[f[1] : f[2]].encode())] = 0x20
+        yield a, base, part, off
+
+
+def place(part: np.ndarray, off: np.ndarray, row: int, at: int) -> int:
+    """Code point of a row at a byte."""
+    return int(np.count_nonzero((part[off[row] : at] & 0xC0) != 0x80))
 
 
 def transitions(values: list[str]) -> np.ndarray:
@@ -131,45 +133,120 @@ def generated() -> list[str]:
     return ["".join(draw.choice(kinds[k % len(kinds)]) for _ in range(draw.randint(20, 64))) for k in range(GENERATED)]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Transitions of a task: label 1 random, 0 ordinary."""
+def run_ratios(part: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ratios of the characters of all runs, one after the other; where runs begin."""
+    length = ends - starts
+    first = np.cumsum(length) - length
+    code = CODE[part[np.repeat(starts - first, length) + np.arange(length.sum())]]
+    before = np.empty_like(code)
+    before[1:] = code[:-1]
+    before[first] = START
+    return model[before, code], first
+
+
+def secret_parts(ratios: np.ndarray) -> list[tuple[int, int, float]]:
+    """(start, end, ratio) of the parts of a run that pass for secrets, from the
+    ratios of its characters: the whole run, else parts with greatest sums."""
+    out, todo = [], [(0, len(ratios))]
+    while todo:
+        a, b = todo.pop()
+        r = ratios[a:b]
+        if r[r > 0].sum() < TOTAL_LEAST:
+            continue
+        tried = [(0, b - a)]
+        for cost in COSTS:
+            sums = np.concatenate([[0.0], np.cumsum(r - cost)])
+            end = int(np.argmax(sums - np.minimum.accumulate(sums)))
+            tried.append((int(np.argmin(sums[: end + 1])), end))
+        for s, e in tried:
+            total = float(r[s:e].sum())
+            if total >= TOTAL_LEAST and total >= MEAN_LEAST * (e - s):
+                out.append((a + s, a + e, total))
+                todo += [(a, a + s), (a + e, b)]
+                break
+    return sorted(out)
+
+
+def _count_plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Transitions of a task: label 1 values of base spans, 0 plain runs."""
     total = [np.zeros((START + 1) * START, np.int64) for _ in range(2)]
     for batch in batches:
-        column = batch.column("text")
-        data, offsets = utf8(column)
-        for a, b in slices(offsets):
-            part, off = data[offsets[a] : offsets[b]].copy(), offsets[a : b + 1] - offsets[a]
-            for row, found, _, text in scan(column.slice(a, b - a)):
+        for _, base, part, off in scan(batch.column("text")):
+            for found, text in base.values():
                 total[1] += transitions([text[f[3] : f[2]] for f in found])
-                for f in found:
-                    s = len(text[: f[1]].encode())
-                    part[off[row] + s : off[row] + s + len(text[f[1] : f[2]].encode())] = 0x20
-            at = runs(part, off, TOKEN, TRAIN_LEAST)
-            if at:
-                starts = np.array([off[r] + s for r, s, _ in at])
-                length = np.array([e - s for _, s, e in at])
-                index = np.repeat(starts - (np.cumsum(length) - length), length) + np.arange(length.sum())
-                code = CODE[part[index]]
-                before = np.empty_like(code)
-                before[1:] = code[:-1]
-                before[np.cumsum(length) - length] = START
-                total[0] += np.bincount(before * START + code, minlength=len(total[0]))
+            _, starts, ends = runs(part, off, TOKEN, TRAIN_LEAST)
+            raw = part.tobytes()
+            plain = {v for v in {raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)} if PLAIN.fullmatch(v)}
+            total[0] += _of_values(plain)
+    yield from _rows_of(total)
+
+
+def _of_values(values: Iterable[bytes]) -> np.ndarray:
+    """Transitions of many values at once."""
+    values = list(values)
+    if not values:
+        return np.zeros((START + 1) * START, np.int64)
+    code = CODE[np.frombuffer(b"".join(values), np.uint8)]
+    length = np.array([len(v) for v in values])
+    before = np.empty_like(code)
+    before[1:] = code[:-1]
+    before[np.cumsum(length) - length] = START
+    return np.bincount(before * START + code, minlength=(START + 1) * START)
+
+
+def _rows_of(total: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     for label, counts in enumerate(total):
         pair = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), label), pa.int64()), pa.array(pair, pa.int64()), pa.array(counts[pair], pa.int64())], ["label", "pair", "c"])
 
 
+def _ordinary(first: np.ndarray):
+    """Runs of a part that the first model does not call random, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, part, off in scan(batch.column("text")):
+                _, starts, ends = runs(part, off, TOKEN, TRAIN_LEAST)
+                if not len(starts):
+                    continue
+                ratios, at = run_ratios(part, starts, ends, first)
+                keep = np.add.reduceat(ratios, at) < MEAN_LEAST * (ends - starts)
+                for k in np.flatnonzero(keep & (np.add.reduceat(np.maximum(ratios, 0), at) >= TOTAL_LEAST)).tolist():
+                    keep[k] = not secret_parts(ratios[at[k] : at[k] + ends[k] - starts[k]])
+                raw = part.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array(sorted({raw[s:e] for s, e in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)}), pa.binary())], ["run"])
+
+    return run
+
+
+def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros((START + 1) * START, np.int64)
+    for batch in batches:
+        total += _of_values(batch.column("run").to_pylist())
+    yield from _rows_of([total])
+
+
 def train(docs: DataFrame) -> np.ndarray:
     """Log-likelihood ratio of every transition (random over ordinary)."""
     ship_package(docs.sparkSession)
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    counts = np.full((2, START + 1, START), SMOOTHING)
+
+    def summed(rows: DataFrame) -> np.ndarray:
+        out = np.zeros((2, START + 1, START))
+        for r in rows.groupBy("label", "pair").agg(F.sum("c").alias("c")).collect():  # at most two rows per pair of characters
+            out[r.label, r.pair // START, r.pair % START] = r.c
+        return out
+
+    def ratios(counts: np.ndarray) -> np.ndarray:
+        logs = np.log((counts + SMOOTHING) / (counts + SMOOTHING).sum(axis=2, keepdims=True))
+        return logs[1] - logs[0]
+
+    schema = "label long, pair long, c long"
+    counts = summed(texts.mapInArrow(_count_plain, schema))
     counts[1] += transitions(generated()).reshape(START + 1, START)
-    summed = texts.mapInArrow(_count, "label long, pair long, c long").groupBy("label", "pair").agg(F.sum("c").alias("c"))
-    for r in summed.collect():  # at most two rows per pair of characters
-        counts[r.label, r.pair // START, r.pair % START] += r.c
-    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
-    return logs[1] - logs[0]
+    ordinary = texts.mapInArrow(_ordinary(ratios(counts)), "run binary").distinct()
+    counts[0] = summed(ordinary.mapInArrow(_count_runs, schema))[0]
+    return ratios(counts)
 
 
 def ratio(value: str, model: np.ndarray) -> float:
@@ -187,12 +264,18 @@ def find_secrets(docs: DataFrame, model: np.ndarray) -> DataFrame:
         item = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("ratio", pa.float64())])
         for batch in batches:
             spans: list[list] = [[] for _ in range(batch.num_rows)]
-            for row, found, others, text in scan(batch.column("text")):
-                every = [(k, s, e, ratio(text[v:e], model)) for k, s, e, v in found]
-                for s, e in others:
-                    score = ratio(text[s:e], model)
-                    if score >= TOTAL_LEAST and score >= MEAN_LEAST * (e - s):
-                        every.append(("markov", s, e, score))
+            for a, base, part, off in scan(batch.column("text")):
+                for row, (found, text) in base.items():
+                    spans[a + row] += [(k, s, e, ratio(text[v:e], model)) for k, s, e, v in found]
+                rows, starts, ends = runs(part, off, TOKEN, TRAIN_LEAST)
+                if len(rows):
+                    ratios, at = run_ratios(part, starts, ends, model)
+                    for k in np.flatnonzero(np.add.reduceat(np.maximum(ratios, 0), at) >= TOTAL_LEAST).tolist():
+                        parts = secret_parts(ratios[at[k] : at[k] + ends[k] - starts[k]])
+                        if parts:
+                            first = place(part, off, rows[k], starts[k])
+                            spans[a + rows[k]] += [("markov", first + s, first + e, score) for s, e, score in parts]
+            for row, every in enumerate(spans):
                 every.sort(key=lambda f: (f[1], KINDS.index(f[0])))
                 spans[row] = [dict(zip(("kind", "start", "end", "ratio"), f, strict=True)) for f in every]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, pa.list_(item))], ["doc_id", "spans"])

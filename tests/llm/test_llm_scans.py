@@ -5,7 +5,7 @@ import random
 import re
 
 from cinelake.llm import licenses, secret_scan, url_filter
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm.helpers import documents
 
 KINDS = secret_scan.KINDS
@@ -47,6 +47,23 @@ def test_models_tell_random_strings_from_identifiers(spark):
     assert secret_scan.secret_rows(empty).count() == 0
 
 
+def _markov(spark, docs, texts):
+    found = secret_scan.find_secrets(documents(spark, list(enumerate(texts))), secret_scan.train(docs)).collect()
+    spans = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "markov"] for r in found}
+    return [spans[k] for k in range(len(texts))]
+
+
+def test_short_attached_and_adjacent_secrets_are_found(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    short, long = "q7Zk2XvB9rTf4LwN", "q7Zk2XvB9rTf4LwNs8HdJ3mC"
+    host = "www.example.com/the/other/station/of/another/mention/and/the/station/of/nation/"
+    got = _markov(spark, docs, [f"é {short} here", f"see {host}{long} here", f"{long}/password=abcdefgh1", "see " + host + " here"])
+    assert got[0] == [short]
+    assert len(got[1]) == 1 and long[1:-1] in got[1][0] and len(got[1][0]) <= len(long) + 2
+    assert len(got[2]) == 1 and long[1:-1] in got[2][0]
+    assert got[3] == []
+
+
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
