@@ -64,6 +64,16 @@ def test_short_attached_and_adjacent_secrets_are_found(spark):
     assert got[3] == []
 
 
+def test_encoded_data_in_a_source_hides_no_secrets(spark):
+    rng = random.Random(8)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    blobs = [(10_000 + k, "\n".join("".join(rng.choice(letters) for _ in range(76)) for _ in range(20))) for k in range(docs.count() // 2)]
+    mixed = docs.unionByName(spark.createDataFrame(blobs, "doc_id long, text string"))
+    secret = "q7Zk2XvB9rTf4LwNs8HdJ3mC"
+    assert _markov(spark, mixed, [f"see {secret} here", "see 44184525248425814418123 here"]) == [[secret], []]
+
+
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
