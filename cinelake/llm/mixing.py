@@ -15,8 +15,9 @@ tasks. Only one row per source passes through the driver.
 
 Defined results: null text has 0 words and takes 0; the null source is a source
 of its own, last in order; documents without words and sources without words
-take 0; an empty table gives no rows; ``doc_id`` is unique; re-runs agree, as
-nothing depends on partitioning; other columns are not read.
+take 0; an empty table gives no rows; every row is a document of its own, also
+where its ``doc_id`` is null or repeated; re-runs agree, as nothing depends on
+partitioning; other columns are not read.
 """
 
 from __future__ import annotations
@@ -122,13 +123,14 @@ def mix(docs: DataFrame, weights: tuple[float, ...], share: float, most: float,
     placed = placed.withColumn("part", F.expr(f"(shiftright(turn, 32) + 2147483648) * {ranges} div 4294967296"))
     totals = placed.groupBy("k", "part").agg(F.sum("size").alias("total"))
     starts = totals.withColumn("base", F.sum("total").over(Window.partitionBy("k").orderBy("part")) - F.col("total"))
-    within = Window.partitionBy("k", "part").orderBy("turn", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("k", "part").orderBy("turn", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = placed.withColumn("run", F.sum("size").over(within)).join(starts.select("k", "part", "base"), ["k", "part"])
     placed = placed.withColumn("start", F.col("base") + F.col("run") - F.col("size"))
 
     # A document's parts by block, joined with how often, and how far, the block is taken.
+    # Its place, (k, start), tells it from all others with words.
     parts = placed.where("size > 0").select(
-        "doc_id", "k", "start", "size",
+        "k", "start", "size",
         F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))).alias("block"),
     )
     taken_blocks = (
@@ -145,12 +147,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...], share: float, most: float,
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
     cut = F.least(high, F.coalesce("upto", F.lit(0).cast("long")))
     first = F.col("start") >= F.col("block") * block_words
-    got = parts.join(taken_blocks, ["k", "block"]).groupBy("doc_id").agg(
+    got = parts.join(taken_blocks, ["k", "block"]).groupBy("k", "start", "size").agg(
         F.sum(F.col("whole") * (high - low) + F.greatest(F.lit(0).cast("long"), cut - low)).alias("taken"),
         F.sum(F.when(first, F.col("whole") + (cut > F.col("start")).cast("long")).otherwise(0)).alias("copies"),
     )
     zero = F.lit(0).cast("long")
-    out = placed.select("doc_id", "source", "size", "source_size", "target").join(got, "doc_id", "left")
+    out = placed.select("doc_id", "source", "source_size", "target", "k", "start", "size").join(got, ["k", "start", "size"], "left")
+    out = out.select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
     out = stage(out.withColumns({"taken": F.coalesce("taken", zero), "copies": F.coalesce("copies", zero)}), "mix")
     unstage(sized)
     return out

@@ -61,3 +61,15 @@ def test_nothing_to_mix(spark):
     assert mixing.mix(none, (3, 1, 2), 1.5, 2.0).count() == 0
     blank = spark.createDataFrame([(1, None, None, 0, ""), (2, " ", "a", 0, "")], SCHEMA)
     assert sorted((r.doc_id, r.size, r.target, r.taken) for r in mixing.mix(blank, (3, 1, 2), 1.5, 2.0).collect()) == [(1, 0, 0.0, 0), (2, 0, 0.0, 0)]
+
+
+def test_rows_with_null_and_repeated_ids_are_documents(spark):
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 3 == 0 else i % 20, "w " * int(rng.integers(0, 40)), "ab"[i % 2], 1, "x") for i in range(120)]
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA), (3, 1), 1.5, 2.0, block_words=16).collect()
+    key = lambda i, source, size: (i is None, i or 0, source, size)
+    assert sorted(key(r.doc_id, r.source, r.size) for r in got) == sorted(key(i, s, len(t.split())) for i, t, s, _, _ in rows)
+    assert all(0 <= r.taken <= 2 * r.size and r.copies <= 2 for r in got)
+    for source in "ab":
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 0.5
