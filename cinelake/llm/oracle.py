@@ -48,4 +48,30 @@ judged AS (
   FROM parts)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged""",
+    "op13_ranked_search": r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text,
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+docs AS (SELECT r, doc_id, w, len(w)::BIGINT AS n FROM words WHERE len(w) > 0),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text,
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+postings AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM docs)
+  WHERE term IN (SELECT term FROM items) GROUP BY r, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM postings GROUP BY term), corpus),
+impacts AS (
+  SELECT p.r, p.term, weights.w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_terms)))) AS impact
+  FROM postings p JOIN docs USING (r) JOIN weights ON weights.term = p.term, corpus),
+scores AS (
+  SELECT item_id, r, sum(impact)::BIGINT AS score FROM items JOIN impacts USING (term) GROUP BY item_id, r),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM scores JOIN docs USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
 }

@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cinelake.llm.block_naming import exact_groups
 from cinelake.llm.bpe import encode_documents, with_digests
+from cinelake.llm.byte_cnn import quality_rows
+from cinelake.llm.interval_search import search_documents
 from cinelake.llm.language_id import language_rows
 from cinelake.llm.licenses import scan
 from cinelake.llm.mixing import mix
 from cinelake.llm.oracle import SQL  # noqa: F401 - registered with the queries
+from cinelake.llm.recompression import find_runs, plant_repeats, run_rows
 from cinelake.llm.rp_forest import nearest_neighbours
 from cinelake.llm.secret_scan import secret_rows
 from cinelake.llm.signature_tree import jaccard_components
@@ -81,6 +84,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, repetitions planted in a tenth."""
+    return run_rows(find_runs(plant_repeats(table(spark, sf_dir, "documents")), least=6, repeats=4))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty best documents for every benchmark item."""
+    return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_source_mixing": op2_source_mixing,
@@ -92,4 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_ranked_search": op13_ranked_search,
 }

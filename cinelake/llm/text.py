@@ -87,6 +87,18 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return at, np.flatnonzero(ends) + 1, np.searchsorted(at, offsets)
 
 
+def word_array(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of a slice of texts as one binary array, and each text's count."""
+    starts, ends, first = word_bounds(data, offsets)
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts] += 1
+    edge[ends] -= 1
+    inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    buffers = [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data[inside]))]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers), np.diff(first)
+
+
 def word_counts(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     data, offsets = utf8(column)
     out = np.zeros(len(offsets) - 1, np.int64)
