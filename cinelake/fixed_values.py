@@ -21,14 +21,12 @@ PLACEHOLDER = "–"
 # Separator of the genre list kept in one string ("Action, Drama").
 GENRE_SEPARATOR = ","
 
-# Date format of the lake's rating dates.
-LAKE_DATE_FORMAT = "yyyy-MM-dd"
-
 # Lake generator: target genres in priority order, search terms in order,
 # titles accepted per genre, pages read per term.
 TARGET_GENRES = ["Action", "Sci-Fi", "Comedy"]
 SEARCH_TERMS = ["Life", "World", "Star", "Man"]
 QUOTA_PER_GENRE = 15
+SEARCH_PAGES = 5
 
 # Lake generator: synthetic users and ratings.
 USER_COUNT = 20

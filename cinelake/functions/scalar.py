@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinelake.fixed_values import GENRE_SEPARATOR, LAKE_DATE_FORMAT, NA_TOKENS, PLACEHOLDER  # noqa: F401
+from cinelake.fixed_values import GENRE_SEPARATOR, NA_TOKENS, PLACEHOLDER  # noqa: F401
 from cinelake.schemas import IMDB_RATING_TYPE, SCORE_TYPE
 
 
@@ -98,12 +98,14 @@ def blank_to_null(col: str | Column) -> Column:
 # Plain decimal notation, white space around it allowed. The engine's own cast
 # also accepts type suffixes (``7.5d``) and hexadecimal floats (``0x1p3``).
 _DECIMAL_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 _INFINITE_TEXT = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
 def parsed_number(col: str | Column) -> Column:
     """Text → double: NULL unless it is plain decimal notation."""
     c = _c(col)
+    # The shape is tested first: a cast of anything else costs an exception.
     return F.when(c.rlike(_DECIMAL_TEXT), F.trim(c).try_cast(T.DoubleType()))
 
 
@@ -117,10 +119,12 @@ def to_decimal_strict(col: str | Column, dtype: T.DecimalType) -> Column:
 
     Going through double first keeps ``'7.85'`` → ``7.9`` (half away from
     zero) and lets an overflow surface as an error instead of a silent NULL.
+    A value in plain notation is matched once.
     """
     c = _c(col)
+    value = F.trim(c).try_cast(T.DoubleType()).cast(dtype)
     refused = F.raise_error(F.concat(F.lit("not a finite number: "), c)).cast(dtype)
-    return F.when(c.rlike(_INFINITE_TEXT), refused).otherwise(parsed_number(c).cast(dtype))
+    return F.when(c.rlike(_DECIMAL_TEXT), value).when(c.rlike(_INFINITE_TEXT), refused)
 
 
 def to_score(col: str | Column) -> Column:
@@ -132,8 +136,14 @@ def to_imdb_rating(col: str | Column) -> Column:
 
 
 def to_lake_date(col: str | Column) -> Column:
-    """ISO date; malformed or impossible dates become NULL."""
-    return F.try_to_date(_c(col), LAKE_DATE_FORMAT)
+    """ISO date; malformed or impossible dates become NULL.
+
+    Only text of the right shape is cast: a parse by pattern would throw and
+    catch an exception for every malformed value, and the cast alone also takes
+    dates without a day or with a time.
+    """
+    c = _c(col)
+    return F.when(c.rlike(_DATE_TEXT), c.try_cast(T.DateType()))
 
 
 def strict_int(col: str | Column, what: str, numeric: bool = False) -> Column:
@@ -152,6 +162,43 @@ def strict_int(col: str | Column, what: str, numeric: bool = False) -> Column:
     return F.when(c.isNull(), missing).when(value == F.floor(value), value.cast(T.IntegerType())).otherwise(refused)
 
 
+_WHOLE_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+MISSING, NOT_WHOLE, NOT_FINITE, OUT_OF_RANGE = "missing", "not a whole number", "not a finite number", "out of range"
+
+
+def parsed_key(col: str | Column, numeric: bool = False) -> Column:
+    """``strict_int`` without raising: a struct of the ``value`` and, where there
+    is none, the ``reason``."""
+    c = _c(col)
+    number = parsed_number(c)
+    whole = (number == F.floor(number)) if numeric else c.rlike(_WHOLE_TEXT)
+    value = number.try_cast(T.IntegerType()) if numeric else c.try_cast(T.IntegerType())
+    value = F.when(whole, value)
+    reason = (
+        F.when(c.isNull(), F.lit(MISSING))
+        .when(~F.coalesce(whole, F.lit(False)), F.lit(NOT_WHOLE))
+        .when(value.isNull(), F.lit(OUT_OF_RANGE))
+    )
+    return F.struct(value.alias("value"), reason.alias("reason"))
+
+
+def parsed_decimal(col: str | Column, dtype: T.DataType) -> Column:
+    """``to_decimal_strict`` (or, for an integer type, ``to_int_truncating``)
+    without raising: unparseable text has neither a value nor a reason."""
+    c = _c(col)
+    number = parsed_number(c)
+    value = number.try_cast(dtype)
+    refused = ~F.lit(isinstance(dtype, T.IntegerType)) & F.coalesce(c.rlike(_INFINITE_TEXT), F.lit(False))
+    reason = F.when(refused, F.lit(NOT_FINITE)).when(number.isNotNull() & value.isNull(), F.lit(OUT_OF_RANGE))
+    return F.struct(value.alias("value"), reason.alias("reason"))
+
+
+def parsed_text(col: str | Column, value: Column | None = None) -> Column:
+    """Text that must be there."""
+    c = _c(col)
+    return F.struct((c if value is None else value).alias("value"), F.when(c.isNull(), F.lit(MISSING)).alias("reason"))
+
+
 # ---------------------------------------------------------------------------
 # Display
 # ---------------------------------------------------------------------------

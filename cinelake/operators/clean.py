@@ -10,6 +10,9 @@ Rules, decided once:
 * a missing genre/country/age group is stored as NULL (optionally as the
   text ``'NaN'``, which is what a float NaN became in the reference's
   database).
+
+``clean_*`` fail a load for what they refuse; ``parse_*`` list it per row and
+column instead, and ``split_rejects`` parts the rows in one pass.
 """
 
 from __future__ import annotations
@@ -20,6 +23,9 @@ from pyspark.sql import types as T
 
 from cinelake.functions.scalar import (
     blank_to_null,
+    parsed_decimal,
+    parsed_key,
+    parsed_text,
     strict_int,
     to_imdb_rating,
     to_int_truncating,
@@ -27,6 +33,8 @@ from cinelake.functions.scalar import (
     to_score,
     unicode_strip,
 )
+from cinelake.schemas import IMDB_RATING_TYPE, SCORE_TYPE
+from cinelake.session import staging_path
 
 
 def _missing(col: str, missing_as_text: str | None, blank_as_null: bool) -> Column:
@@ -89,11 +97,83 @@ def clean_ratings(raw: DataFrame, numeric_keys: bool = False) -> DataFrame:
     )
 
 
-def split_rejects(raw: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Alternative to failing: rows whose integer ``key`` is missing or not
-    an integer go to a reject frame, the rest are kept (one pass each)."""
-    ok = F.col(key).try_cast(T.IntegerType()).isNotNull()
-    return raw.where(ok), raw.where(~ok)
+# What a row cannot be loaded for: one entry per column that has no value.
+REJECTS = "_rejects"
+_REJECTED = "_rejected"
+
+
+def _parsed(raw: DataFrame, parsed: dict[str, tuple[str, Column]], plain: dict[str, Column]) -> DataFrame:
+    """Rows with parsed columns (name → lake column and parse result), plain ones
+    and the list of what is wrong with them; other columns are left out, except the
+    position."""
+    extra = [c for c in raw.columns if c.startswith("_pos_")]
+    held = raw.select(
+        *[c.alias(name) for name, c in plain.items()],
+        *[result.alias(f"_parsed_{name}") for name, (_, result) in parsed.items()],
+        *[F.col(lake).alias(f"_raw_{name}") for name, (lake, _) in parsed.items()],
+        *extra,
+    )
+    wrong = [
+        F.struct(F.lit(lake).alias("column_name"), F.col(f"_parsed_{name}.reason").alias("reason"), F.col(f"_raw_{name}").alias("raw_value"))
+        for name, (lake, _) in parsed.items()
+    ]
+    return held.select(
+        *plain,
+        *[F.col(f"_parsed_{name}.value").alias(name) for name in parsed],
+        *extra,
+        F.filter(F.array(*wrong), lambda r: r["reason"].isNotNull()).alias(REJECTS),
+    )
+
+
+def parse_movies(raw: DataFrame, key: str = "movie_id", blank_as_null: bool = False, missing_as_text: str | None = None) -> DataFrame:
+    """``clean_movies`` that lists what is wrong with a row instead of failing."""
+    must = {
+        key: ("imdbID", parsed_text("imdbID")),
+        "title": ("title", parsed_text("title", unicode_strip("title"))),
+        "year": ("year", parsed_decimal("year", T.IntegerType())),
+        "imdb_rating": ("imdbRating", parsed_decimal("imdbRating", IMDB_RATING_TYPE)),
+    }
+    plain = {c: _missing(c, missing_as_text, blank_as_null) for c in ("genre", "country")}
+    return _parsed(raw, must, {"lake_id": F.col("imdbID"), **plain})
+
+
+def parse_users(
+    raw: DataFrame, key: str = "user_id", blank_as_null: bool = False, missing_as_text: str | None = None, numeric_keys: bool = False
+) -> DataFrame:
+    """``clean_users`` that lists what is wrong with a row instead of failing."""
+    must = {key: ("id", parsed_key("id", numeric_keys)), "name": ("name", parsed_text("name", unicode_strip("name")))}
+    plain = {c: _missing(c, missing_as_text, blank_as_null) for c in ("age_group", "country")}
+    return _parsed(raw, must, {"lake_id": F.col("id"), **plain})
+
+
+def parse_ratings(raw: DataFrame, numeric_keys: bool = False) -> DataFrame:
+    """``clean_ratings`` that lists what is wrong with a row instead of failing."""
+    must = {
+        "movie_id": ("movie_id", parsed_text("movie_id")),
+        "user_id": ("user_id", parsed_key("user_id", numeric_keys)),
+        "score": ("score", parsed_decimal("score", SCORE_TYPE)),
+    }
+    return _parsed(raw, must, {"lake_id": F.col("id"), "rated_at": to_lake_date("rated_at")})
+
+
+def rejected_columns(parsed: DataFrame) -> DataFrame:
+    """One row per column that a row of ``parsed`` is rejected for."""
+    extra = [c for c in parsed.columns if c.startswith("_pos_")]
+    return parsed.select("lake_id", *extra, F.explode(REJECTS).alias("_r")).select("lake_id", *extra, "_r.*")
+
+
+def split_rejects(parsed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows (typed) and rejected ones (typed, with the list of reasons).
+
+    One scan writes both sides to the shared folder, each in a partition of its
+    own; the two results read only their side.
+    """
+    spark = parsed.sparkSession
+    path = staging_path(spark, name)
+    marked = parsed.withColumn(_REJECTED, F.size(REJECTS) > 0)
+    marked.write.mode("errorifexists").partitionBy(_REJECTED).parquet(path)
+    both = spark.read.schema(marked.schema).parquet(path)
+    return both.where(~F.col(_REJECTED)).drop(_REJECTED, REJECTS), both.where(_REJECTED).drop(_REJECTED)
 
 
 def lake_nulls(raw: DataFrame) -> DataFrame:

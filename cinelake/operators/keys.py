@@ -15,17 +15,23 @@ Two passes over a materialised, range-partitioned copy:
 
 The offsets table has one row per partition — bounded by the partition
 count, not by the data — so broadcasting it is safe.
+
+Keys in lake order need no sort: the copy keeps the file split of every row
+and its place in the scan, and offsets are joined on the split. Both passes
+read the copy, so how a later scan would cut the files does not matter, and the
+number of rows that went into it is returned for the writer to compare.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinelake.operators.joins import fits_broadcast
-from cinelake.operators.materialize import materialize
+from cinelake.operators.materialize import materialize, materialize_counted
 
 # Most bytes of split offsets that are broadcast (some millions of splits).
 OFFSETS_BUDGET = 128 << 20
@@ -45,7 +51,15 @@ def _assign(tagged: DataFrame, name: str, start: int) -> DataFrame:
     )
 
 
-def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "id", start: int = 1) -> DataFrame:
+@dataclass(frozen=True)
+class Numbered:
+    """Rows with their keys, and how many rows were read to number them."""
+
+    rows: DataFrame
+    scanned: int
+
+
+def number_in_order(df: DataFrame, order: Sequence[Column | str], name: str = "id", start: int = 1) -> Numbered:
     """Add ``name`` = start, start+1, … following ``order``.
 
     ``order`` should be total (end with a unique key); rows that tie on all
@@ -55,42 +69,61 @@ def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "id",
     tagged = ordered.withColumn(_MID, F.monotonically_increasing_id()).withColumn(
         _PID, F.shiftright(F.col(_MID), 33)
     )
-    return _assign(materialize(tagged, "dense-index"), name, start)
+    copy, scanned = materialize_counted(tagged, "dense-index")
+    return Numbered(_assign(copy, name, start), scanned)
 
 
-def dense_index_in_scan_order(
+def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "id", start: int = 1) -> DataFrame:
+    """The rows of ``number_in_order``."""
+    return number_in_order(df, order, name, start).rows
+
+
+def number_in_scan_order(
     df: DataFrame,
     split_cols: Sequence[str],
-    row_col: str,
+    row_col: str | None = None,
     name: str = "id",
     start: int = 1,
-) -> DataFrame:
+) -> Numbered:
     """Dense keys in lake order without sorting or shuffling the data.
 
     ``split_cols`` identify a file split (file, split start) and order the
-    splits; ``row_col`` is ``monotonically_increasing_id`` taken at the
-    scan, contiguous inside a split, with the scan partition in its high bits.
-    One counting pass gives a row per split, whose start offset is joined back
-    by scan partition: four longs per split, broadcast after measuring it.
-    Rows must not have been filtered out since the scan (gaps inside a
-    split would leave gaps in the keys); use ``dense_index`` otherwise.
+    splits; ``row_col`` is ``monotonically_increasing_id`` taken at the scan, or
+    None to take it here, where ``df`` may only have been filtered since the scan.
+    Rows are written once, with their split and place, to the shared folder. One
+    counting pass over that copy gives a row per split, whose start offset is
+    joined back on the split: broadcast after measuring it. Places of a split that
+    are not contiguous (rows filtered out after ``row_col`` was taken, or moved by
+    a shuffle) are an error; use ``dense_index`` for such rows.
     """
-    splits = df.groupBy(*split_cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(row_col).alias("_base")
+    place = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    tagged, scanned = materialize_counted(df.withColumn(_MID, place), "scan-order")
+    splits = tagged.groupBy(*split_cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(_MID).alias("_base"), F.max(_MID).alias("_last")
     )
     before = Window.orderBy(*split_cols).rowsBetween(Window.unboundedPreceding, -1)
+    gap = F.raise_error(F.concat(F.lit("rows of a file split are missing: "), F.col(split_cols[0]))).cast("long")
+    whole = F.col("_last") - F.col("_base") + 1 == F.col("_n")
     offsets = materialize(
         splits.select(
-            F.shiftright("_base", 33).alias(_PID),
-            "_base",
-            (F.col("_base") + F.col("_n")).alias("_end"),
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+            *split_cols,
+            # What turns a row's place into its distance from the first row.
+            F.when(whole, F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_base")).otherwise(gap).alias("_offset"),
         ),
         "split-offsets",
     )
     side = F.broadcast(offsets) if fits_broadcast(offsets, OFFSETS_BUDGET) else offsets
-    keyed = df.withColumn(_PID, F.shiftright(F.col(row_col), 33)).join(side, _PID, "inner")
-    here = (F.col(row_col) >= F.col("_base")) & (F.col(row_col) < F.col("_end"))
-    return keyed.where(here).withColumn(
-        name, F.col("_offset") + (F.col(row_col) - F.col("_base")) + F.lit(start)
-    ).drop("_offset", "_base", "_end", _PID)
+    # A left join loses no row: one without an offset would have no key.
+    keyed = tagged.join(side, list(split_cols), "left")
+    return Numbered(keyed.withColumn(name, F.col("_offset") + F.col(_MID) + F.lit(start)).drop("_offset", _MID), scanned)
+
+
+def dense_index_in_scan_order(
+    df: DataFrame,
+    split_cols: Sequence[str],
+    row_col: str | None = None,
+    name: str = "id",
+    start: int = 1,
+) -> DataFrame:
+    """The rows of ``number_in_scan_order``."""
+    return number_in_scan_order(df, split_cols, row_col, name, start).rows

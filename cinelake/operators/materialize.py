@@ -9,7 +9,8 @@ something a running plan reads).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from cinelake.session import staging_path
 
@@ -20,3 +21,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``materialize``, and how many rows passed on their way into the copy."""
+    seen = Observation()
+    copy = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return copy, seen.get["rows"]

@@ -45,12 +45,14 @@ def select_lake_movies(
     targets: Sequence[str],
     quota: int,
     terms: Sequence[str] = SEARCH_TERMS,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """Accepted lake movie rows (``imdbID, title, genre, year, country,
-    imdbRating``) with the target genre each was accepted for."""
+    imdbRating``) with the target genre each was accepted for. ``max_pages``:
+    read this many pages of a term at most (the reference: SEARCH_PAGES)."""
     order = F.array(*[F.lit(t) for t in terms])
     searched = pages.where(F.col("term").isin(*terms))
-    hits = search_hits(searched).select(
+    hits = search_hits(searched, max_pages=max_pages).select(
         "imdbID", F.struct(F.array_position(order, F.col("term")).alias("priority"), "page", "hit").alias("pos")
     )
     candidates = hits.join(detail_projection(details), "imdbID", "inner")

@@ -44,6 +44,16 @@ FACT_RATING = T.StructType([
     T.StructField("rated_at", T.DateType(), True),
 ])
 
+# What a load turned away: the lake row, the column and why.
+LOAD_REJECTS = T.StructType([
+    T.StructField("table_name", T.StringType(), False),
+    T.StructField("lake_id", T.StringType(), True),
+    T.StructField("file", T.StringType(), True),
+    T.StructField("column_name", T.StringType(), False),
+    T.StructField("reason", T.StringType(), False),
+    T.StructField("raw_value", T.StringType(), True),
+])
+
 # Application copy (schema ``public``): same shapes, other key names.
 APP_MOVIES = T.StructType([
     T.StructField("imdb_id", T.StringType(), False),

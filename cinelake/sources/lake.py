@@ -8,6 +8,9 @@ have a meaning that survives splitting a file across tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,31 +36,30 @@ def _csv_reader(spark: SparkSession, multiline: bool):
     )
 
 
-def lake_header(spark: SparkSession, path: str, multiline: bool = False) -> list[str]:
+def lake_header(spark: SparkSession, path: str | list[str], multiline: bool = False) -> list[str]:
     """Column names as written in the header (unstripped)."""
     return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path).columns
 
 
-def read_lake_csv(
-    spark: SparkSession,
-    path: str,
-    columns: list[str] | None = None,
-    with_position: bool = False,
-    multiline: bool = False,
-) -> DataFrame:
-    """Scan lake CSV file(s) as all-string columns.
-
-    Names come from the file's header and are stripped (``' title '`` →
-    ``'title'``); with ``columns`` those are selected in that order and a
-    missing one is an error. Missing-value tokens become NULL. With
-    ``with_position`` the scan also records where each row came from; the
-    row number is taken right at the scan, before any shuffle, and is stable
-    on task retry because file splits are deterministic.
+def files_by_line_breaks(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The files under ``path`` without and with quoted line breaks.
 
-    ``multiline``: fields may hold quoted line breaks. Off by default, because
-    such a file cannot be split and is read by one task; a line break in a
-    file read without it fails the scan.
+    A record on one line has an even number of quotes, as they are doubled inside
+    fields; a line with an odd number opens or closes a field of several lines.
+    (A stray quote in an unquoted field counts as well: such a file is read as
+    one piece, which is right, only slower.) One pass over the lines; only file
+    names reach the driver, which lists them anyway.
     """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (quotes % 2 == 1).alias("odd"))
+    files = sorted((unquote(r.file), r.odd) for r in found.groupBy("file").agg(F.max("odd").alias("odd")).collect())
+    # Spark reports file names URL-encoded and reads them plain.
+    return [f for f, odd in files if not odd], [f for f, odd in files if odd]
+
+
+def _read(
+    spark: SparkSession, path: str | list[str], columns: list[str] | None, with_position: bool, multiline: bool
+) -> DataFrame:
     header = lake_header(spark, path, multiline)
     df = _csv_reader(spark, multiline).schema(all_string(header)).csv(path)
     stripped = [c.strip() for c in header]
@@ -76,6 +78,36 @@ def read_lake_csv(
     return df.select(*[na_to_null(c).alias(c) for c in wanted], *position)
 
 
+def read_lake_csv(
+    spark: SparkSession,
+    path: str,
+    columns: list[str] | None = None,
+    with_position: bool = False,
+    multiline: bool | None = False,
+) -> DataFrame:
+    """Scan lake CSV file(s) as all-string columns.
+
+    Names come from the file's header and are stripped (``' title '`` →
+    ``'title'``); with ``columns`` those are selected in that order and a
+    missing one is an error. Missing-value tokens become NULL. With
+    ``with_position`` the scan also records where each row came from; the
+    row number is taken right at the scan, before any shuffle, and is stable
+    on task retry because file splits are deterministic.
+
+    ``multiline``: fields may hold quoted line breaks. False: a line break
+    fails the scan. True: every file is read as one piece by one task (its only
+    split starts at 0). None: found out per file, so that only files that hold
+    line breaks lose their splits.
+    """
+    if multiline is not None:
+        return _read(spark, path, columns, with_position, multiline)
+    plain, broken = files_by_line_breaks(spark, path)
+    if not broken:
+        return _read(spark, path, columns, with_position, False)
+    parts = [_read(spark, files, columns, with_position, many) for files, many in ((plain, False), (broken, True)) if files]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def write_lake_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a lake table as headered CSV (no index column), quoting with
     doubled quotes so comma-separated genre lists round-trip, and keeping

@@ -23,14 +23,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cinelake.functions.scalar import na_to_null
 from cinelake.operators import clean, integrity, keys
 from cinelake.schemas import LAKE_RATINGS_COLUMNS, all_string
-from cinelake.session import checkpoint_dir, path_exists
+from cinelake.session import checkpoint_dir, path_exists, staged_scope
 from cinelake.sources.lake import POS_FILE, POS_ROW, POS_SPLIT
 
 BATCH_COL = "batch_id"
@@ -56,7 +56,7 @@ def ratings_batch(
     dim_user: DataFrame,
     start: int,
     key: str = "rating_id",
-) -> DataFrame:
+) -> keys.Numbered:
     """Clean, check and number one micro-batch of raw rating rows.
 
     ``batch`` carries the file and split columns selected at the streaming
@@ -73,8 +73,8 @@ def ratings_batch(
     ratings = clean.clean_ratings(raw)
     ratings = integrity.enforce_references(ratings, dim_movie, "movie_id", "fail")
     ratings = integrity.enforce_references(ratings, dim_user, "user_id", "fail")
-    numbered = keys.dense_index_in_scan_order(ratings, [POS_FILE, POS_SPLIT], POS_ROW, name=key, start=start)
-    return numbered.select(key, "movie_id", "user_id", "score", "rated_at")
+    numbered = keys.number_in_scan_order(ratings, [POS_FILE, POS_SPLIT], POS_ROW, name=key, start=start)
+    return keys.Numbered(numbered.rows.select(key, "movie_id", "user_id", "score", "rated_at"), numbered.scanned)
 
 
 def start_ratings_stream(
@@ -86,8 +86,10 @@ def start_ratings_stream(
     checkpoint_location: str | None = None,
     available_now: bool = True,
     key: str = "rating_id",
+    multiline: bool = False,
 ) -> StreamingQuery:
-    """Start the incremental ingest; returns the running query.
+    """Start the incremental ingest; returns the running query. ``multiline``:
+    landed files may hold quoted line breaks and are read whole.
 
     The dimensions may be given as callables (e.g. ``lambda:
     wh.table("dim_movie")``) so every micro-batch checks against the
@@ -99,6 +101,7 @@ def start_ratings_stream(
         .option("header", True)
         .option("escape", '"')
         .option("mode", "FAILFAST")
+        .option("multiLine", multiline)
         .csv(landing_dir)
         .select(
             *LAKE_RATINGS_COLUMNS,
@@ -111,13 +114,18 @@ def start_ratings_stream(
         start = _committed_rows(batch.sparkSession, out_dir, batch_id) + 1
         movies = dim_movie() if callable(dim_movie) else dim_movie
         users = dim_user() if callable(dim_user) else dim_user
-        out = ratings_batch(batch, movies, users, start, key).withColumn(BATCH_COL, F.lit(batch_id))
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_COL)
-            .parquet(out_dir)
-        )
+        with staged_scope(batch.sparkSession):
+            numbered = ratings_batch(batch, movies, users, start, key)
+            written = Observation()
+            out = numbered.rows.withColumn(BATCH_COL, F.lit(batch_id)).observe(written, F.count(F.lit(1)).alias("rows"))
+            (
+                out.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(BATCH_COL)
+                .parquet(out_dir)
+            )
+        if written.get["rows"] != numbered.scanned:  # the batch is not committed; its replay overwrites it
+            raise integrity.IntegrityError(f"batch {batch_id}: {written.get['rows']} rows written of {numbered.scanned} read")
 
     writer = source.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
@@ -131,6 +139,7 @@ def start_dimension_stream(
     table: str = "dim_movie",
     checkpoint_location: str | None = None,
     available_now: bool = True,
+    multiline: bool = False,
 ) -> StreamingQuery:
     """Incremental upsert of landed title or user files into ``wh``.
 
@@ -140,14 +149,10 @@ def start_dimension_stream(
     a batch upserts the same rows again, which leaves the table unchanged.
     """
     from cinelake.schemas import DIM_MOVIE, DIM_USER, LAKE_MOVIES_COLUMNS, LAKE_USERS_COLUMNS
-    from cinelake.operators import upsert
-
     if table == "dim_movie":
-        columns, schema, key = LAKE_MOVIES_COLUMNS, DIM_MOVIE, "movie_id"
-        cleaner = clean.clean_movies
+        columns, schema, cleaner = LAKE_MOVIES_COLUMNS, DIM_MOVIE, clean.clean_movies
     elif table == "dim_user":
-        columns, schema, key = LAKE_USERS_COLUMNS, DIM_USER, "user_id"
-        cleaner = clean.clean_users
+        columns, schema, cleaner = LAKE_USERS_COLUMNS, DIM_USER, clean.clean_users
     else:
         raise ValueError(f"not a dimension: {table}")
     ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", table)
@@ -156,6 +161,7 @@ def start_dimension_stream(
         .option("header", True)
         .option("escape", '"')
         .option("mode", "FAILFAST")
+        .option("multiLine", multiline)
         .csv(landing_dir)
         .select(
             *columns,
@@ -173,9 +179,9 @@ def start_dimension_stream(
         )
         rows = cleaner(raw)
         rows = rows.withColumn("_pos", F.struct(POS_FILE, POS_SPLIT, POS_ROW)).drop(POS_FILE, POS_SPLIT, POS_ROW)
-        # Declared constraints are counted while the version is written.
-        wh.replace(table, upsert.upsert(wh.table(table), rows, key, "_pos"),
-                   checks=integrity.declared_checks(schema))
+        # Declared constraints are counted while the touched buckets are written.
+        with staged_scope(batch.sparkSession):
+            wh.upsert(table, rows, "_pos", checks=integrity.declared_checks(schema))
 
     wh.create()
     writer = source.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
