@@ -590,3 +590,77 @@ WITH hits AS (
 SELECT imdbID, title, genre, year, country, imdbRating, target FROM t1
 UNION ALL SELECT imdbID, title, genre, year, country, imdbRating, target FROM t2
 UNION ALL SELECT imdbID, title, genre, year, country, imdbRating, target FROM t3""", "dim_movie")
+
+# -- loaded warehouse -------------------------------------------------------------------
+
+_LOADED = {
+    "dim_movie": f"""
+SELECT imdbID AS movie_id, {_strip('title')} AS title, genre, CAST(trunc({_number('year')}) AS INT) AS year, country,
+  CAST({_number('imdbRating')} AS DECIMAL(3,1)) AS imdb_rating FROM lake_movies""",
+    "dim_user": f"SELECT CAST(id AS INT) AS user_id, {_strip('name')} AS name, age_group, country FROM lake_users",
+    "fact_rating": f"""
+SELECT row_number() OVER (ORDER BY CAST(id AS BIGINT), movie_id, user_id, score, rated_at) AS rating_id,
+  movie_id, CAST(user_id AS INT) AS user_id, CAST({_number('score')} AS DECIMAL(4,2)) AS score,
+  CAST(try_strptime(rated_at, '%Y-%m-%d') AS DATE) AS rated_at
+FROM raw_ratings""",
+}
+
+
+def _over_loaded(query: str) -> str:
+    """``query`` over the star as a load of the raw lake leaves it."""
+    lake = with_fixtures("", "lake_movies", "lake_users", "raw_ratings").rstrip()
+    for table, rows in _LOADED.items():
+        lake = lake.replace(f"{table} AS (", f"star_{table} AS (").replace(f"FROM {table})", f"FROM star_{table})")
+        query = query.replace(f"{table} AS ({CTE[table].strip()})", f"{table} AS ({rows.strip()})")
+    return lake + ",\n" + query.strip()[4:].lstrip()
+
+
+SQL["loaded_fact"] = _over_loaded(with_fixtures("""
+SELECT rating_id, movie_id, user_id, CAST(score AS DOUBLE) AS score, rated_at FROM fact_rating""", "fact_rating"))
+
+SQL["loaded_counts"] = _over_loaded(with_fixtures("""
+SELECT CAST(run AS INT) AS run, table_name, rows_loaded FROM (VALUES (1), (2)) runs(run), (
+  SELECT 'dim_movie' AS table_name, count(*) AS rows_loaded FROM dim_movie
+  UNION ALL SELECT 'dim_user', count(*) FROM dim_user
+  UNION ALL SELECT 'fact_rating', count(*) FROM fact_rating)""", "dim_movie", "dim_user", "fact_rating"))
+
+SQL["loaded_dim_movie"] = SQL["upsert_dim_movie"]
+SQL["view_top10_by_genre"] = _over_loaded(SQL["mart_top10_by_genre"])
+SQL["view_avg_by_age_group"] = _over_loaded(SQL["mart_avg_by_age_group"])
+SQL["view_ratings_by_country"] = _over_loaded(SQL["mart_ratings_by_country"])
+
+
+def _text(table: str, key: str, cols: list[str], source: str) -> str:
+    fields = " || '|' || ".join(f"coalesce({_na(c)}, 'NULL')" for c in cols)
+    return f"SELECT '{table}' AS table_name, {_na(key)} AS id, {fields} AS fields FROM ({source})"
+
+
+_QUOTED = """
+SELECT imdbID, CASE WHEN CAST(imdbID AS BIGINT) % 17 = 0 THEN concat('"', title, '", part ""2""')
+       WHEN CAST(imdbID AS BIGINT) % 41 = 1 THEN concat(title, chr(10), 'second, "line"') ELSE title END AS title,
+  genre, year, country, imdbRating FROM raw_movies"""
+
+SQL["lake_round_trip"] = with_fixtures(
+    _text("movies", "imdbID", ["title", "genre", "year", "country", "imdbRating"], _QUOTED)
+    + "\nUNION ALL\n" + _text("users", "id", ["name", "age_group", "country"], "SELECT * FROM raw_users")
+    + "\nUNION ALL\n" + _text("ratings", "id", ["user_id", "movie_id", "score", "rated_at"], "SELECT * FROM raw_ratings"),
+    "raw_movies", "raw_users", "raw_ratings",
+)
+
+# Only the planted values are unusable: each is listed with its reason.
+SQL["load_rejects"] = with_fixtures("""
+WITH m AS (SELECT imdbID AS id, CAST(imdbID AS BIGINT) AS k FROM raw_movies),
+u AS (SELECT id, CAST(id AS BIGINT) AS k FROM raw_users),
+r AS (SELECT id, user_id, CAST(id AS BIGINT) AS k FROM raw_ratings)
+SELECT 'movies' AS table_name, id AS lake_id, 'title' AS column_name, 'missing' AS reason, NULL AS raw_value FROM m WHERE k % 59 = 0
+UNION ALL SELECT 'movies', id, 'year', 'out of range', '3e9' FROM m WHERE k % 61 = 0
+UNION ALL SELECT 'movies', id, 'imdbRating', 'not a finite number', '-Inf' FROM m WHERE k % 67 = 0
+UNION ALL SELECT 'movies', id, 'imdbRating', 'out of range', '99.95' FROM m WHERE k % 67 = 1
+UNION ALL SELECT 'users', 'u' || id, 'id', 'not a whole number', 'u' || id FROM u WHERE k % 29 = 0
+UNION ALL SELECT 'users', CASE k % 29 WHEN 0 THEN 'u' || id WHEN 1 THEN id || '.0' ELSE id END, 'name', 'missing', NULL FROM u WHERE k % 31 = 0
+UNION ALL SELECT 'ratings', id, 'user_id', 'missing', NULL FROM r WHERE k % 37 = 0
+UNION ALL SELECT 'ratings', id, 'user_id', 'not a whole number', user_id || '.5' FROM r WHERE k % 37 = 1
+UNION ALL SELECT 'ratings', id, 'user_id', 'out of range', '5e9' FROM r WHERE k % 37 = 2
+UNION ALL SELECT 'ratings', id, 'movie_id', 'missing', NULL FROM r WHERE k % 43 = 0
+UNION ALL SELECT 'ratings', id, 'score', 'not a finite number', 'inf' FROM r WHERE k % 53 = 0
+UNION ALL SELECT 'ratings', id, 'score', 'out of range', '100' FROM r WHERE k % 53 = 1""", "raw_movies", "raw_users", "raw_ratings")

@@ -23,7 +23,7 @@ from cinelake.fixed_values import (
 )
 from cinelake.operators import clean, integrity, keys, sampling, upsert
 from cinelake.oracle import DETAIL_MOVIE_ID
-from cinelake.plans import acquisition, analytics, dashboards, display, marts
+from cinelake.plans import acquisition, analytics, dashboards, display, loaded, marts
 from cinelake.schemas import DIM_MOVIE, DIM_USER, FACT_RATING
 from cinelake.sources import fixtures, payloads
 from cinelake.sources.adapters import app_tables, read_table, star
@@ -294,6 +294,59 @@ def _load_counts(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+# -- loaded warehouse -----------------------------------------------------------------
+
+def _raw(spark, sf):
+    s = star(spark, sf)
+    return fixtures.raw_movies(s), fixtures.raw_users(s), fixtures.raw_ratings(s)
+
+
+@register("lake_round_trip")
+def _lake_round_trip(spark, sf):
+    s = star(spark, sf)
+    return loaded.round_trip(spark, fixtures.quoted_movies(s), fixtures.raw_users(s), fixtures.raw_ratings(s))
+
+
+@register("load_rejects")
+def _load_rejects(spark, sf):
+    s = star(spark, sf)
+    raw = (fixtures.refused_movies(s), fixtures.refused_users(s), fixtures.refused_ratings(s))
+    return loaded.rejects(*[clean.lake_nulls(df) for df in raw])
+
+
+@register("loaded_counts")
+def _loaded_counts(spark, sf):
+    return loaded.load_report(spark, loaded.load_raw(spark, *_raw(spark, sf), loads=2)[1])
+
+
+@register("loaded_fact")
+def _loaded_fact(spark, sf):
+    return loaded.load_raw(spark, *_raw(spark, sf), loads=2)[0].table("fact_rating")
+
+
+@register("loaded_dim_movie")
+def _loaded_dim_movie(spark, sf):
+    base, batch = fixtures.upsert_movie_inputs(star(spark, sf))
+    wh = loaded.new_warehouse(spark, base.count())
+    wh.create()
+    wh.replace("dim_movie", base)
+    wh.upsert("dim_movie", batch, "pos")
+    return wh.table("dim_movie")
+
+
+def _view(name: str) -> Query:
+    def run(spark, sf):
+        wh, _ = loaded.load_raw(spark, *_raw(spark, sf))
+        return spark.table(f"`{wh.database}`.`{name}`")
+
+    return run
+
+
+register("view_top10_by_genre")(_view("mart_top10_by_genre"))
+register("view_avg_by_age_group")(_view("mart_avg_by_age_group"))
+register("view_ratings_by_country")(_view("mart_ratings_by_country"))
+
+
 # -- JSON payloads ------------------------------------------------------------------------
 
 @register("search_hits")

@@ -99,6 +99,53 @@ def raw_ratings(star: Star) -> DataFrame:
     )
 
 
+def quoted_movies(star: Star) -> DataFrame:
+    """``raw_movies`` with quotes, commas and line breaks in some titles."""
+    k = F.col("imdbID").cast(T.LongType())
+    title = (
+        F.when(k % 17 == 0, F.concat(F.lit('"'), F.col("title"), F.lit('", part ""2""')))
+        .when(k % 41 == 1, F.concat(F.col("title"), F.lit("\nsecond, \"line\"")))
+        .otherwise(F.col("title"))
+    )
+    return raw_movies(star).withColumn("title", title)
+
+
+def refused_movies(star: Star) -> DataFrame:
+    """``raw_movies`` with titles missing and ratings and years out of range."""
+    k = F.col("imdbID").cast(T.LongType())
+    return raw_movies(star).withColumns({
+        "title": F.when(k % 59 == 0, F.lit("N/A")).otherwise(F.col("title")),
+        "year": F.when(k % 61 == 0, F.lit("3e9")).otherwise(F.col("year")),
+        "imdbRating": F.when(k % 67 == 0, F.lit("-Inf")).when(k % 67 == 1, F.lit("99.95")).otherwise(F.col("imdbRating")),
+    })
+
+
+def refused_users(star: Star) -> DataFrame:
+    """``raw_users`` with unusable ids and missing names."""
+    k = F.col("id").cast(T.LongType())
+    return raw_users(star).withColumns({
+        "id": F.when(k % 29 == 0, F.concat(F.lit("u"), F.col("id"))).when(k % 29 == 1, F.concat(F.col("id"), F.lit(".0"))).otherwise(F.col("id")),
+        "name": F.when(k % 31 == 0, F.lit("")).otherwise(F.col("name")),
+    })
+
+
+def refused_ratings(star: Star) -> DataFrame:
+    """``raw_ratings`` with unusable user ids, titles and scores."""
+    k = F.col("id").cast(T.LongType())
+    user = (
+        F.when(k % 37 == 0, F.lit("null"))
+        .when(k % 37 == 1, F.concat(F.col("user_id"), F.lit(".5")))
+        .when(k % 37 == 2, F.lit("5e9"))
+        .when(k % 37 == 3, F.concat(F.col("user_id"), F.lit("e0")))
+        .otherwise(F.col("user_id"))
+    )
+    return raw_ratings(star).withColumns({
+        "user_id": user,
+        "movie_id": F.when(k % 43 == 0, F.lit("")).otherwise(F.col("movie_id")),
+        "score": F.when(k % 53 == 0, F.lit("inf")).when(k % 53 == 1, F.lit("100")).otherwise(F.col("score")),
+    })
+
+
 # -- reduced dimensions and deletions -------------------------------------------
 
 def dim_movie_partial(star: Star) -> DataFrame:
