@@ -18,6 +18,10 @@ distinct word shingles. Steps, each a Spark job over whole tables:
    bitmaps, and size ranges), traverses the tree against itself level by level,
    prunes node pairs whose greatest possible overlap is too small, and verifies
    surviving leaf pairs on the sets. Pairs already connected are skipped.
+   Families of more than a block are routed anew by rare tokens: two sets that
+   link share one of the first ``n - ceil(percent * n / 100) + 1`` tokens of
+   either, in any one order of all tokens. Rarest first, by counters of bounded
+   number that cover all members, a shared line or passage connects nothing.
 4. Families of several blocks go on with the roots of what their blocks have
    connected, re-blocked until one block holds them, then compare what is still
    apart: members outside a family's largest component against all its blocks.
@@ -46,6 +50,8 @@ from cinelake.llm.text import mix, set_digest, shingle_sets
 BLOCK = 256
 FANOUT = 4
 BAND = 1.5
+#: Counters that order tokens by how rare they are.
+SLOTS = 1 << 20
 #: Rows of one input batch whose routing keys are de-duplicated together.
 SETS_SCHEMA = "doc_id long, n long, d1 long, d2 long, keys array<long>"
 
@@ -102,6 +108,67 @@ def routing_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
+def _count_slots(size: int):
+    """Rows of texts → how many sets hold a token of each counter's slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for tokens in shingle_sets(batch.column("text"), size):
+                np.add.at(counts, _slot(tokens), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["slot", "c"])
+
+    return run
+
+
+def _slot(tokens: np.ndarray) -> np.ndarray:
+    return (mix(tokens ^ np.uint64(0x3C6EF372FE94F82B)) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def rare_tokens(tokens: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The tokens of a set that a linked set may share first, rarest ones first."""
+    n = len(tokens)
+    most = n - -(-percent * n // 100) + 1
+    return tokens[np.lexsort((tokens, counts[_slot(tokens)]))[:most]]
+
+
+def _rare_keys(size: int, percent: int, shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.frombuffer(shared.value, np.int64)
+        for batch in batches:
+            rare = [rare_tokens(t, counts, percent) for t in shingle_sets(batch.column("text"), size)]
+            each = np.array([len(r) for r in rare])
+            columns = [np.repeat(batch.column(c).to_numpy(), each) for c in ("family", "rep")]
+            keys = np.concatenate([*rare, np.empty(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*columns, keys)], ["family", "v", "key"])
+
+    return run
+
+
+def _refined(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Staged (rep, family, members): families of more than a block split by rare
+    tokens; members that share none with others are left out, they link with
+    nothing."""
+    spark = docs.sparkSession
+    texts = stage(_with_text(members, docs).select("family", "rep", "text"), "family_texts")
+    slots = texts.mapInArrow(_count_slots(size), "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c"))
+    counts = np.zeros(SLOTS, np.int64)
+    found = slots.toPandas()  # at most SLOTS rows
+    counts[found["slot"].to_numpy()] = found["c"].to_numpy()
+    shared = spark.sparkContext.broadcast(counts.tobytes())
+    keyed = stage(texts.mapInArrow(_rare_keys(size, percent, shared), "family long, v long, key long"), "rare_keys")
+    least = keyed.groupBy("family", "key").agg(F.min("v").alias("u"), F.count("*").alias("c")).where("c > 1")
+    edges = stage(keyed.join(least, ["family", "key"]).where("u <> v").select("u", "v").distinct(), "rare_edges")
+    unstage(keyed, texts)
+    split = components(edges)
+    out = members.select("rep", "family").join(split, F.col("rep") == F.col("node"))
+    out = out.select("rep", F.xxhash64("family", "root").alias("family"))
+    out = stage(out.join(out.groupBy("family").agg(F.count("*").alias("members")), "family").select("rep", "family", "members"), "refined")
+    unstage(edges, split)
+    return out
+
+
 def _hash_sets(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -417,6 +484,15 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     release(spark)
 
+    large = member.where(F.col("members") > BLOCK)
+    if not large.isEmpty():
+        refined = _refined(large, docs, size, percent)
+        whole = member.where(F.col("members") <= BLOCK).select("rep", "family", "members")
+        routed = stage(whole.unionByName(refined), "routed")
+        unstage(member, refined)
+        member = routed
+        release(spark)
+
     small = member.where(F.col("members") <= BLOCK).withColumn("block", F.lit(0).cast("long"))
     rows = small.unionByName(_blocked(member.where(F.col("members") > BLOCK)))
     roots = stage(_joined(_with_text(rows, docs).select("family", "block", "rep", "text"), size, percent), "block_roots")

@@ -18,12 +18,8 @@ SLICE_BYTES = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_rng = np.random.Generator(np.random.PCG64(20_240_229))
-_BYTE_VALUE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE_VALUE[65:91] = _BYTE_VALUE[97:123]  # A-Z hash as a-z
-_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
-_powers: list[np.ndarray] = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32  # A-Z hash as a-z
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,16 +31,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _powers[k] = np.cumprod(p, dtype=np.uint64)
-    return _powers[0], _powers[1]
-
-
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text column; nulls become empty texts."""
     if isinstance(column, pa.ChunkedArray):
@@ -109,12 +95,28 @@ def word_counts(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word with A-Z lower-cased."""
-    power, inverse = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * power[: len(data)], dtype=np.uint64, out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(h + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each word with A-Z lower-cased.
+
+    A word is read in lanes of eight bytes; every lane is mixed with its place
+    before the lanes are summed, so that no algebra over the bytes (as of a
+    polynomial) makes different words meet.
+    """
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    length = ends - starts
+    lanes = (length + 7) >> 3
+    first = np.cumsum(lanes) - lanes
+    word = np.repeat(np.arange(len(starts)), lanes)
+    at = 8 * (np.arange(len(word)) - first[word])
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = _LOWER[data]
+    every = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(data) + 1,), (1,))
+    lane = every[starts[word] + at]
+    left = length[word] - at
+    short = left < 8
+    lane[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+    place = mix(at.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    return mix(np.add.reduceat(mix(lane + place), first) + length.astype(np.uint64))
 
 
 def _fold(hashes: list[np.ndarray], size: int) -> np.ndarray:

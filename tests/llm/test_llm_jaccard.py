@@ -58,6 +58,32 @@ def test_linked_sets_share_a_key(percent):
     assert found > 300
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_rare_token(percent):
+    rng = np.random.default_rng(percent)
+    counts, found = rng.integers(0, 50, trees.SLOTS), 0
+    for _ in range(1000):
+        n = int(rng.integers(1, 300))
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        drop, add = rng.integers(0, max(1, n // 6) + 1, 2)
+        b = np.unique(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2**63, add, dtype=np.uint64)]))
+        if len(b) and trees.linked(a, b, percent):
+            found += 1
+            assert np.intersect1d(trees.rare_tokens(a, counts, percent), trees.rare_tokens(b, counts, percent)).size
+    assert found > 200
+
+
+def test_words_of_algebraic_structure_hash_apart():
+    word = "a"
+    while len(word) < 8192:
+        word += word.translate(str.maketrans("ab", "ba"))
+        other = word.translate(str.maketrans("ab", "ba"))
+        column = pa.array([f"{word} {other} x", f"{other} {word} x", word, other, word.upper(), word + "a", "a" * len(word), "b" * len(word)])
+        tokens = [t.tolist() for t in shingle_sets(column, 1)]
+        assert tokens[2] == tokens[4] and tokens[0] == tokens[1] and len(tokens[0]) == 3
+        assert len({t[0] for t in tokens[2:]}) == 5 and len(tokens[2]) == 1
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_traversal_loses_no_link(percent):
     sets = [s for s in shingle_sets(pa.array([t for _, t in copies(percent, 15)]), 3) if len(s)]
