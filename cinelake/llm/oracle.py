@@ -31,7 +31,7 @@ WITH texts AS (
 found AS (
   SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
          sha256(t) AS text_sha256 FROM texts)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM found""",
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM found""",
     "op8_url_filter": r"""
 WITH rests AS (
   SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest

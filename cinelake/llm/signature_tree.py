@@ -51,7 +51,7 @@ BLOCK = 256
 FANOUT = 4
 BAND = 1.5
 #: Counters that order tokens by how rare they are.
-SLOTS = 1 << 20
+SLOTS = 1 << 18
 #: Rows of one input batch whose routing keys are de-duplicated together.
 SETS_SCHEMA = "doc_id long, n long, d1 long, d2 long, keys array<long>"
 
@@ -154,8 +154,9 @@ def _refined(members: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     texts = stage(_with_text(members, docs).select("family", "rep", "text"), "family_texts")
     slots = texts.mapInArrow(_count_slots(size), "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c"))
     counts = np.zeros(SLOTS, np.int64)
-    found = slots.toPandas()  # at most SLOTS rows
+    found = slots.toArrow()  # at most SLOTS rows
     counts[found["slot"].to_numpy()] = found["c"].to_numpy()
+    del found
     shared = spark.sparkContext.broadcast(counts.tobytes())
     keyed = stage(texts.mapInArrow(_rare_keys(size, percent, shared), "family long, v long, key long"), "rare_keys")
     least = keyed.groupBy("family", "key").agg(F.min("v").alias("u"), F.count("*").alias("c")).where("c > 1")

@@ -32,8 +32,24 @@ def test_groups_equal_brute_force(spark, monkeypatch, block_chars):
     assert len(got) == len(rows) and set(got) == _want(rows)
 
 
-def test_repeated_rows_null_ids_and_no_rows(spark):
-    rows = [(1, "a"), (1, "a"), (2, "a"), (None, "a")]
-    got = sorted(tuple(r)[:4] for r in block_naming.exact_groups(documents(spark, rows)).collect())
-    assert got == [(1, 1, 2, True), (2, 1, 2, False)]
+def _by_rows(rows):
+    """Groups of rows, whatever their ids."""
+    out = []
+    for i, t in rows:
+        same = [j for j, u in rows if _norm(u) == _norm(t)]
+        keep = min((j for j in same if j is not None), default=None)
+        out.append((i, keep, len(same), i == keep, hashlib.sha256(_norm(t).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "a"), (1, "a"), (2, "a"), (3, "b")],
+    [(1, "aaa"), (1, "bbb"), (2, "bbb"), (3, "aaa")],
+    [(5, "x" * 9000), (5, "y" * 9000), (6, "x" * 9000), (7, "y" * 9000), (7, "y" * 9000)],
+    [(1, "a"), (None, "a"), (None, "only"), (None, "only"), (None, None), (4, "")],
+    [(-3, "z " * 5000), (-3, "z\t" * 5000), (None, "z\n" * 5000 + "q")],
+])
+def test_every_row_counts(spark, rows):
+    got = block_naming.exact_groups(documents(spark, rows)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert sorted(map(tuple, got.collect()), key=str) == _by_rows(rows)
     assert block_naming.exact_groups(documents(spark, rows).where("doc_id > 9")).count() == 0
