@@ -6,8 +6,9 @@ called. Stages need ``doc_id`` (the key), ``text``, ``lang`` and ``source``.
 
 1. ``language_id`` drops documents without a letter, and those for which no
    language reaches LEAST_SCORE.
-2. ``exact_dedup`` keeps the smallest ``doc_id`` of each group of equal texts;
-   rows that repeat a ``doc_id`` are one document, a null ``doc_id`` is none.
+2. ``exact_dedup`` keeps the smallest ``doc_id`` of each group of equal texts, and
+   one of the rows that repeat it with that text (texts that only rows without an
+   id have: one row).
 3. ``near_dedup`` keeps the smallest ``doc_id`` of each component of documents
    whose sets of 5-word shingles are similar to at least 80 %.
 4. ``source_mix`` repeats each document as often as the mix takes its first
@@ -22,10 +23,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm.block_naming import name_documents
+from cinelake.llm.block_naming import name_documents, normalised
 from cinelake.llm.bpe import encode_documents
 from cinelake.llm.language_id import UNKNOWN, fit, language_of
 from cinelake.llm.mixing import mix
@@ -60,9 +61,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    names = name_documents(docs)
-    kept = names.where("doc_id = keep_id").select(F.col("keep_id").alias("keep"))
-    return _keep(docs, kept).dropDuplicates(["doc_id"])  # in the join's partitions
+    def key(doc_id: Column, digest: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(doc_id.cast("long").cast("string"), F.lit("null")), digest).alias("row_key")
+
+    kept = name_documents(docs).where("doc_id <=> keep_id").select(key(F.col("doc_id"), F.col("text_sha256")))
+    rows = _packed(docs).select("doc", key(F.col("doc.doc_id"), F.sha2(normalised(F.col("doc.text")), 256)))
+    # Rows that repeat an id and its text go in the join's partitions.
+    return rows.join(kept.hint("merge"), "row_key", "left_semi").dropDuplicates(["row_key"]).select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
