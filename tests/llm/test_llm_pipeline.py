@@ -15,7 +15,7 @@ from tests.llm.helpers import copies, documents, jaccard_components
 
 def test_all_queries_are_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= names and set(SQL) <= set(entry.oracle_sql())
     assert 4 <= len(pipeline.STAGES) <= 5
 
@@ -23,7 +23,7 @@ def test_all_queries_are_registered():
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_query_equals_its_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     want = con.execute(SQL[key])
     columns = sorted(d[0] for d in want.description)
