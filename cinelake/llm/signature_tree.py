@@ -4,24 +4,24 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` on their sets of
 distinct word shingles. Steps, each a Spark job over whole tables:
 
 1. One pass over the texts hashes every shingle set (numpy on Arrow buffers)
-   into a digest and routing keys, and writes both to the shared folder. Equal
-   sets share a digest, so copies are one node from here on; a task emits the
-   keys of a set once however many copies it reads.
-2. Routing is exact (pigeonhole): linked sets differ in at most D tokens; split
-   the hash space into D + 1 + E segments and at least E + 1 segments agree.
-   A set with at most E empty segments needs keys for non-empty ones only.
-   Sizes are banded so that both sides use the same split. Sets that share a
-   key are chained in one sorted pass, and components of the chains are the
-   trees' families: every link lies within one family.
+   into a digest, and counts tokens in counters of bounded number. Equal sets
+   share a digest, so copies are one node from here on.
+2. Routing is exact (prefix filter): two sets that link share one of the first
+   ``n - ceil(percent * n / 100) + 1`` tokens of either, in any one order of all
+   tokens. Rarest come first, so a shared line or passage connects little. Sets
+   that share such a token are linked to the smallest of them, first among the
+   sets a task holds, then over one row per key and batch of sets; components
+   of these links are the trees' families: every link lies within one family.
+   Families of more than a block are routed anew by pigeonhole: linked sets
+   differ in at most D tokens; split the hash space into D + 1 + E segments and
+   at least E + 1 segments agree. A set with at most E empty segments needs
+   keys for non-empty ones only. Sizes are banded so that both sides use the
+   same split.
 3. A family is cut into blocks of bounded size. A task bulk-loads a signature
    tree per block (leaves: token bitmap and size; nodes: OR of their children's
    bitmaps, and size ranges), traverses the tree against itself level by level,
    prunes node pairs whose greatest possible overlap is too small, and verifies
    surviving leaf pairs on the sets. Pairs already connected are skipped.
-   Families of more than a block are routed anew by rare tokens: two sets that
-   link share one of the first ``n - ceil(percent * n / 100) + 1`` tokens of
-   either, in any one order of all tokens. Rarest first, by counters of bounded
-   number that cover all members, a shared line or passage connects nothing.
 4. Families of several blocks go on with the roots of what their blocks have
    connected, re-blocked until one block holds them, then compare what is still
    apart: members outside a family's largest component against all its blocks.
@@ -29,7 +29,9 @@ distinct word shingles. Steps, each a Spark job over whole tables:
 Defined results: null and empty texts and texts without words have an empty
 set, link with nothing and are their own component; ties and repeated rows of
 equal text fall into one component; an empty table gives no rows; columns
-other than ``doc_id`` and ``text`` are not read.
+other than ``doc_id`` and ``text`` are not read. Rows without an id link like any
+other and never name a component that holds an id; rows of one id with several
+texts are rows of their own.
 """
 
 from __future__ import annotations
@@ -52,8 +54,10 @@ FANOUT = 4
 BAND = 1.5
 #: Counters that order tokens by how rare they are.
 SLOTS = 1 << 18
-#: Rows of one input batch whose routing keys are de-duplicated together.
-SETS_SCHEMA = "doc_id long, n long, d1 long, d2 long, keys array<long>"
+#: Routing keys that a task holds and links among themselves at a time.
+HELD_KEYS = 1 << 20
+SETS_SCHEMA = "doc_id long, n long, d1 long, d2 long, slot int, c long"
+SETS_NAMES = [c.split()[0] for c in SETS_SCHEMA.split(", ")]
 
 
 # ---------------------------------------------------------------- routing
@@ -108,60 +112,113 @@ def routing_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def _count_slots(size: int):
-    """Rows of texts → how many sets hold a token of each counter's slot."""
+def _slot(tokens: np.ndarray) -> np.ndarray:
+    return (mix(tokens ^ np.uint64(0x3C6EF372FE94F82B)) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def rare_tokens(tokens: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The tokens of a set that a linked set may share first, rarest ones first."""
+    n = len(tokens)
+    most = n - -(-percent * n // 100) + 1
+    return tokens[np.lexsort((tokens, counts[_slot(tokens)]))[:most]]
+
+
+def _hash_sets(size: int):
+    """Rows of texts → a row per text (``slot`` null), and after them how many of
+    the task's sets hold a token of each counter's slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
         for batch in batches:
+            n, d1, d2, held, tokens_held = [], [], [], [], 0
             for tokens in shingle_sets(batch.column("text"), size):
-                np.add.at(counts, _slot(tokens), 1)
+                a, b = set_digest(tokens)
+                n.append(len(tokens))
+                d1.append(a)
+                d2.append(b)
+                held.append(tokens)
+                tokens_held += len(tokens)
+                if tokens_held > HELD_KEYS:
+                    counts += np.bincount(_slot(np.concatenate(held)), minlength=SLOTS)
+                    held, tokens_held = [], 0
+            counts += np.bincount(_slot(np.concatenate([*held, np.empty(0, np.uint64)])), minlength=SLOTS)
+            none = pa.nulls(len(n))
+            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), none.cast(pa.int32()), none.cast(pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, SETS_NAMES)
         at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["slot", "c"])
+        none = pa.nulls(len(at), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(at, pa.int32()), pa.array(counts[at])], SETS_NAMES)
 
     return run
 
 
-def _slot(tokens: np.ndarray) -> np.ndarray:
-    return (mix(tokens ^ np.uint64(0x3C6EF372FE94F82B)) & np.uint64(SLOTS - 1)).astype(np.int64)
-
+def _star_rows(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+    """(key, v, u): the smallest node of each key with ``u`` null, and links
+    (v, u) of the others to it, under keys that spread them."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    head = np.ones(len(keys), bool)
+    head[1:] = keys[1:] != keys[:-1]
+    least = nodes[head][np.cumsum(head) - 1] if len(keys) else nodes
+    links = np.unique(np.stack([nodes, least], axis=1)[nodes != least], axis=0)
+    spread = mix(links[:, 0].view(np.uint64) ^ mix(links[:, 1].view(np.uint64))).view(np.int64) if len(links) else links[:, 0]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([keys[head], spread])),
+            pa.array(np.concatenate([nodes[head], links[:, 0]])),
+            pa.concat_arrays([pa.nulls(int(head.sum()), pa.int64()), pa.array(np.ascontiguousarray(links[:, 1]), pa.int64())]),
+        ],
+        ["key", "v", "u"],
+    )
 
-def rare_tokens(tokens: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The tokens of a set that a linked set may share first, rarest ones first."""
-    n = len(tokens)
-    most = n - -(-percent * n // 100) + 1
-    return tokens[np.lexsort((tokens, counts[_slot(tokens)]))[:most]]
 
+def _route(size: int, keys_of, family: bool):
+    """Rows of texts → :func:`_star_rows` of bounded batches of sets. Nodes are
+    digests, or with ``family`` the ``rep`` of a row, whose keys meet within its
+    family only. Equal sets of a batch give their keys once."""
 
-def _rare_keys(size: int, percent: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.frombuffer(shared.value, np.int64)
+        keys, nodes, seen, held = [], [], set(), 0
         for batch in batches:
-            rare = [rare_tokens(t, counts, percent) for t in shingle_sets(batch.column("text"), size)]
-            each = np.array([len(r) for r in rare])
-            columns = [np.repeat(batch.column(c).to_numpy(), each) for c in ("family", "rep")]
-            keys = np.concatenate([*rare, np.empty(0, np.uint64)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*columns, keys)], ["family", "v", "key"])
+            given = zip(batch.column("family").to_pylist(), batch.column("rep").to_pylist(), strict=True) if family else None
+            for tokens in shingle_sets(batch.column("text"), size):
+                if family:
+                    salt, node = next(given)
+                else:
+                    salt, (node, other) = None, set_digest(tokens)
+                    if (node, other) in seen:
+                        continue
+                    seen.add((node, other))
+                own = keys_of(tokens)
+                if family:
+                    own = mix(own.view(np.uint64) + mix(np.array([salt], np.int64).view(np.uint64))).view(np.int64)
+                keys.append(own)
+                nodes.append(np.full(len(own), node, np.int64))
+                held += len(own)
+                if held >= HELD_KEYS:
+                    yield _star_rows(np.concatenate(keys), np.concatenate(nodes))
+                    keys, nodes, seen, held = [], [], set(), 0
+        none = np.empty(0, np.int64)
+        yield _star_rows(np.concatenate([*keys, none]), np.concatenate([*nodes, none]))
 
     return run
 
 
+def _links(rows: DataFrame, size: int, keys_of, family: bool = False) -> DataFrame:
+    """Distinct (u, v) that connect all sets sharing a key: one shuffle, in which a
+    key has a row per batch of sets at most."""
+    found = rows.mapInArrow(_route(size, keys_of, family), "key long, v long, u long")
+    least = F.first("v").over(Window.partitionBy("key", F.col("u").isNull()).orderBy("v"))
+    return found.select(F.coalesce("u", least).alias("u"), "v").where("u <> v").distinct()
+
+
 def _refined(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Staged (rep, family, members): families of more than a block split by rare
-    tokens; members that share none with others are left out, they link with
+    """Staged (rep, family, members): families of more than a block split by
+    segments that agree; members that share none are left out, they link with
     nothing."""
-    spark = docs.sparkSession
     texts = stage(_with_text(members, docs).select("family", "rep", "text"), "family_texts")
-    slots = texts.mapInArrow(_count_slots(size), "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c"))
-    counts = np.zeros(SLOTS, np.int64)
-    found = slots.toArrow()  # at most SLOTS rows
-    counts[found["slot"].to_numpy()] = found["c"].to_numpy()
-    del found
-    shared = spark.sparkContext.broadcast(counts.tobytes())
-    keyed = stage(texts.mapInArrow(_rare_keys(size, percent, shared), "family long, v long, key long"), "rare_keys")
-    least = keyed.groupBy("family", "key").agg(F.min("v").alias("u"), F.count("*").alias("c")).where("c > 1")
-    edges = stage(keyed.join(least, ["family", "key"]).where("u <> v").select("u", "v").distinct(), "rare_edges")
-    unstage(keyed, texts)
+    edges = stage(_links(texts, size, lambda tokens: routing_keys(tokens, percent), family=True), "segment_links")
+    unstage(texts)
     split = components(edges)
     out = members.select("rep", "family").join(split, F.col("rep") == F.col("node"))
     out = out.select("rep", F.xxhash64("family", "root").alias("family"))
@@ -170,32 +227,6 @@ def _refined(members: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     return out
 
 
-def _hash_sets(size: int, percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: set[tuple[int, int]] = set()
-            n, d1, d2, counts, keys = [], [], [], [], []
-            for tokens in shingle_sets(batch.column("text"), size):
-                a, b = set_digest(tokens)
-                n.append(len(tokens))
-                d1.append(a)
-                d2.append(b)
-                own = np.empty(0, np.int64)
-                if (a, b) not in seen:
-                    seen.add((a, b))
-                    own = routing_keys(tokens, percent)
-                keys.append(own)
-                counts.append(len(own))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-            flat = pa.array(np.concatenate([*keys, np.empty(0, np.int64)]), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
-                ["doc_id", "n", "d1", "d2", "keys"],
-            )
-
-    return run
-
-
 # ---------------------------------------------------------------- trees
 
 
@@ -456,25 +487,43 @@ def _large_families(roots: DataFrame, members: DataFrame, docs: DataFrame, size:
     return out
 
 
+def _counters(sets: DataFrame) -> np.ndarray:
+    counts = np.zeros(SLOTS, np.int64)
+    found = sets.where("slot is not null").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()  # at most SLOTS rows
+    counts[found["slot"].to_numpy()] = found["c"].to_numpy()
+    return counts
+
+
+def _rows_of_their_own(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """:func:`jaccard_components` where ids are null or repeated: rows are numbered,
+    and a component is named by the smallest id that it holds."""
+    rows = stage(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = jaccard_components(rows.select(F.col("row").alias("doc_id"), "text"), size, percent)
+    found = found.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("root"))
+    named = stage(found.join(rows.select("row", "doc_id"), "row"), "numbered_roots")
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    unstage(rows)
+    return named.join(least, "root").select("doc_id", "n_shingles", "component_id")
+
+
 def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs`` (columns ``doc_id``, ``text``).
 
     ``component_id`` is the smallest ``doc_id`` reachable over links, the row
-    itself included. ``doc_id`` must be unique and not null.
+    itself included; null where no row of the component has an id.
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
-    hashed = stage(docs.mapInArrow(_hash_sets(size, percent), SETS_SCHEMA), "sets")
-
-    # Families: components over chains of sets that share a key. The keys are the
-    # largest intermediate; they go as soon as the chains are written.
-    keyed = hashed.select(F.explode("keys").alias("key"), F.col("d1").alias("v"))
-    chained = keyed.withColumn("u", F.lag("v").over(Window.partitionBy("key").orderBy("v"))).where("u <> v")
-    chains = stage(chained.select("u", "v").distinct(), "chains")
-    sets = stage(hashed.drop("keys"), "digests")
-    unstage(hashed)
-    del keyed, chained, hashed
+    hashed = stage(docs.mapInArrow(_hash_sets(size), SETS_SCHEMA), "sets")
+    sets = hashed.where("slot is null").select("doc_id", "n", "d1", "d2")
+    if not sets.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
+        unstage(hashed)
+        return _rows_of_their_own(docs, size, percent)
+
+    shared = spark.sparkContext.broadcast(_counters(hashed).tobytes())
+    rare = lambda tokens: rare_tokens(tokens, np.frombuffer(shared.value, np.int64), percent).view(np.int64)
+    chains = stage(_links(docs, size, rare), "chains")
     release(spark)
     families = components(chains)
     unstage(chains)

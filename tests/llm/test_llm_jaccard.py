@@ -29,6 +29,34 @@ def test_empty_table_and_texts_without_words(spark):
     assert _got(trees.jaccard_components(documents(spark, rows), 3, 90)) == {i: (0, i) for i, _ in rows}
 
 
+def test_rows_without_an_id_or_with_a_repeated_one(spark):
+    long = " ".join(f"w{i}" for i in range(100))
+    near = long + " end"
+    rows = [(None, near), (7, long), (5, "some other text"), (5, long), (None, "none has an id"), (7, long), (3, None), (None, "")]
+    found = trees.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+    got = sorted((tuple(r) for r in found.collect()), key=str)
+    want = [(None, 99, 5), (7, 98, 5), (5, 1, 5), (5, 98, 5), (None, 2, None), (7, 98, 5), (3, 0, 3), (None, 0, None)]
+    assert got == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("held", [1, 40])
+def test_small_batches_of_keys_and_large_families(spark, monkeypatch, held):
+    monkeypatch.setattr(trees, "BLOCK", 8)
+    monkeypatch.setattr(trees, "HELD_KEYS", held)
+    line = " ".join(f"common{i}" for i in range(20))
+    rows = [(i, f"{t or ''} {line}") for i, t in copies(held, groups=12)]
+    got = _got(trees.jaccard_components(documents(spark, rows), 5, 80))
+    assert got == jaccard_components(rows, 5, 80)
+
+
+def test_very_long_texts(spark):
+    words = [f"w{i % 7919}x{i % 31}" for i in range(150_000)]
+    rows = [(2, " ".join(words)), (1, " ".join([*words[:-500], "other", "end"])), (3, "x" * 1_000_000), (4, " ".join(words[:1000]))]
+    got = _got(trees.jaccard_components(documents(spark, rows), 3, 90))
+    assert got == jaccard_components(rows, 3, 90)
+    assert got[2][1] == 1
+
+
 def test_sets_are_those_of_the_words():
     texts = [t for _, t in copies(3)] + ["é É É É", "a" * 5000 + " b c", "\x1ca b\x85c d"]
     column = pa.array(texts)
