@@ -10,13 +10,15 @@ distinct word shingles. Steps, each a Spark job over whole tables:
    ``n - ceil(percent * n / 100) + 1`` tokens of either, in any one order of all
    tokens. Rarest come first, so a shared line or passage connects little. Sets
    that share such a token are linked to the smallest of them, first among the
-   sets a task holds, then over one row per key and batch of sets; components
-   of these links are the trees' families: every link lies within one family.
-   Families of more than a block are routed anew by pigeonhole: linked sets
-   differ in at most D tokens; split the hash space into D + 1 + E segments and
-   at least E + 1 segments agree. A set with at most E empty segments needs
-   keys for non-empty ones only. Sizes are banded so that both sides use the
-   same split.
+   sets a task holds, then over one row per key and batch of sets. Sizes are
+   banded, a set taking part in the bands that the smaller set of a link may
+   have, so that a long text connects no short ones. Components of these links
+   are the trees' families: every link lies within one family.
+   Families of more than a block are routed anew by the tokens that are rare
+   among their members, and by pigeonhole: linked sets differ in at most D
+   tokens; split the hash space into D + 1 + E segments and at least E + 1
+   segments agree. A set with at most E empty segments needs keys for non-empty
+   ones only.
 3. A family is cut into blocks of bounded size. A task bulk-loads a signature
    tree per block (leaves: token bitmap and size; nodes: OR of their children's
    bitmaps, and size ranges), traverses the tree against itself level by level,
@@ -55,8 +57,10 @@ BAND = 1.5
 #: Counters that order tokens by how rare they are.
 SLOTS = 1 << 18
 #: Routing keys that a task holds and links among themselves at a time.
-HELD_KEYS = 1 << 20
-SETS_SCHEMA = "doc_id long, n long, d1 long, d2 long, slot int, c long"
+HELD_KEYS = 1 << 18
+#: How families of more than a block are routed anew, one way after the other.
+REROUTE = ("rare", "segments")
+SETS_SCHEMA = "doc_id long, n long, d1 long, d2 long, low int, high int, slot int, c long"
 SETS_NAMES = [c.split()[0] for c in SETS_SCHEMA.split(", ")]
 
 
@@ -79,6 +83,12 @@ def _band_of(n: int) -> int:
     return b
 
 
+def bands(n: int, percent: int) -> range:
+    """Bands of the sizes that the smaller set of a link may have, if a set of
+    ``n`` tokens is one of the two: both are in the band of the smaller."""
+    return range(_band_of(-(-percent * n // 100)), _band_of(n) + 1) if n else range(0)
+
+
 @lru_cache(maxsize=4096)
 def band_split(b: int, percent: int) -> tuple[int, int]:
     """(segments, empty segments allowed) for pairs whose smaller set is in band ``b``."""
@@ -99,7 +109,7 @@ def routing_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
     n, out = len(tokens), []
     if not n:
         return np.empty(0, np.int64)
-    for b in range(_band_of(-(-percent * n // 100)), _band_of(n) + 1):
+    for b in bands(n, percent):
         segments, spare = band_split(b, percent)
         where = (mix(tokens ^ np.uint64(0x452821E638D01377)) % np.uint64(segments)).astype(np.int64)
         sums = np.zeros(segments, np.uint64)
@@ -123,7 +133,7 @@ def rare_tokens(tokens: np.ndarray, counts: np.ndarray, percent: int) -> np.ndar
     return tokens[np.lexsort((tokens, counts[_slot(tokens)]))[:most]]
 
 
-def _hash_sets(size: int):
+def _hash_sets(size: int, percent: int):
     """Rows of texts → a row per text (``slot`` null), and after them how many of
     the task's sets hold a token of each counter's slot."""
 
@@ -142,87 +152,115 @@ def _hash_sets(size: int):
                     counts += np.bincount(_slot(np.concatenate(held)), minlength=SLOTS)
                     held, tokens_held = [], 0
             counts += np.bincount(_slot(np.concatenate([*held, np.empty(0, np.uint64)])), minlength=SLOTS)
+            spans = [bands(k, percent) for k in n]
+            low, high = (pa.array(c, pa.int32()) for c in ([r.start for r in spans], [r.stop - 1 for r in spans]))
             none = pa.nulls(len(n))
-            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), none.cast(pa.int32()), none.cast(pa.int64())]
+            columns = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (n, d1, d2)), low, high, none.cast(pa.int32()), none.cast(pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, SETS_NAMES)
         at = np.flatnonzero(counts)
-        none = pa.nulls(len(at), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(at, pa.int32()), pa.array(counts[at])], SETS_NAMES)
+        none, small = pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int32())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, small, small, pa.array(at, pa.int32()), pa.array(counts[at])], SETS_NAMES)
 
     return run
 
 
-def _star_rows(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-    """(key, v, u): the smallest node of each key with ``u`` null, and links
-    (v, u) of the others to it, under keys that spread them."""
+def _star_rows(keys: np.ndarray, nodes: np.ndarray, parts: np.ndarray) -> pa.RecordBatch:
+    """(key, v, part, u): the smallest node of each key with ``u`` null, and links
+    (v, u) of the others to it, under keys that spread them. A key occurs in one
+    part only."""
     order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
+    keys, nodes, parts = keys[order], nodes[order], parts[order]
     head = np.ones(len(keys), bool)
     head[1:] = keys[1:] != keys[:-1]
     least = nodes[head][np.cumsum(head) - 1] if len(keys) else nodes
-    links = np.unique(np.stack([nodes, least], axis=1)[nodes != least], axis=0)
-    spread = mix(links[:, 0].view(np.uint64) ^ mix(links[:, 1].view(np.uint64))).view(np.int64) if len(links) else links[:, 0]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate([keys[head], spread])),
-            pa.array(np.concatenate([nodes[head], links[:, 0]])),
-            pa.concat_arrays([pa.nulls(int(head.sum()), pa.int64()), pa.array(np.ascontiguousarray(links[:, 1]), pa.int64())]),
-        ],
-        ["key", "v", "u"],
-    )
+    other = nodes != least
+    links = np.unique(np.stack([nodes[other], least[other], parts[other]], axis=1), axis=0)
+    v, u, part = (np.ascontiguousarray(links[:, c]) for c in range(3))
+    spread = mix(v.view(np.uint64) ^ mix(u.view(np.uint64))).view(np.int64)
+    columns = [np.concatenate(c) for c in ((keys[head], spread), (nodes[head], v), (parts[head], part))]
+    last = pa.concat_arrays([pa.nulls(int(head.sum()), pa.int64()), pa.array(u)])
+    return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), last], ["key", "v", "part", "u"])
 
 
-def _route(size: int, keys_of, family: bool):
-    """Rows of texts → :func:`_star_rows` of bounded batches of sets. Nodes are
-    digests, or with ``family`` the ``rep`` of a row, whose keys meet within its
-    family only. Equal sets of a batch give their keys once."""
+def _route(size: int, percent: int, keys_of, family: bool):
+    """Rows of texts → :func:`_star_rows` of bounded batches of sets. Keys meet
+    within a part: without ``family``, nodes are digests and parts the bands of
+    sizes; with it, nodes are the ``rep`` of rows and parts their families. Equal
+    sets of a batch give their keys once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes, seen, held = [], [], set(), 0
+        keys, nodes, parts, seen, held = [], [], [], set(), 0
         for batch in batches:
             given = zip(batch.column("family").to_pylist(), batch.column("rep").to_pylist(), strict=True) if family else None
             for tokens in shingle_sets(batch.column("text"), size):
                 if family:
-                    salt, node = next(given)
+                    part, node = next(given)
+                    within = [part]
                 else:
-                    salt, (node, other) = None, set_digest(tokens)
+                    node, other = set_digest(tokens)
                     if (node, other) in seen:
                         continue
                     seen.add((node, other))
-                own = keys_of(tokens)
-                if family:
-                    own = mix(own.view(np.uint64) + mix(np.array([salt], np.int64).view(np.uint64))).view(np.int64)
-                keys.append(own)
-                nodes.append(np.full(len(own), node, np.int64))
-                held += len(own)
+                    within = bands(len(tokens), percent)
+                own = keys_of(tokens).view(np.uint64)
+                for part in within:
+                    keys.append(mix(own + mix(np.array([part], np.int64).view(np.uint64))).view(np.int64))
+                    nodes.append(np.full(len(own), node, np.int64))
+                    parts.append(np.full(len(own), part, np.int64))
+                    held += len(own)
                 if held >= HELD_KEYS:
-                    yield _star_rows(np.concatenate(keys), np.concatenate(nodes))
-                    keys, nodes, seen, held = [], [], set(), 0
+                    yield _star_rows(*(np.concatenate(c) for c in (keys, nodes, parts)))
+                    keys, nodes, parts, seen, held = [], [], [], set(), 0
         none = np.empty(0, np.int64)
-        yield _star_rows(np.concatenate([*keys, none]), np.concatenate([*nodes, none]))
+        yield _star_rows(*(np.concatenate([*c, none]) for c in (keys, nodes, parts)))
 
     return run
 
 
-def _links(rows: DataFrame, size: int, keys_of, family: bool = False) -> DataFrame:
-    """Distinct (u, v) that connect all sets sharing a key: one shuffle, in which a
-    key has a row per batch of sets at most."""
-    found = rows.mapInArrow(_route(size, keys_of, family), "key long, v long, u long")
+def _links(rows: DataFrame, size: int, percent: int, keys_of, family: bool = False) -> DataFrame:
+    """Distinct (u, v) that connect all (node, part) sharing a key, as their
+    ``xxhash64``: one shuffle, in which a key has a row per batch of sets at most."""
+    found = rows.mapInArrow(_route(size, percent, keys_of, family), "key long, v long, part long, u long")
     least = F.first("v").over(Window.partitionBy("key", F.col("u").isNull()).orderBy("v"))
-    return found.select(F.coalesce("u", least).alias("u"), "v").where("u <> v").distinct()
+    pairs = found.select(F.coalesce("u", least).alias("u"), "v", "part").where("u <> v")
+    return pairs.select(F.xxhash64("u", "part").alias("u"), F.xxhash64("v", "part").alias("v")).distinct()
 
 
-def _refined(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Staged (rep, family, members): families of more than a block split by
-    segments that agree; members that share none are left out, they link with
-    nothing."""
-    texts = stage(_with_text(members, docs).select("family", "rep", "text"), "family_texts")
-    edges = stage(_links(texts, size, lambda tokens: routing_keys(tokens, percent), family=True), "segment_links")
-    unstage(texts)
+def _rare_of(spark, counts: np.ndarray, percent: int):
+    shared = spark.sparkContext.broadcast(counts.tobytes())
+
+    def keys_of(tokens: np.ndarray) -> np.ndarray:
+        return rare_tokens(tokens, np.frombuffer(shared.value, np.int64), percent).view(np.int64)
+
+    return keys_of
+
+
+def _segments_of(percent: int):
+    return lambda tokens: routing_keys(tokens, percent)
+
+
+def _counted(members: DataFrame, name: str) -> DataFrame:
+    """Staged (rep, family, members) of families of two members or more."""
+    many = members.groupBy("family").agg(F.count("*").alias("members")).where("members > 1")
+    return stage(members.join(many, "family").select("rep", "family", "members"), name)
+
+
+def _refined(members: DataFrame, texts: DataFrame, size: int, percent: int, by: str) -> DataFrame:
+    """Staged (rep, family, members): families of more than a block split by keys
+    that members share; members that share none are left out, they link with
+    nothing. Rarity is counted over these members only, which tells rare tokens
+    apart that the counters of all documents mixed."""
+    spark = texts.sparkSession
+    held = texts.join(members.select("rep", "family"), "rep")
+    if by == "rare":
+        counted = held.select(F.col("rep").alias("doc_id"), "text").mapInArrow(_hash_sets(size, percent), SETS_SCHEMA)
+        keys_of = _rare_of(spark, _counters(counted), percent)
+    else:
+        keys_of = _segments_of(percent)
+    edges = stage(_links(held, size, percent, keys_of, family=True), "family_links")
     split = components(edges)
-    out = members.select("rep", "family").join(split, F.col("rep") == F.col("node"))
-    out = out.select("rep", F.xxhash64("family", "root").alias("family"))
-    out = stage(out.join(out.groupBy("family").agg(F.count("*").alias("members")), "family").select("rep", "family", "members"), "refined")
+    out = members.withColumn("node", F.xxhash64("rep", "family")).join(split, "node")
+    out = _counted(out.select("rep", F.xxhash64("family", "root").alias("family")), "refined")
     unstage(edges, split)
     return out
 
@@ -515,45 +553,52 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
-    hashed = stage(docs.mapInArrow(_hash_sets(size), SETS_SCHEMA), "sets")
-    sets = hashed.where("slot is null").select("doc_id", "n", "d1", "d2")
+    hashed = stage(docs.mapInArrow(_hash_sets(size, percent), SETS_SCHEMA), "sets")
+    sets = hashed.where("slot is null").select("doc_id", "n", "d1", "d2", "low", "high")
     if not sets.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
         unstage(hashed)
         return _rows_of_their_own(docs, size, percent)
 
-    shared = spark.sparkContext.broadcast(_counters(hashed).tobytes())
-    rare = lambda tokens: rare_tokens(tokens, np.frombuffer(shared.value, np.int64), percent).view(np.int64)
-    chains = stage(_links(docs, size, rare), "chains")
+    chains = stage(_links(docs, size, percent, _rare_of(spark, _counters(hashed), percent)), "chains")
     release(spark)
     families = components(chains)
     unstage(chains)
 
-    nodes = sets.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
-    member = nodes.join(families, F.col("d1") == F.col("node")).select("rep", F.col("root").alias("family"))
-    member = stage(member.join(member.groupBy("family").agg(F.count("*").alias("members")), "family"), "members")
-
+    nodes = sets.where("n > 0").groupBy("d1", "d2", "n", "low", "high").agg(F.min("doc_id").alias("rep"))
+    banded = nodes.select("rep", "d1", F.explode(F.sequence(F.col("low").cast("long"), F.col("high").cast("long"))).alias("part"))
+    banded = banded.select("rep", F.xxhash64("d1", "part").alias("node"))
+    member = _counted(banded.join(families, "node").select("rep", F.col("root").alias("family")), "members")
     release(spark)
 
-    large = member.where(F.col("members") > BLOCK)
-    if not large.isEmpty():
-        refined = _refined(large, docs, size, percent)
+    # The texts of large families are fetched once; each routing works on what the last left large.
+    texts = None
+    for by in REROUTE:
+        large = member.where(F.col("members") > BLOCK)
+        if large.isEmpty():
+            break
+        texts = texts or stage(_with_text(large.select("rep").distinct(), docs), "family_texts")
+        refined = _refined(large, texts, size, percent, by)
         whole = member.where(F.col("members") <= BLOCK).select("rep", "family", "members")
         routed = stage(whole.unionByName(refined), "routed")
         unstage(member, refined)
         member = routed
         release(spark)
+    if texts is not None:
+        unstage(texts)
 
     small = member.where(F.col("members") <= BLOCK).withColumn("block", F.lit(0).cast("long"))
     rows = small.unionByName(_blocked(member.where(F.col("members") > BLOCK)))
     roots = stage(_joined(_with_text(rows, docs).select("family", "block", "rep", "text"), size, percent), "block_roots")
     release(spark)
 
+    # A set may be in a family of each of its bands: what they connect is one graph.
+    edges = roots.select(F.col("rep").alias("u"), F.col("root").alias("v"))
     large = member.where(F.col("members") > BLOCK)
-    found = roots.join(large.select("rep"), "rep", "left_anti").select("rep", "root")
     if not large.isEmpty():
-        of_large = stage(roots.join(large.select("rep"), "rep", "left_semi"), "large_roots")
-        found = found.unionByName(_large_families(of_large, large, docs, size, percent))
+        of_large = stage(roots.join(large.select("family").distinct(), "family", "left_semi"), "large_roots")
+        edges = edges.unionByName(_large_families(of_large, large, docs, size, percent).select(F.col("rep").alias("u"), F.col("root").alias("v")))
     release(spark)
+    found = components(edges).select(F.col("node").alias("rep"), "root")
     per_set = nodes.join(found, "rep", "left").select("d1", "d2", "n", F.coalesce("root", "rep").alias("component_id"))
     of_docs = sets.select("doc_id", "n", "d1", "d2")
     return of_docs.join(per_set, ["d1", "d2", "n"], "left").select(
