@@ -6,19 +6,22 @@ distinct word shingles. Steps, each a Spark job over whole tables:
 1. One pass over the texts hashes every shingle set (numpy on Arrow buffers)
    into a digest, and counts tokens in counters of bounded number. Equal sets
    share a digest, so copies are one node from here on.
-2. Routing is exact (prefix filter): two sets that link share one of the first
+2. Routing is exact, by one of two rules. Sets that share a key are linked to the
+   smallest of them; components of these links are the trees' families: every link
+   lies within one family. Sizes are banded, a set taking part in the bands that
+   the smaller set of a link may have, so that a long text connects no short ones.
+   Pigeonhole: linked sets differ in at most D tokens; split the hash space into
+   D + 1 + E segments and at least E + 1 segments agree. A set with at most E empty
+   segments needs keys for non-empty ones only. A segment holds about
+   ``percent / (100 - percent)`` tokens; from SEGMENT_TOKENS on this rule comes first,
+   since few strangers agree on so many.
+   Prefix filter, below that: linked sets share one of the first
    ``n - ceil(percent * n / 100) + 1`` tokens of either, in any one order of all
-   tokens. Rarest come first, so a shared line or passage connects little. Sets
-   that share such a token are linked to the smallest of them, first among the
-   sets a task holds, then over one row per key and batch of sets. Sizes are
-   banded, a set taking part in the bands that the smaller set of a link may
-   have, so that a long text connects no short ones. Components of these links
-   are the trees' families: every link lies within one family.
+   tokens. Rarest come first, so a shared line or passage connects little: tokens
+   are counted exactly, one shuffle of (token, set), but for those whose counter is
+   far above the mean; these come last, so no token's rows grow into one task.
    Families of more than a block are routed anew by the tokens that are rare
-   among their members, and by pigeonhole: linked sets differ in at most D
-   tokens; split the hash space into D + 1 + E segments and at least E + 1
-   segments agree. A set with at most E empty segments needs keys for non-empty
-   ones only.
+   among their members, and by pigeonhole.
 3. A family is cut into blocks of bounded size. A task bulk-loads a signature
    tree per block (leaves: token bitmap and size; nodes: OR of their children's
    bitmaps, and size ranges), traverses the tree against itself level by level,
@@ -56,11 +59,15 @@ FANOUT = 4
 BAND = 1.5
 #: Counters that order tokens by how rare they are.
 SLOTS = 1 << 18
+SPARE = 64
 #: Routing keys that a task holds and links among themselves at a time.
 HELD_KEYS = 1 << 18
+#: Tokens of a segment from which on sets are routed by segments first.
+SEGMENT_TOKENS = 8
 #: How families of more than a block are routed anew, one way after the other.
 REROUTE = ("rare", "segments")
 SETS_SCHEMA = "doc_id long, n long, d1 long, d2 long, low int, high int, slot int, c long"
+STARS_SCHEMA = "key long, v long, part long, u long"
 SETS_NAMES = [c.split()[0] for c in SETS_SCHEMA.split(", ")]
 
 
@@ -126,11 +133,13 @@ def _slot(tokens: np.ndarray) -> np.ndarray:
     return (mix(tokens ^ np.uint64(0x3C6EF372FE94F82B)) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
+def prefix_length(n: int, percent: int) -> int:
+    return n - -(-percent * n // 100) + 1 if n else 0
+
+
 def rare_tokens(tokens: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     """The tokens of a set that a linked set may share first, rarest ones first."""
-    n = len(tokens)
-    most = n - -(-percent * n // 100) + 1
-    return tokens[np.lexsort((tokens, counts[_slot(tokens)]))[:most]]
+    return tokens[np.lexsort((tokens, counts[_slot(tokens)]))[: prefix_length(len(tokens), percent)]]
 
 
 def _hash_sets(size: int, percent: int):
@@ -182,11 +191,12 @@ def _star_rows(keys: np.ndarray, nodes: np.ndarray, parts: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), last], ["key", "v", "part", "u"])
 
 
-def _route(size: int, percent: int, keys_of, family: bool):
+def _route(size: int, percent: int, keys_of, by: str):
     """Rows of texts → :func:`_star_rows` of bounded batches of sets. Keys meet
-    within a part: without ``family``, nodes are digests and parts the bands of
-    sizes; with it, nodes are the ``rep`` of rows and parts their families. Equal
-    sets of a batch give their keys once."""
+    within a part: by ``family``, nodes are the ``rep`` of rows and parts their
+    families; else nodes are digests and parts the ``band`` of sizes, or all one
+    where the keys tell bands apart. Equal sets of a batch give their keys once."""
+    family = by == "family"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes, parts, seen, held = [], [], [], set(), 0
@@ -201,7 +211,7 @@ def _route(size: int, percent: int, keys_of, family: bool):
                     if (node, other) in seen:
                         continue
                     seen.add((node, other))
-                    within = bands(len(tokens), percent)
+                    within = bands(len(tokens), percent) if by == "band" else [0]
                 own = keys_of(tokens).view(np.uint64)
                 for part in within:
                     keys.append(mix(own + mix(np.array([part], np.int64).view(np.uint64))).view(np.int64))
@@ -217,15 +227,107 @@ def _route(size: int, percent: int, keys_of, family: bool):
     return run
 
 
-def _links(rows: DataFrame, size: int, percent: int, keys_of, family: bool = False) -> DataFrame:
+def _stars(found: DataFrame) -> DataFrame:
     """Distinct (u, v) that connect all (node, part) sharing a key, as their
     ``xxhash64``: one shuffle, in which a key has a row per batch of sets at most."""
-    found = rows.mapInArrow(_route(size, percent, keys_of, family), "key long, v long, part long, u long")
     least = F.first("v").over(Window.partitionBy("key", F.col("u").isNull()).orderBy("v"))
     pairs = found.select(F.coalesce("u", least).alias("u"), "v", "part").where("u <> v")
     return pairs.select(F.xxhash64("u", "part").alias("u"), F.xxhash64("v", "part").alias("v")).distinct()
 
 
+def _links(rows: DataFrame, size: int, percent: int, keys_of, by: str) -> DataFrame:
+    return _stars(rows.mapInArrow(_route(size, percent, keys_of, by), STARS_SCHEMA))
+
+
+def _plain_tokens(size: int, percent: int, shared, limit: int):
+    """Rows of texts → (token, node, n, room) of the tokens that are to be counted,
+    equal sets of a batch once. Of a set's tokens that others hold too, all but the
+    ``room`` most frequent ones are keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.frombuffer(shared.value, np.int64)
+        names = ["token", "node", "n", "room"]
+        for batch in batches:
+            held, rows, seen = 0, [], set()
+            for tokens in shingle_sets(batch.column("text"), size):
+                digest = set_digest(tokens)
+                if digest in seen:
+                    continue
+                seen.add(digest)
+                plain = tokens[counts[_slot(tokens)] <= limit]
+                n, m = len(tokens), len(plain)
+                rows.append((plain, digest[0], n, m - prefix_length(n, percent)))
+                held += m
+                if held >= HELD_KEYS:
+                    yield _token_rows(rows, names)
+                    held, rows = 0, []
+            yield _token_rows(rows, names)
+
+    return run
+
+
+def _token_rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    lengths = [len(r[0]) for r in rows]
+    tokens = np.concatenate([*(r[0] for r in rows), np.empty(0, np.uint64)]).view(np.int64)
+    rest = [np.repeat(np.array([r[k] for r in rows], t), lengths) for k, t in ((1, np.int64), (2, np.int64), (3, np.int64))]
+    return pa.RecordBatch.from_arrays([pa.array(tokens), *(pa.array(c) for c in rest)], names)
+
+
+def _held_by_several(percent: int):
+    """Rows in order of (token, node) → tokens of two nodes or more, with their
+    count ``c`` of nodes and the bands of each node."""
+
+    def found(cols: list[np.ndarray]) -> pa.RecordBatch:
+        token, node, n, room = cols
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+        token, node, n, room = (c[new] for c in cols)
+        starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(token)), bool), token[1:] != token[:-1]]))
+        sizes = np.diff(np.append(starts, len(token)))
+        c = np.repeat(sizes, sizes)
+        keep = c > 1
+        token, node, n, room, c = (x[keep] for x in (token, node, n, room, c))
+        kinds, at = np.unique(n, return_inverse=True)
+        spans = [bands(k, percent) for k in kinds.tolist()]
+        low, high = (np.array(x, np.int64)[at] for x in ([r.start for r in spans], [r.stop - 1 for r in spans]))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (token, node, room, c, low, high)], ["token", "node", "room", "c", "low", "high"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * 4
+        for batch in batches:
+            held = [np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held)]
+            if len(held[0]):
+                cut = int(np.searchsorted(held[0], held[0][-1]))  # the last token may go on
+                if cut:
+                    yield found([h[:cut] for h in held])
+                    held = [h[cut:] for h in held]
+        yield found(held)
+
+    return run
+
+
+def _prefix_links(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """:func:`_stars` of all sets by the prefix filter, tokens ordered by how many
+    sets hold them. Counters above twice their mean (and SPARE) hold the tokens that
+    come last; a token below has no more rows than that."""
+    limit = 2 * int(counts.sum()) // SLOTS + SPARE
+    shared = docs.sparkSession.sparkContext.broadcast(counts.tobytes())
+
+    def last_ones(tokens: np.ndarray) -> np.ndarray:
+        of = np.frombuffer(shared.value, np.int64)
+        first = rare_tokens(tokens, of, percent)
+        return first[of[_slot(first)] > limit].view(np.int64)
+
+    rows = docs.mapInArrow(_plain_tokens(size, percent, shared, limit), "token long, node long, n long, room long")
+    rows = rows.repartition("token").sortWithinPartitions("token", "node")
+    several = rows.mapInArrow(_held_by_several(percent), "token long, node long, room long, c long, low long, high long")
+    turn = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), F.desc("token")))
+    kept = several.withColumn("turn", turn).where("turn > room")
+    kept = kept.select("token", F.col("node").alias("v"), F.explode(F.sequence("low", "high")).alias("part"))
+    kept = kept.select(F.xxhash64("token", "part").alias("key"), "v", "part", F.lit(None).cast("long").alias("u"))
+    return _stars(kept.unionByName(docs.mapInArrow(_route(size, percent, last_ones, "band"), STARS_SCHEMA)))
+
+
 def _rare_of(spark, counts: np.ndarray, percent: int):
     shared = spark.sparkContext.broadcast(counts.tobytes())
 
@@ -257,7 +359,7 @@ def _refined(members: DataFrame, texts: DataFrame, size: int, percent: int, by:
         keys_of = _rare_of(spark, _counters(counted), percent)
     else:
         keys_of = _segments_of(percent)
-    edges = stage(_links(held, size, percent, keys_of, family=True), "family_links")
+    edges = stage(_links(held, size, percent, keys_of, "family"), "family_links")
     split = components(edges)
     out = members.withColumn("node", F.xxhash64("rep", "family")).join(split, "node")
     out = _counted(out.select("rep", F.xxhash64("family", "root").alias("family")), "refined")
@@ -559,13 +661,19 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         unstage(hashed)
         return _rows_of_their_own(docs, size, percent)
 
-    chains = stage(_links(docs, size, percent, _rare_of(spark, _counters(hashed), percent)), "chains")
+    by_segments = percent >= SEGMENT_TOKENS * (100 - percent)
+    if by_segments:
+        links = _links(docs, size, percent, _segments_of(percent), "all")
+    else:
+        links = _prefix_links(docs, size, percent, _counters(hashed))
+    chains = stage(links, "chains")
     release(spark)
     families = components(chains)
     unstage(chains)
 
     nodes = sets.where("n > 0").groupBy("d1", "d2", "n", "low", "high").agg(F.min("doc_id").alias("rep"))
-    banded = nodes.select("rep", "d1", F.explode(F.sequence(F.col("low").cast("long"), F.col("high").cast("long"))).alias("part"))
+    parts = F.array(F.lit(0).cast("long")) if by_segments else F.sequence(F.col("low").cast("long"), F.col("high").cast("long"))
+    banded = nodes.select("rep", "d1", F.explode(parts).alias("part"))
     banded = banded.select("rep", F.xxhash64("d1", "part").alias("node"))
     member = _counted(banded.join(families, "node").select("rep", F.col("root").alias("family")), "members")
     release(spark)
