@@ -560,10 +560,9 @@ def _blocked(df: DataFrame, count: str = "members") -> DataFrame:
     return df.withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col(count) / BLOCK)).cast("long"))
 
 
-def _with_text(members: DataFrame, docs: DataFrame) -> DataFrame:
+def _with_text(members: DataFrame, texts: DataFrame) -> DataFrame:
     """A sort-merge join at every size: members grow with the input, so they are
     never broadcast."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
     return members.hint("merge").join(texts, "rep")
 
 
@@ -571,12 +570,12 @@ def _joined(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return _in_order(rows, "family", "block").mapInArrow(_join_blocks(size, percent), "family long, rep long, root long")
 
 
-def _large_families(roots: DataFrame, members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _large_families(roots: DataFrame, members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(rep, root) of families of several blocks, from their blocks' roots.
 
     ``roots``: staged (family, rep, root) of all members of such families.
     """
-    texts = stage(_with_text(members, docs).select("family", "rep", "text"), "family_texts")
+    texts = stage(_with_text(members, texts).select("family", "rep", "text"), "family_texts")
     links = [roots.select(F.col("rep").alias("u"), F.col("root").alias("v")).where("u <> v")]
     staged, tops = [], roots.select("family", F.col("root").alias("rep")).distinct()
     while True:
@@ -598,7 +597,7 @@ def _large_families(roots: DataFrame, members: DataFrame, docs: DataFrame, size:
     now = members.select("family", "rep", "members").join(first.select(F.col("node").alias("rep"), "root"), "rep", "left")
     now = stage(now.withColumn("root", F.coalesce("root", "rep")), "family_now")
 
-    release(docs.sparkSession)
+    release(members.sparkSession)
 
     # What is still apart: all but each family's largest component, against all blocks.
     sizes = now.groupBy("family", "root").agg(F.count("*").alias("c"))
@@ -678,25 +677,27 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     member = _counted(banded.join(families, "node").select("rep", F.col("root").alias("family")), "members")
     release(spark)
 
-    # The texts of large families are fetched once; each routing works on what the last left large.
-    texts = None
+    # One shuffle of all texts finds those of members; what follows reads these only.
+    texts = stage(_with_text(member.select("rep").distinct(), docs.select(F.col("doc_id").alias("rep"), "text")), "member_texts")
+    release(spark)
+
+    # Each routing works on what the last left large.
     for by in REROUTE:
         large = member.where(F.col("members") > BLOCK)
+        if by_segments and by == "segments":  # the same keys once more
+            continue
         if large.isEmpty():
             break
-        texts = texts or stage(_with_text(large.select("rep").distinct(), docs), "family_texts")
         refined = _refined(large, texts, size, percent, by)
         whole = member.where(F.col("members") <= BLOCK).select("rep", "family", "members")
         routed = stage(whole.unionByName(refined), "routed")
         unstage(member, refined)
         member = routed
         release(spark)
-    if texts is not None:
-        unstage(texts)
 
     small = member.where(F.col("members") <= BLOCK).withColumn("block", F.lit(0).cast("long"))
     rows = small.unionByName(_blocked(member.where(F.col("members") > BLOCK)))
-    roots = stage(_joined(_with_text(rows, docs).select("family", "block", "rep", "text"), size, percent), "block_roots")
+    roots = stage(_joined(_with_text(rows, texts).select("family", "block", "rep", "text"), size, percent), "block_roots")
     release(spark)
 
     # A set may be in a family of each of its bands: what they connect is one graph.
@@ -704,7 +705,8 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     large = member.where(F.col("members") > BLOCK)
     if not large.isEmpty():
         of_large = stage(roots.join(large.select("family").distinct(), "family", "left_semi"), "large_roots")
-        edges = edges.unionByName(_large_families(of_large, large, docs, size, percent).select(F.col("rep").alias("u"), F.col("root").alias("v")))
+        edges = edges.unionByName(_large_families(of_large, large, texts, size, percent).select(F.col("rep").alias("u"), F.col("root").alias("v")))
+    unstage(texts)
     release(spark)
     found = components(edges).select(F.col("node").alias("rep"), "root")
     per_set = nodes.join(found, "rep", "left").select("d1", "d2", "n", F.coalesce("root", "rep").alias("component_id"))
