@@ -101,6 +101,29 @@ def test_linked_sets_share_a_rare_token(percent):
     assert found > 200
 
 
+@pytest.mark.parametrize("batch", [1, 3, 1000])
+def test_tokens_held_by_several_nodes_across_batches(batch):
+    rng = np.random.default_rng(batch)
+    rows = sorted(zip(rng.integers(-9, 9, 60).tolist(), rng.integers(-5, 5, 60).tolist(), strict=True))
+    names = ["token", "node", "n", "room"]
+    cut = [rows[i : i + batch] for i in range(0, len(rows), batch)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*((t, v, v + 10, 2) for t, v in part), strict=True)], names) for part in cut]
+    got = [r for out in trees._held_by_several(80)(iter(batches)) for r in out.to_pylist()]
+    nodes = {t: {v for u, v in rows if u == t} for t, _ in rows}
+    want = [(t, v, len(nodes[t])) for t, v in sorted(set(rows)) if len(nodes[t]) > 1]
+    assert [(r["token"], r["node"], r["c"]) for r in got] == want
+    assert all(range(r["low"], r["high"] + 1) == trees.bands(r["node"] + 10, 80) and r["room"] == 2 for r in got)
+    assert not [r for out in trees._held_by_several(80)(iter([])) for r in out.to_pylist()]
+
+
+@pytest.mark.parametrize("spare", [0, 3])
+def test_frequent_tokens_come_last_without_loss(spark, monkeypatch, spare):
+    monkeypatch.setattr(trees, "SPARE", spare)
+    line = " ".join(f"common{i}" for i in range(20))
+    rows = [(i, f"{t or ''} {line}") for i, t in copies(spare, groups=12)]
+    assert _got(trees.jaccard_components(documents(spark, rows), 5, 80)) == jaccard_components(rows, 5, 80)
+
+
 def test_words_of_algebraic_structure_hash_apart():
     word = "a"
     while len(word) < 8192:
