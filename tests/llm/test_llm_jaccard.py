@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from cinelake.llm import signature_tree as trees
-from cinelake.llm.graph import components
+from cinelake.llm.graph import _forests, components, spanning_forest
 from cinelake.llm.text import shingle_sets, word_counts
 from tests.llm.helpers import WORD, copies, documents, jaccard_components, shingles
 
@@ -155,3 +155,26 @@ def test_components_of_chains_stars_and_nothing(spark):
     rows = components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {r.node: r.root for r in rows} == {**{i: 10 for i in range(10, 61)}, **{i: 5 for i in [5, *range(100, 140)]}}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 7, 1000])
+def test_components_with_more_edges_than_a_task_holds(spark, most):
+    rng = np.random.default_rng(most)
+    edges = rng.integers(-60, 60, (90, 2)).tolist() + [(1000 + i, 1001 + i) for i in range(30)] + [(5000, i) for i in range(4900, 4960)]
+    rows = components(spark.createDataFrame(edges, "u long, v long").repartition(5), most=most).collect()
+    root = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in root:
+        for u, v in edges:
+            if u != v:
+                root[u] = root[v] = min(root[u], root[v])
+    assert sorted((r.node, r.root) for r in rows) == sorted(root.items())
+
+
+def test_many_keys_of_the_same_nodes_leave_an_edge_per_node():
+    # 200 copies that meet under each of 50 keys, at another smallest node.
+    edges = np.array([(i, k) for k in range(50) for i in range(k + 1, 200)], np.int64)
+    u, v = spanning_forest(edges[:, 0], edges[:, 1])
+    assert u.tolist() == list(range(1, 200)) and not v.any()
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in part.T], ["u", "v"]) for part in np.array_split(edges, 9)]
+    assert sum(b.num_rows for b in _forests(1 << 18, False)(iter(batches))) == 199
+    assert not spanning_forest(edges[:0, 0], edges[:0, 1])[0].size
