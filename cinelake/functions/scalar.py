@@ -109,6 +109,12 @@ def parsed_number(col: str | Column) -> Column:
     return F.when(c.rlike(_DECIMAL_TEXT), F.trim(c).try_cast(T.DoubleType()))
 
 
+def _short_decimal(c: Column, dtype: T.DecimalType) -> Column:
+    """Whether text is plain digits whose value surely fits ``dtype``: cast as it is,
+    since so few digits come through a double unchanged."""
+    return c.rlike(rf"^[0-9]{{1,{dtype.precision - dtype.scale - 1}}}(\.[0-9]{{1,9}})?\z")
+
+
 def to_int_truncating(col: str | Column) -> Column:
     """Numeric coercion: unparseable → NULL, fractions truncated toward zero."""
     return parsed_number(col).cast(T.IntegerType())
@@ -119,12 +125,12 @@ def to_decimal_strict(col: str | Column, dtype: T.DecimalType) -> Column:
 
     Going through double first keeps ``'7.85'`` → ``7.9`` (half away from
     zero) and lets an overflow surface as an error instead of a silent NULL.
-    A value in plain notation is matched once.
+    A value in plain notation is matched once, and one of few digits is cast directly.
     """
     c = _c(col)
     value = F.trim(c).try_cast(T.DoubleType()).cast(dtype)
     refused = F.raise_error(F.concat(F.lit("not a finite number: "), c)).cast(dtype)
-    return F.when(c.rlike(_DECIMAL_TEXT), value).when(c.rlike(_INFINITE_TEXT), refused)
+    return F.when(_short_decimal(c, dtype), c.cast(dtype)).when(c.rlike(_DECIMAL_TEXT), value).when(c.rlike(_INFINITE_TEXT), refused)
 
 
 def to_score(col: str | Column) -> Column:
@@ -151,7 +157,7 @@ def strict_int(col: str | Column, what: str, numeric: bool = False) -> Column:
 
     ``numeric`` also takes numbers written otherwise whose value is whole
     (``3.0``, ``1e2``), as the warehouse loader does; the application loader
-    takes digits only.
+    takes digits only. Up to nine digits, nearly every key, need no double.
     """
     c = _c(col)
     missing = F.raise_error(F.lit(f"missing {what}")).cast(T.IntegerType())
@@ -159,7 +165,8 @@ def strict_int(col: str | Column, what: str, numeric: bool = False) -> Column:
         return F.when(c.isNull(), missing).otherwise(c.cast(T.IntegerType()))
     value = parsed_number(c)
     refused = F.raise_error(F.concat(F.lit(f"not a whole number for {what}: "), c)).cast(T.IntegerType())
-    return F.when(c.isNull(), missing).when(value == F.floor(value), value.cast(T.IntegerType())).otherwise(refused)
+    whole = F.when(value == F.floor(value), value.cast(T.IntegerType())).otherwise(refused)
+    return F.when(c.isNull(), missing).when(c.rlike(r"^[0-9]{1,9}\z"), c.cast(T.IntegerType())).otherwise(whole)
 
 
 _WHOLE_TEXT = r"^\s*[+-]?[0-9]+\s*$"

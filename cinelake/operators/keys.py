@@ -96,10 +96,13 @@ def number_in_scan_order(
     are not contiguous (rows filtered out after ``row_col`` was taken, or moved by
     a shuffle) are an error; use ``dense_index`` for such rows.
     """
-    place = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
-    tagged, scanned = materialize_counted(df.withColumn(_MID, place), "scan-order")
+    # The place is written once: under its own name, or as ``_MID`` where taken here.
+    place, added = (_MID, [_MID]) if row_col is None else (row_col, [])
+    if added:
+        df = df.withColumn(_MID, F.monotonically_increasing_id())
+    tagged, scanned = materialize_counted(df, "scan-order")
     splits = tagged.groupBy(*split_cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(_MID).alias("_base"), F.max(_MID).alias("_last")
+        F.count(F.lit(1)).alias("_n"), F.min(place).alias("_base"), F.max(place).alias("_last")
     )
     before = Window.orderBy(*split_cols).rowsBetween(Window.unboundedPreceding, -1)
     gap = F.raise_error(F.concat(F.lit("rows of a file split are missing: "), F.col(split_cols[0]))).cast("long")
@@ -115,7 +118,7 @@ def number_in_scan_order(
     side = F.broadcast(offsets) if fits_broadcast(offsets, OFFSETS_BUDGET) else offsets
     # A left join loses no row: one without an offset would have no key.
     keyed = tagged.join(side, list(split_cols), "left")
-    return Numbered(keyed.withColumn(name, F.col("_offset") + F.col(_MID) + F.lit(start)).drop("_offset", _MID), scanned)
+    return Numbered(keyed.withColumn(name, F.col("_offset") + F.col(place) + F.lit(start)).drop("_offset", *added), scanned)
 
 
 def dense_index_in_scan_order(

@@ -50,11 +50,16 @@ def files_by_line_breaks(spark: SparkSession, path: str) -> tuple[list[str], lis
     one piece, which is right, only slower.) One pass over the lines; only file
     names reach the driver, which lists them anyway.
     """
+    lines = spark.read.text(path)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    found = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (quotes % 2 == 1).alias("odd"))
-    files = sorted((unquote(r.file), r.odd) for r in found.groupBy("file").agg(F.max("odd").alias("odd")).collect())
+    # Few lines hold quotes: only these are counted, and only odd ones name their file.
+    odd = lines.where(F.col("value").contains('"') & (quotes % 2 == 1)).select(F.col("_metadata.file_path").alias("file"))
     # Spark reports file names URL-encoded and reads them plain.
-    return [f for f, odd in files if not odd], [f for f, odd in files if odd]
+    broken = {unquote(r.file) for r in odd.distinct().collect()}
+    if not broken:
+        return sorted(unquote(f) for f in lines.inputFiles()), []
+    files = sorted(unquote(r.file) for r in lines.select(F.col("_metadata.file_path").alias("file")).distinct().collect())
+    return [f for f in files if f not in broken], [f for f in files if f in broken]
 
 
 def _read(

@@ -212,3 +212,29 @@ def test_pages_read_of_a_term_are_bounded(spark):
     pages = spark.createDataFrame(pages, "term string, page long, payload string")
     got = select_lake_movies(pages, details, ["Action"], 50, max_pages=SEARCH_PAGES).collect()
     assert sorted(r.imdbID for r in got) == [f"i{p}" for p in range(1, SEARCH_PAGES + 1)]
+
+
+def test_the_copy_in_scan_order_holds_a_place_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "r.csv").write_text("id\n" + "".join(f"{i}\n" for i in range(50)))
+    df = read_lake_csv(spark, str(tmp_path / "r.csv"), with_position=True)
+    kept = []
+    whole = keys.materialize_counted
+    monkeypatch.setattr(keys, "materialize_counted", lambda rows, name: kept.append(rows.columns) or whole(rows, name))
+    assert sorted((r.k, r.id) for r in keys.number_in_scan_order(df, [POS_FILE, POS_SPLIT], POS_ROW, name="k").rows.collect()) == [
+        (i + 1, str(i)) for i in range(50)
+    ]
+    assert kept == [["id", POS_FILE, POS_SPLIT, POS_ROW]]
+
+
+def test_short_numbers_are_cast_as_through_a_double(spark):
+    from cinelake.functions.scalar import _short_decimal, strict_int, to_score
+    from cinelake.schemas import SCORE_TYPE
+
+    texts = ["7.85", "0.005", "8.045", "9.994999999", "8.1234567891", "09.5", " 7.5 ", "7.", ".5", "1e0", "7.5d", "+3", "-2.5", "abc", "", None, "99.9"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    through = F.when(F.col("t").rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), F.trim("t").try_cast("double").cast(SCORE_TYPE))
+    got = rows.select("t", to_score("t").alias("a"), through.alias("b"), _short_decimal(F.col("t"), SCORE_TYPE).alias("short")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+    assert [r.t for r in got if r.short] == ["7.85", "0.005", "8.045", "9.994999999"]
+    whole = spark.createDataFrame([("7",), ("007",), ("999999999",), ("2147483647",), ("3.0",), ("1e2",)], "t string")
+    assert [r[0] for r in whole.select(strict_int("t", "t", True)).collect()] == [7, 7, 999999999, 2147483647, 3, 100]
