@@ -53,3 +53,17 @@ def test_every_row_counts(spark, rows):
     got = block_naming.exact_groups(documents(spark, rows)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
     assert sorted(map(tuple, got.collect()), key=str) == _by_rows(rows)
     assert block_naming.exact_groups(documents(spark, rows).where("doc_id > 9")).count() == 0
+
+
+def test_only_runs_that_change_are_replaced():
+    import random
+    import re
+
+    from cinelake.llm.block_naming import _RUN
+
+    draw = random.Random(7)
+    for _ in range(20_000):
+        text = "".join(draw.choices("  \t\n\x0b\x0c\r\x1c\xa0ab", k=draw.randint(0, 12)))
+        assert re.sub(_RUN, " ", text) == re.sub(r"[\x20\x09-\x0D]+", " ", text)
+    # A space alone, nearly every one of prose, is no match.
+    assert not re.search(_RUN, "a b c d") and re.findall(_RUN, "a  b\tc \n") == ["  ", "\t", " \n"]
