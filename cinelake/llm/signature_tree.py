@@ -60,6 +60,8 @@ BAND = 1.5
 #: Counters that order tokens by how rare they are.
 SLOTS = 1 << 18
 SPARE = 64
+#: Bits of a token's hash that are shuffled to count it, and the count that fits above.
+TOKEN_BITS, MOST_COUNT = 48, (1 << 15) - 1
 #: Routing keys that a task holds and links among themselves at a time.
 HELD_KEYS = 1 << 18
 #: Tokens of a segment from which on sets are routed by segments first.
@@ -240,13 +242,14 @@ def _links(rows: DataFrame, size: int, percent: int, keys_of, by: str) -> DataFr
 
 
 def _plain_tokens(size: int, percent: int, shared, limit: int):
-    """Rows of texts → (token, node, n, room) of the tokens that are to be counted,
-    equal sets of a batch once. Of a set's tokens that others hold too, all but the
-    ``room`` most frequent ones are keys."""
+    """Rows of texts → (token, node, sizes) of the tokens that are to be counted,
+    equal sets of a batch once; ``sizes`` holds n and ``room``. Of a set's tokens that
+    others hold too, all but the ``room`` most frequent ones are keys. A token goes by
+    TOKEN_BITS of its hash: those that meet are one token in every set, and a set has
+    as many keys of them as it had of its own, so this links more and loses nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.frombuffer(shared.value, np.int64)
-        names = ["token", "node", "n", "room"]
         for batch in batches:
             held, rows, seen = 0, [], set()
             for tokens in shingle_sets(batch.column("text"), size):
@@ -254,23 +257,23 @@ def _plain_tokens(size: int, percent: int, shared, limit: int):
                 if digest in seen:
                     continue
                 seen.add(digest)
-                plain = tokens[counts[_slot(tokens)] <= limit]
+                plain = np.unique(tokens[counts[_slot(tokens)] <= limit] >> np.uint64(64 - TOKEN_BITS))
                 n, m = len(tokens), len(plain)
-                rows.append((plain, digest[0], n, m - prefix_length(n, percent)))
+                rows.append((plain, digest[0], n << 32 | max(0, m - prefix_length(n, percent))))
                 held += m
                 if held >= HELD_KEYS:
-                    yield _token_rows(rows, names)
+                    yield _token_rows(rows)
                     held, rows = 0, []
-            yield _token_rows(rows, names)
+            yield _token_rows(rows)
 
     return run
 
 
-def _token_rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+def _token_rows(rows: list[tuple]) -> pa.RecordBatch:
     lengths = [len(r[0]) for r in rows]
     tokens = np.concatenate([*(r[0] for r in rows), np.empty(0, np.uint64)]).view(np.int64)
-    rest = [np.repeat(np.array([r[k] for r in rows], t), lengths) for k, t in ((1, np.int64), (2, np.int64), (3, np.int64))]
-    return pa.RecordBatch.from_arrays([pa.array(tokens), *(pa.array(c) for c in rest)], names)
+    rest = [np.repeat(np.array([r[k] for r in rows], np.int64), lengths) for k in (1, 2)]
+    return pa.RecordBatch.from_arrays([pa.array(tokens), *(pa.array(c) for c in rest)], ["token", "node", "sizes"])
 
 
 def _held_by_several(percent: int):
@@ -318,13 +321,18 @@ def _prefix_links(docs: DataFrame, size: int, percent: int, counts: np.ndarray)
         first = rare_tokens(tokens, of, percent)
         return first[of[_slot(first)] > limit].view(np.int64)
 
-    rows = docs.mapInArrow(_plain_tokens(size, percent, shared, limit), "token long, node long, n long, room long")
+    rows = docs.mapInArrow(_plain_tokens(size, percent, shared, limit), "token long, node long, sizes long")
     rows = rows.repartition("token").sortWithinPartitions("token", "node")
+    rows = rows.select("token", "node", F.expr("sizes >> 32").alias("n"), F.expr("sizes & 4294967295").alias("room"))
     several = rows.mapInArrow(_held_by_several(percent), "token long, node long, room long, c long, low long, high long")
-    turn = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), F.desc("token")))
-    kept = several.withColumn("turn", turn).where("turn > room")
-    kept = kept.select("token", F.col("node").alias("v"), F.explode(F.sequence("low", "high")).alias("part"))
-    kept = kept.select(F.xxhash64("token", "part").alias("key"), "v", "part", F.lit(None).cast("long").alias("u"))
+    # Three numbers a row go through the second shuffle: the token below its count, the
+    # node, and the node's room and bands. Counts from MOST_COUNT on rank alike.
+    rank = F.expr(f"least(c, {MOST_COUNT}) << {TOKEN_BITS} | token").alias("rank")
+    packed = several.select(rank, F.col("node").alias("v"), F.expr("room << 16 | low << 8 | high").alias("sizes"))
+    turn = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("rank")))
+    kept = packed.withColumn("turn", turn).where("turn > sizes >> 16")
+    kept = kept.select("rank", "v", F.explode(F.expr("sequence(sizes >> 8 & 255, sizes & 255)")).alias("part"))
+    kept = kept.select(F.xxhash64("rank", "part").alias("key"), "v", "part", F.lit(None).cast("long").alias("u"))
     return _stars(kept.unionByName(docs.mapInArrow(_route(size, percent, last_ones, "band"), STARS_SCHEMA)))
 
 

@@ -178,3 +178,18 @@ def test_many_keys_of_the_same_nodes_leave_an_edge_per_node():
     batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in part.T], ["u", "v"]) for part in np.array_split(edges, 9)]
     assert sum(b.num_rows for b in _forests(1 << 18, False)(iter(batches))) == 199
     assert not spanning_forest(edges[:0, 0], edges[:0, 1])[0].size
+
+
+@pytest.mark.parametrize("bits", [6, 48])
+def test_tokens_that_meet_in_fewer_bits_lose_no_link(spark, monkeypatch, bits):
+    monkeypatch.setattr(trees, "TOKEN_BITS", bits)
+    rows = copies(bits, groups=12)
+    assert _got(trees.jaccard_components(documents(spark, rows), 5, 80)) == jaccard_components(rows, 5, 80)
+
+
+def test_tokens_are_shuffled_in_three_numbers():
+    shared = type("Shared", (), {"value": np.zeros(trees.SLOTS, np.int64).tobytes()})()
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b c d e f g h", None])], ["text"])
+    rows = [r for out in trees._plain_tokens(3, 80, shared, 0)(iter([batch])) for r in out.to_pylist()]
+    assert len(rows) == 6 and all(list(r) == ["token", "node", "sizes"] and 0 <= r["token"] < 1 << 48 for r in rows)
+    assert {(r["sizes"] >> 32, r["sizes"] & 0xFFFFFFFF) for r in rows} == {(6, 6 - trees.prefix_length(6, 80))}
